@@ -16,9 +16,14 @@ from tidewire.storage import Scratch, importable
 SHINGLE, PERCENT = 4, 85
 #: Children of a tree node.
 FAN = 8
-#: Rows of one token that are compared in one task; a longer posting list is cut into pieces whose
-#: pairs are compared apart.
-PIECE = 8192
+#: Rows of one family or posting list that are compared in one task; a longer one is cut into
+#: pieces whose pairs are compared apart.
+PIECE = 2048
+#: Share of its first tokens that a row has in common with the hub of its family, at least. Families
+#: only decide where a pair is compared, not whether.
+FAMILY = 0.25
+#: Bytes that the bitmaps of a family's piece may take.
+BITMAPS = 1 << 26
 #: Posting lists up to this length need no tree.
 SHORT = 24
 #: Node pairs that are looked at together.
@@ -107,16 +112,17 @@ def popcount(m: np.ndarray) -> np.ndarray:
 
 class SignatureTree:
     """Rows in the order of their size; a node has the OR of its children's bitmaps, the range of
-    their sizes and the most tokens that any row has beyond its set bits."""
+    their sizes, and the most tokens that any row has in the bitmap and beyond its set bits."""
 
-    def __init__(self, sizes: np.ndarray, bits: np.ndarray):
+    def __init__(self, sizes: np.ndarray, bits: np.ndarray, mapped: np.ndarray):
         self.order = np.argsort(sizes, kind="stable")
-        n, b = sizes[self.order], bits[self.order]
-        self.levels = [(b, n, n, n - popcount(b))]
+        n, b, m = sizes[self.order], bits[self.order], mapped[self.order]
+        self.levels = [(b, n, n, m - popcount(b), m)]
         while len(self.levels[-1][1]) > 1:
-            b, lo, hi, extra = self.levels[-1]
+            b, lo, hi, extra, m = self.levels[-1]
             at = np.arange(0, len(lo), FAN)
-            self.levels.append((np.bitwise_or.reduceat(b, at, axis=0), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(extra, at)))
+            most = np.maximum.reduceat
+            self.levels.append((np.bitwise_or.reduceat(b, at, axis=0), np.minimum.reduceat(lo, at), most(hi, at), most(extra, at), most(m, at)))
 
 
 def close(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray, percent: int, exact: bool) -> np.ndarray:
@@ -124,13 +130,13 @@ def close(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray, percent: int, exact:
     that share a bit with another one are no more than those beyond the set bits, so an overlap is
     at most the common bits plus the fewer of these. Of two rows (`exact`), each token that the
     other one surely lacks counts off as well."""
-    (bx, lx, hx, ex), (by, ly, hy, ey) = x, y
+    (bx, lx, hx, ex, mx), (by, ly, hy, ey, my) = x, y
     ok = (100 * hx[i] >= percent * ly[j]) & (100 * hy[j] >= percent * lx[i])
     at = np.flatnonzero(ok)
     a, b = bx[i[at]], by[j[at]]
     most = popcount(a & b) + np.minimum(ex[i[at]], ey[j[at]])
     if exact:
-        most = np.minimum(most, np.minimum(hx[i[at]] - popcount(a & ~b), hy[j[at]] - popcount(b & ~a)))
+        most = np.minimum(most, np.minimum(mx[i[at]] - popcount(a & ~b), my[j[at]] - popcount(b & ~a)))
     ok[at] = (100 + percent) * most >= needed(lx[i[at]], ly[j[at]], percent)
     return ok
 
@@ -188,8 +194,8 @@ def candidates(start: np.ndarray, sig: Signatures, group: np.ndarray, side: np.n
                 if not len(left) or not len(right) or (same and v < w):
                     continue
                 width = int(min(w, v))
-                x = SignatureTree(sig.n[left], sig.folded(left, width))
-                y = x if same and v == w else SignatureTree(sig.n[right], sig.folded(right, width))
+                x = SignatureTree(sig.n[left], sig.folded(left, width), sig.n[left])
+                y = x if same and v == w else SignatureTree(sig.n[right], sig.folded(right, width), sig.n[right])
                 for i, j in dual_traversal(x, y, percent, same and v == w):
                     a, b = left[i], right[j]
                     keep = group[a] != group[b]
@@ -211,7 +217,7 @@ def _rows_close(sig: Signatures, a: np.ndarray, b: np.ndarray, percent: int) ->
                 for rows in (i, j):
                     bits = sig.folded(rows, int(w))
                     n = sig.n[rows]
-                    level.append((bits, n, n, n - popcount(bits)))
+                    level.append((bits, n, n, n - popcount(bits), n))
                 k = np.arange(len(i))
                 ok = close(level[0], k, level[1], k, percent, True)
                 yield i[ok], j[ok]
@@ -266,16 +272,89 @@ def _whole(k: int):
     return run
 
 
-def _may_link(percent: int):
+def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels after joining a with b pairwise; a label is the smallest row of its component."""
+    while True:
+        x, y = labels[a], labels[b]
+        apart = x != y
+        if not apart.any():
+            return labels
+        np.minimum.at(labels, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+        while (labels[labels] != labels).any():
+            labels = labels[labels]
+
+
+def family_components(sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
+    """Label of each set by the links among them (side 0), or between those of side 1 and 2.
+
+    Bits stand for the tokens that two sets or more have; with a bit for each, common bits are the
+    intersection. Where that takes too much memory, tokens share bits and pairs are counted. Pairs
+    that earlier links have joined are not looked at again.
+    """
+    g = len(sets)
+    n = np.array([len(x) for x in sets], np.int64)
+    labels = np.arange(g)
+    tokens, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = np.cumsum(shared) - 1
+    bits = 64
+    while bits < shared.sum() and 2 * bits * g <= 8 * BITMAPS:
+        bits *= 2
+    exact = bits >= shared.sum()
+    words, mapped, at = np.zeros((g, bits // 64), np.uint64), np.zeros(g, np.int64), 0
+    for i, x in enumerate(sets):
+        own = place[at : at + len(x)]
+        at += len(x)
+        own = column[own[shared[own]]]
+        mapped[i] = len(own)
+        flags = np.zeros(bits, np.uint8)
+        flags[own & (bits - 1)] = 1
+        words[i] = np.packbits(flags, bitorder="little").view(np.uint64)
+    left, right = (np.arange(g),) * 2 if not side.any() else (np.flatnonzero(side == 1), np.flatnonzero(side == 2))
+    if not len(left) or not len(right):
+        return labels
+    x = SignatureTree(n[left], words[left], mapped[left])
+    y = x if not side.any() else SignatureTree(n[right], words[right], mapped[right])
+    for i, j in dual_traversal(x, y, percent, x is y):
+        a, b = left[i], right[j]
+        new = labels[a] != labels[b]
+        a, b = a[new], b[new]
+        if not exact:
+            for k, m in zip(a, b):
+                if labels[k] == labels[m]:
+                    continue
+                if similar(sets[k], sets[m], percent):
+                    labels = merge(labels, np.array([k]), np.array([m]))
+            continue
+        labels = merge(labels, a, b)
+    return labels
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    return (100 + percent) * int((both[1:] == both[:-1]).sum()) >= needed(len(x), len(y), percent)
+
+
+def _families(percent: int):
+    run_by = ["family", "ca", "cb"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            n = t.num_rows
-            sig = Signatures(np.concatenate([t["na"].to_numpy(), t["nb"].to_numpy()]), t["ba"].to_pylist() + t["bb"].to_pylist())
-            i = np.arange(n)
-            kept = [np.where(x < n, x, y) for x, y in _rows_close(sig, i, i + n, percent)]
-            rows = np.sort(np.concatenate([*kept, np.empty(0, np.int64)]))
-            yield from t.select(["a", "b"]).take(pa.array(rows, pa.int64())).to_batches()
+        for t in _table(batches, 2_000, run_by):
+            keys = np.stack([t[c].to_numpy() for c in run_by])
+            start = np.flatnonzero(np.append(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)), True))
+            doc, own, out = t["doc_id"].to_numpy(), t["c"].to_numpy(), []
+            for lo, hi in zip(start[:-1], start[1:]):
+                if hi - lo < 2:
+                    continue
+                sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t["s"].slice(lo, hi - lo)]
+                one = keys[1, lo] == keys[2, lo]
+                side = np.zeros(hi - lo, int) if one else np.where(own[lo:hi] == keys[1, lo], 1, 2)
+                labels = family_components(sets, side, percent)
+                moved = np.flatnonzero(labels != np.arange(hi - lo))
+                out.append(np.stack([doc[lo + labels[moved]], doc[lo + moved]]))
+            if out:
+                pair = np.concatenate(out, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
 
     return run
 
@@ -284,12 +363,8 @@ def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             t = pa.Table.from_batches([b])
-            keep = []
-            for x, y in zip(t["sa"], t["sb"]):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append((100 + percent) * common >= needed(len(x), len(y), percent))
+            sets = ([np.frombuffer(v.as_buffer(), np.uint64) for v in t[c]] for c in ("sa", "sb"))
+            keep = [similar(x, y, percent) for x, y in zip(*sets)]
             yield from t.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).to_batches()
 
     return run
@@ -317,7 +392,15 @@ def _cross(percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, rounds: int = 2) -> DataFrame:
+def _pieces(df: DataFrame, rows: str) -> DataFrame:
+    """Each row once for each pair of pieces that it takes part in: its piece `c`, the pair `ca`
+    and `cb`. A group of up to PIECE rows is one piece, and then a row stays one row."""
+    cuts = F.ceil(F.col(rows) / PIECE).cast("long")
+    df = df.withColumn("c", F.pmod(F.xxhash64("doc_id"), cuts)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
+    return df.withColumn("ca", F.least("c", "o")).withColumn("cb", F.greatest("c", "o")).drop("o", rows)
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, component_id for each row of `docs`: documents link when the Jaccard
     similarity of their sets of word shingles is at least percent / 100, and component_id is the
     smallest key that links reach. The result is exact.
@@ -325,14 +408,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     1. A text becomes the set of its shingles' hashes. Equal sets are one from here on.
     2. Similar sets share one of their smallest hashes (prefix filter), so posting lists over these
        hold every link. Lists of one row are dropped where they are counted.
-    3. In each of `rounds` rounds, a row is compared with one other row of its lists (the smallest,
-       then the largest). The links found are components, which take in groups of near copies.
-    4. Lists that still have several components are searched whole: their rows form signature
-       trees, whose nodes hold OR-combined bitmaps of the shingles and ranges of sizes, and a dual
-       traversal drops node pairs by the largest overlap that they allow. Only pairs of different
-       components go on. A list of more than PIECE rows is cut, and its pieces are compared in pairs
-       of their own, so that no task holds a whole list.
-    5. What remains is verified on whole sets, once a pair, and components are found again.
+    3. Rows that share many first tokens with the same hub are a family. A family's rows meet once,
+       with their whole sets, in signature trees: nodes hold OR-combined bitmaps of the tokens and
+       ranges of sizes, and a dual traversal drops node pairs by the largest overlap that they
+       allow. Only a spanning forest of the links comes out, so near copies cost no output.
+    4. Lists with several families are searched by signature trees over smaller bitmaps, for pairs
+       of different families only. What may link is verified on whole sets, once a pair.
+    5. The components of both kinds of links are the result.
+
+    Families and lists of more than PIECE rows are cut and their pieces compared in pairs, so that
+    no task holds a whole one. Joins by document never broadcast.
 
     Null, empty and blank texts have no shingles, link with nothing and are their own component; a
     null key likewise. Rows that repeat a key share a component if their texts link. No rows give no
@@ -343,52 +428,42 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text"))
     rows = scratch.table(texts.mapInArrow(_sets(shingle, percent), "doc_id long, n long, set binary, prefix array<long>, bits binary"), "sets")
     real = rows.where("n > 0 and doc_id is not null")
-    classes = scratch.table(real.groupBy("set").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "classes")
-    first = classes.where("c > 1").select("set", "rep")
-    doubles = real.select("doc_id", "set").join(first, "set").where("doc_id <> rep").select("doc_id").distinct()
-    reps = real.join(doubles, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    reps = scratch.table(reps.select("doc_id", "n", "bits", "prefix"), "reps")
-    lists = W.partitionBy("token")
-    posting = reps.select("doc_id", F.explode("prefix").alias("token")).withColumn("rows", F.count("*").over(lists))
-    posting = scratch.table(posting.where("rows > 1").select("token", "doc_id"), "postings")
+    classes = scratch.table(real.groupBy("set").agg(F.min("doc_id").alias("rep")), "classes")
+    reps = real.join(classes.select(F.col("rep").alias("doc_id"), "set").hint("merge"), ["doc_id", "set"], "left_semi")
     sig = reps.select("doc_id", "n", "bits")
-    links: DataFrame | None = None
-    named = posting.withColumn("component", F.col("doc_id"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = scratch.table(texts.where("doc_id is not null").join(ids, "doc_id", "left_semi").mapInArrow(_whole(shingle), "doc_id long, s binary").dropDuplicates(["doc_id"]), "whole")
-        both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b")
-        return scratch.table(both.select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long"), "links")
-
-    def components(found: DataFrame) -> DataFrame:
-        return scratch.table(connected_components(found, "a", "b", scratch).select(F.col("node").alias("doc_id"), "component"), "components")
-
-    for r in range(rounds):
-        hub = (F.min if r % 2 == 0 else F.max)(F.struct("doc_id", "component")).over(lists)
-        pairs = named.withColumn("hub", hub).where("hub.component <> component").groupBy("doc_id").agg((F.min if r % 2 == 0 else F.max)("hub.doc_id").alias("hub"))
-        pairs = pairs.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
-        near = pairs.join(sig.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), "a")
-        near = near.join(sig.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb")), "b")
-        near = scratch.table(near.select("a", "b", "na", "ba", "nb", "bb").mapInArrow(_may_link(percent), "a long, b long"), "near")
-        found = verified(near)
-        links = found if links is None else scratch.table(links.unionByName(found), "links")
-        component = components(links)
-        named = posting.join(component, "doc_id", "left").select("token", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = named.withColumn("lo", F.min("component").over(lists)).withColumn("hi", F.max("component").over(lists)).withColumn("rows", F.count("*").over(lists))
-    mixed = scratch.table(mixed.where("lo <> hi").select("token", "doc_id", "component", "rows"), "mixed")
-    cuts = F.ceil(F.col("rows") / PIECE).cast("long")
-    mixed = mixed.withColumn("c", F.pmod(F.xxhash64("doc_id"), cuts)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
-    mixed = mixed.select("token", "doc_id", "component", "c", F.least("c", "o").alias("ca"), F.greatest("c", "o").alias("cb")).join(sig, "doc_id")
-    mixed = mixed.select("token", "ca", "cb", "c", "doc_id", "component", "n", "bits")
+    lists = W.partitionBy("token")
+    posting = reps.select("doc_id", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
+    posting = posting.withColumn("rows", F.count("*").over(lists)).withColumn("hub", F.min("doc_id").over(lists))
+    posting = scratch.table(posting.where("rows > 1").select("token", "doc_id", "hub", "p"), "postings")
+    shared = posting.groupBy("doc_id", "hub", "p").agg(F.count("*").alias("shared")).where((F.col("hub") != F.col("doc_id")) & (F.col("shared") >= FAMILY * F.col("p")))
+    hubs = shared.groupBy("doc_id").agg(F.max(F.struct("shared", F.negative("hub").alias("hub"))).alias("best"))
+    family = connected_components(hubs.select("doc_id", F.negative("best.hub").alias("hub")), "doc_id", "hub", scratch)
+    family = scratch.table(family.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
+
+    def whole(ids: DataFrame) -> DataFrame:
+        wanted = texts.where("doc_id is not null").join(ids.hint("merge"), "doc_id", "left_semi")
+        sets = wanted.mapInArrow(_whole(shingle), "doc_id long, s binary")
+        return scratch.table(sets.dropDuplicates(["doc_id"]), "whole")
+
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = mixed.repartition(parts, "token", "ca", "cb").sortWithinPartitions("token", "ca", "cb")
+    sizes = family.groupBy("family").agg(F.count("*").alias("rows"))
+    members = _pieces(family.join(sizes.hint("merge"), "family"), "rows").join(whole(family.select("doc_id")).hint("merge"), "doc_id")
+    runs = members.select("family", "ca", "cb", "c", "doc_id", "s").repartition(parts, "family", "ca", "cb").sortWithinPartitions("family", "ca", "cb")
+    links = scratch.table(runs.mapInArrow(_families(percent), "a long, b long"), "links")
+
+    named = posting.select("token", "doc_id").join(family.hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("family", "doc_id"))
+    mixed = named.withColumn("lo", F.min("component").over(lists)).withColumn("hi", F.max("component").over(lists)).withColumn("rows", F.count("*").over(lists))
+    mixed = mixed.where("lo <> hi").select("token", "doc_id", "component", "rows")
+    mixed = _pieces(mixed, "rows").join(sig.hint("merge"), "doc_id")
+    runs = mixed.select("token", "ca", "cb", "c", "doc_id", "component", "n", "bits").repartition(parts, "token", "ca", "cb").sortWithinPartitions("token", "ca", "cb")
     pairs = scratch.table(runs.mapInArrow(_cross(percent), "a long, b long").distinct(), "candidates")
-    links = scratch.table(links.unionByName(verified(pairs)), "links")
-    component = components(links)
-    member = classes.join(component, classes["rep"] == component["doc_id"], "left").select("set", F.coalesce("component", "rep").alias("component"))
+    sets = whole(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")).hint("merge"), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
+    found = both.select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long")
+    component = connected_components(links.unionByName(found), "a", "b", scratch)
+    member = classes.join(component.hint("merge"), classes["rep"] == component["node"], "left").select("set", F.coalesce("component", "rep").alias("component"))
     member = scratch.table(member, "members")
-    out = real.select("doc_id", "n", "set").join(member, "set").select("doc_id", "n", "component").unionByName(
+    out = real.select("doc_id", "n", "set").join(member.hint("merge"), "set").select("doc_id", "n", "component").unionByName(
         rows.where("n = 0 or doc_id is null").select("doc_id", "n", F.col("doc_id").alias("component"))
     )
     return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
