@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewire.llm.common import read, session, text_of
 from tidewire.operators.graph import connected_components
@@ -407,7 +407,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     1. A text becomes the set of its shingles' hashes. Equal sets are one from here on.
     2. Similar sets share one of their smallest hashes (prefix filter), so posting lists over these
-       hold every link. Lists of one row are dropped where they are counted.
+       hold every link. Lists are counted with a map-side combine, and those of one row are dropped.
     3. Rows that share many first tokens with the same hub are a family. A family's rows meet once,
        with their whole sets, in signature trees: nodes hold OR-combined bitmaps of the tokens and
        ranges of sizes, and a dual traversal drops node pairs by the largest overlap that they
@@ -430,11 +430,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     real = rows.where("n > 0 and doc_id is not null")
     classes = scratch.table(real.groupBy("set").agg(F.min("doc_id").alias("rep")), "classes")
     reps = real.join(classes.select(F.col("rep").alias("doc_id"), "set").hint("merge"), ["doc_id", "set"], "left_semi")
+    reps = scratch.table(reps.select("doc_id", "n", "bits", "prefix"), "representatives")
     sig = reps.select("doc_id", "n", "bits")
-    lists = W.partitionBy("token")
-    posting = reps.select("doc_id", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
-    posting = posting.withColumn("rows", F.count("*").over(lists)).withColumn("hub", F.min("doc_id").over(lists))
-    posting = scratch.table(posting.where("rows > 1").select("token", "doc_id", "hub", "p"), "postings")
+    tokens = reps.select("doc_id", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
+    lists = tokens.groupBy("token").agg(F.count("*").alias("rows"), F.min("doc_id").alias("hub")).where("rows > 1")
+    lists = scratch.table(lists.select("token", "hub"), "lists")
+    posting = scratch.table(tokens.join(lists.hint("merge"), "token").select("token", "doc_id", "hub", "p"), "postings")
     shared = posting.groupBy("doc_id", "hub", "p").agg(F.count("*").alias("shared")).where((F.col("hub") != F.col("doc_id")) & (F.col("shared") >= FAMILY * F.col("p")))
     hubs = shared.groupBy("doc_id").agg(F.max(F.struct("shared", F.negative("hub").alias("hub"))).alias("best"))
     family = connected_components(hubs.select("doc_id", F.negative("best.hub").alias("hub")), "doc_id", "hub", scratch)
@@ -452,9 +453,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     links = scratch.table(runs.mapInArrow(_families(percent), "a long, b long"), "links")
 
     named = posting.select("token", "doc_id").join(family.hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("family", "doc_id"))
-    mixed = named.withColumn("lo", F.min("component").over(lists)).withColumn("hi", F.max("component").over(lists)).withColumn("rows", F.count("*").over(lists))
-    mixed = mixed.where("lo <> hi").select("token", "doc_id", "component", "rows")
-    mixed = _pieces(mixed, "rows").join(sig.hint("merge"), "doc_id")
+    named = scratch.table(named.select("token", "doc_id", "component"), "named")
+    several = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"))
+    several = scratch.table(several.where("lo <> hi").select("token", "rows"), "several")
+    mixed = _pieces(named.join(several.hint("merge"), "token"), "rows").join(sig.hint("merge"), "doc_id")
     runs = mixed.select("token", "ca", "cb", "c", "doc_id", "component", "n", "bits").repartition(parts, "token", "ca", "cb").sortWithinPartitions("token", "ca", "cb")
     pairs = scratch.table(runs.mapInArrow(_cross(percent), "a long, b long").distinct(), "candidates")
     sets = whole(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
