@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,36 +30,79 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: Words of these characters are in NFC and hold no white space or control characters.
+PLAIN = r"[\x21-\x7e\xa1-\u024f]+"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level BPE: itself where it is visible Latin-1,
+    else the next one from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class WordIds:
-    """Ids of ASCII-space separated words, as little-endian unsigned 32-bit bytes.
+    """Ids of texts, as little-endian unsigned 32-bit bytes.
 
-    For vocabularies whose tokens never span white space and whose normaliser works within a word,
-    the ids of a text are those of its words in turn. Words are encoded in batches, once each.
+    Where a vocabulary lower-cases, drops white space, splits by one pattern and then merges bytes,
+    no token spans white space, and a text's ids are those of its words in turn; a plain word's ids
+    are those of the parts that the pattern finds in it. Words and parts are encoded once and
+    remembered. Other words of such a vocabulary, and texts of any other vocabulary, go through the
+    tokenizer as they are.
     """
 
     def __init__(self, path: str):
+        import json
         import os
 
+        import regex
+
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, normalizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # words hold no ASCII space, so collapsing white space in them changes nothing
-        self.tokenizer.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        parts = lambda k, n: [x["type"] for x in (spec[k] or {}).get(n, [])]
+        self.by_word = parts("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"] and parts("pre_tokenizer", "pretokenizers") == ["Split", "ByteLevel"] and spec["model"]["type"] == "BPE"
+        if self.by_word:
+            self.find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.plain = regex.compile(PLAIN).fullmatch
+        self.letters = _byte_letters()
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        out = self.parts.get(part)
+        if out is None:
+            spelt = part.encode().decode("latin-1").translate(self.letters)
+            out = self.parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+        return out
+
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
 
     def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self.known))
-        if not new:
-            return
+        new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBER:
-            self.known, new = {}, list(words)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(part, found))
+            self.known, new = {}, words
+        if len(self.parts) > REMEMBER:
+            self.parts = {}
+        rest = []
+        for w in new:
+            s = w.decode("utf-8", "replace")
+            if self.plain(s) and "<|" not in s:
+                self.known[w] = b"".join([self._part(p) for p in self.find(s.lower())])
+            else:
+                rest.append(w)
+        self.known.update(zip(rest, self._whole(rest)))
 
     def texts(self, texts: list[bytes]) -> Iterator[bytes]:
+        if not self.by_word:
+            yield from self._whole(texts)
+            return
         split: list[list[bytes]] = []
         size = 0
         for t in texts:
