@@ -50,3 +50,29 @@ def gapless_rank(df: DataFrame, keys: list[str], cell: Column, order: list[Colum
         .withColumn(out, (F.col("__off") + F.col("__place")).cast("long"))
         .drop("__cell", "__place", "__off")
     )
+
+
+class Memo(dict):
+    """What a Python worker remembers of words, for `most` of them at a time. A worker serves many
+    tasks; when a task of another operator begins, `use` empties what the last one has left."""
+
+    most = 300_000
+    _last: Memo | None = None
+
+    def use(self) -> Memo:
+        if Memo._last is not None and Memo._last is not self:
+            Memo._last.forget()
+        Memo._last = self
+        return self
+
+    def forget(self) -> None:
+        self.clear()
+
+    def make(self, word):
+        raise NotImplementedError
+
+    def __missing__(self, word):
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = out = self.make(word)
+        return out

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import read, session, text_of
+from tidewire.llm.common import Memo, read, session, text_of
 from tidewire.storage import importable
 
 #: Words in a fingerprint, and fingerprints in a winnowing window.
@@ -18,7 +18,6 @@ GRAM = 3
 WINDOW = 3
 #: Least share of a template's words that must align.
 COVERAGE = 0.8
-REMEMBER = 500_000
 
 # License texts and notices as their publishers word them.
 TEMPLATES = {
@@ -38,16 +37,13 @@ TEMPLATES = {
 _EDGE = re.compile(r"^\W+|\W+$")
 
 
-class Words(dict):
+class Words(Memo):
     """64-bit hashes of words in lower case without punctuation around them."""
 
-    def __missing__(self, word: bytes) -> int:
+    def make(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= REMEMBER:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(_EDGE.sub("", word.decode("utf-8", "replace").lower()))
-        return out
+        return xxhash.xxh64_intdigest(_EDGE.sub("", word.decode("utf-8", "replace").lower()))
 
 
 _WORDS = Words()
@@ -190,6 +186,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
     kind = docs.select(F.col(key).alias("__key")).schema["__key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _WORDS.use()
         for b in batches:
             rows, at = [], []
             for r, t in enumerate(b.column(1).to_pylist()):

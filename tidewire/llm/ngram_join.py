@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import read, session, text_of
+from tidewire.llm.common import Memo, read, session, text_of
 from tidewire.operators.graph import connected_components
 from tidewire.storage import Scratch, importable
 
@@ -28,20 +28,16 @@ BITMAPS = 1 << 26
 SHORT = 24
 #: Node pairs that are looked at together.
 SLAB = 1 << 15
-REMEMBER = 500_000
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class Words(dict):
-    """64-bit hashes of words with A-Z in lower case, remembered for a bounded number of words."""
+class Words(Memo):
+    """64-bit hashes of words with A-Z in lower case."""
 
-    def __missing__(self, word: bytes) -> int:
+    def make(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= REMEMBER:
-            self.clear()
-        self[word] = out = xxhash.xxh3_64_intdigest(word)
-        return out
+        return xxhash.xxh3_64_intdigest(word)
 
 
 _WORDS = Words()
@@ -250,12 +246,13 @@ def _sets(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        _WORDS.use()
         for b in batches:
             out: list[tuple] = []
             for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 h = shingles(text, k)
                 p = prefix_length(len(h), percent)
-                out.append((key, len(h), xxhash.xxh3_128_digest(h.tobytes()), h[:p].view(np.int64), bitmap(h)))
+                out.append((key, len(h), xxhash.xxh3_128_digest(h.tobytes()), h[:p].copy().view(np.int64), bitmap(h)))
             cols = list(zip(*out)) if out else [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "n", "set", "prefix", "bits"])
@@ -265,6 +262,7 @@ def _sets(k: int, percent: int):
 
 def _whole(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _WORDS.use()
         for b in batches:
             sets = [shingles(t, k).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["doc_id", "s"])

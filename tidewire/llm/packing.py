@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import gapless_rank, read, session, text_of
+from tidewire.llm.common import Memo, gapless_rank, read, session, text_of
 from tidewire.storage import Scratch, cell_rows, importable
 
 CAPACITY = 2048
@@ -42,6 +42,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class Known(Memo):
+    """Ids of words, and of the parts that words are made of."""
+
+    def __init__(self) -> None:
+        self.parts: dict[str, bytes] = {}
+
+    def forget(self) -> None:
+        self.clear()
+        self.parts.clear()
+
+
 class WordIds:
     """Ids of texts, as little-endian unsigned 32-bit bytes.
 
@@ -70,14 +81,13 @@ class WordIds:
             self.find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.plain = regex.compile(PLAIN).fullmatch
         self.letters = _byte_letters()
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.known = Known()
 
     def _part(self, part: str) -> bytes:
-        out = self.parts.get(part)
+        out = self.known.parts.get(part)
         if out is None:
             spelt = part.encode().decode("latin-1").translate(self.letters)
-            out = self.parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
+            out = self.known.parts[part] = array("I", [t.id for t in self.tokenizer.model.tokenize(spelt)]).tobytes()
         return out
 
     def _whole(self, texts: list[bytes]) -> list[bytes]:
@@ -87,9 +97,10 @@ class WordIds:
     def learn(self, words: set[bytes]) -> None:
         new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBER:
-            self.known, new = {}, words
-        if len(self.parts) > REMEMBER:
-            self.parts = {}
+            self.known.clear()
+            new = words
+        if len(self.known.parts) > REMEMBER:
+            self.known.parts.clear()
         rest = []
         for w in new:
             s = w.decode("utf-8", "replace")
@@ -134,6 +145,7 @@ def cutter(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _ids(path)
+        words.known.use()
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []

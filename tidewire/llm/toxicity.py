@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import read, session, text_of
+from tidewire.llm.common import Memo, read, session, text_of
 from tidewire.storage import importable
 
 #: Labelled rows that the chain is fitted on, at most: those with the smallest hash of their key.
@@ -23,7 +23,6 @@ STEPS = 500
 PENALTY = 1e-5
 #: Categories in the order of the chain: column of the labels, value that counts as positive.
 CATEGORIES = (("quality", 0), ("toxic", 1))
-REMEMBER = 500_000
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -43,14 +42,11 @@ def features(word: bytes) -> tuple[int, ...]:
     return tuple(xxhash.xxh64_intdigest(x) % BUCKETS for x in names)
 
 
-class Buckets(dict):
-    """features() by word, remembered for a bounded number of words."""
+class Buckets(Memo):
+    """features() by word."""
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= REMEMBER:
-            self.clear()
-        self[word] = out = features(word)
-        return out
+    def make(self, word: bytes) -> tuple[int, ...]:
+        return features(word)
 
 
 _BUCKETS = Buckets()
@@ -77,7 +73,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _fit(rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray) -> Linear:
-    """Chi-square selection, then full-batch Adagrad on the penalised logistic loss."""
+    """Chi-square selection, then full-batch Adagrad on the penalised logistic loss, in which both
+    labels weigh the same in total, so that 0.5 is the threshold."""
     n, positive = len(rows), max(float(y.sum()), 1e-9)
     lengths = np.array([len(r) for r in rows])
     flat = np.concatenate([*rows, np.empty(0, np.int64)])
@@ -115,25 +112,10 @@ def _margins(model: Linear, rows: list[np.ndarray], earlier: np.ndarray) -> np.n
     return own + earlier @ model.chained + model.bias
 
 
-def best_threshold(margins: np.ndarray, y: np.ndarray) -> float:
-    """The probability from which on to say yes, for the best F2 on out-of-fold predictions (a
-    missed row costs more than a false alarm); halfway to the next lower one, and 0.5 where all
-    labels are alike."""
-    if not len(y) or y.min() == y.max():
-        return 0.5
-    order = np.argsort(-margins, kind="stable")
-    m, hits = margins[order], np.cumsum(y[order])
-    f2 = 5 * hits / (np.arange(1, len(y) + 1) + 4 * y.sum())
-    ends = np.flatnonzero(np.append(np.diff(m) != 0, True))
-    k = ends[int(np.argmax(f2[ends]))]
-    return float(_sigmoid((m[k] + m[min(k + 1, len(m) - 1)]) / 2))
-
-
 @dataclass
 class Chain:
     names: list[str]
     models: list[Linear]
-    thresholds: list[float]
 
     def margins(self, rows: list[np.ndarray]) -> np.ndarray:
         """Log-odds of each category, each fed with those of the earlier ones."""
@@ -145,21 +127,19 @@ class Chain:
 
 def fit_chain(rows: list[np.ndarray], labels: np.ndarray, names: list[str]) -> Chain:
     """One model a category, in order. What a model learns from its predecessors are out-of-fold
-    predictions: those that models fitted without the row gave for it. They also set the threshold
-    of each category."""
+    predictions: those that models fitted without the row gave for it."""
     fold = np.arange(len(rows)) % FOLDS
-    earlier, models, thresholds = np.zeros((len(rows), 0)), [], []
+    earlier, models = np.zeros((len(rows), 0)), []
     for j in range(labels.shape[1]):
         y = labels[:, j].astype(float)
         models.append(_fit(rows, earlier, y))
         held = np.zeros(len(rows))
-        for f in range(FOLDS):
+        for f in range(FOLDS if j + 1 < labels.shape[1] else 0):
             inside, outside = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
             m = _fit([rows[i] for i in inside], earlier[inside], y[inside])
             held[outside] = _margins(m, [rows[i] for i in outside], earlier[outside])
-        thresholds.append(best_threshold(held, y))
         earlier = np.column_stack([earlier, np.clip(held, -10, 10)])
-    return Chain(names, models, thresholds)
+    return Chain(names, models)
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", categories: tuple[tuple[str, int], ...] = CATEGORIES, sample: int = SAMPLE) -> Chain:
@@ -173,6 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     some = some.orderBy(F.xxhash64("__key"), "__key").limit(sample)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _BUCKETS.use()
         for b in batches:
             b = pa.Table.from_batches([b])
             found = [buckets_of(t).tolist() for t in b["text"].to_pylist()]
@@ -196,6 +177,7 @@ def score(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text"
     kind = docs.select(F.col(key).alias("__key")).schema["__key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _BUCKETS.use()
         for b in batches:
             p = _sigmoid(chain.margins([buckets_of(t) for t in b.column(1).to_pylist()]))
             cols = [pa.array(p[:, j]) for j in range(p.shape[1])]
@@ -206,16 +188,16 @@ def score(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text"
 
 
 def clean(docs: DataFrame, chain: Chain, category: str, text: str = "text") -> DataFrame:
-    """The rows of `docs`, with all their columns, that the chain does not put in `category`."""
+    """The rows of `docs`, with all their columns, whose probability of `category` is below 0.5."""
     importable(session(docs))
     j = chain.names.index(category)
-    least = np.log(chain.thresholds[j] / (1 - chain.thresholds[j]))
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _BUCKETS.use()
         for b in batches:
             rows = [buckets_of((t or "").encode()) for t in b.column(at).to_pylist()]
-            yield b.filter(pa.array(chain.margins(rows)[:, j] < least, pa.bool_()))
+            yield b.filter(pa.array(chain.margins(rows)[:, j] < 0, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -223,5 +205,4 @@ def clean(docs: DataFrame, chain: Chain, category: str, text: str = "text") -> D
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     chain = train(docs, read(spark, sf_dir, "labels"))
-    toxic = F.col("p_toxic") >= chain.thresholds[chain.names.index("toxic")]
-    return score(docs, chain).select("doc_id", F.col("p_quality").alias("p_low_quality"), "p_toxic", toxic.alias("toxic"))
+    return score(docs, chain).select("doc_id", F.col("p_quality").alias("p_low_quality"), "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
