@@ -62,10 +62,10 @@ def is_duplicate(title_a: Column, title_b: Column) -> Column:
     return F.when((a == "") | (b == ""), F.lit(False)).otherwise((a == b) | near)
 
 
-def same_event(shingles_a: Column, shingles_b: Column, entities_a: Column, entities_b: Column) -> Column:
-    """(matched, reason): enough of the 2- and 3-grams in common, or two rare entities."""
-    j, shared = jaccard(shingles_a, shingles_b), F.array_sort(F.array_intersect(entities_a, entities_b))
-    reason = F.when(j >= C.CLUSTER_JACCARD, F.format_string("标题相似度 %.2f", j)).when(
+def same_event(common: Column, size_a: Column, size_b: Column, shared: Column) -> Column:
+    """Why two titles tell of one event, or null: enough of their 2- and 3-grams in common, given
+    the sizes of both sets and of their intersection, or two rare entities (sorted)."""
+    j = common / (size_a + size_b - common)
+    return F.when((size_a == 0) | (size_b == 0), F.lit(None).cast("string")).when(j >= C.CLUSTER_JACCARD, F.format_string("标题相似度 %.2f", j)).when(
         F.size(shared) >= C.CLUSTER_SHARED_ENTITIES, F.concat(F.lit("共同实体："), F.array_join(F.slice(shared, 1, 3), "、"))
     )
-    return F.when((F.size(shingles_a) > 0) & (F.size(shingles_b) > 0), reason)

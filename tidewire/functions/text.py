@@ -65,11 +65,8 @@ def is_boilerplate(c: Column) -> Column:
     """Nothing but navigation: a whole-line pattern, or a known phrase with fewer than 8 characters
     after it."""
     t = F.lower(F.regexp_replace(strip(F.coalesce(c, F.lit(""))), TRAILING, ""))
-    phrases = F.array(*map(F.lit, C.BOILERPLATE))
-    hit = F.exists(phrases, lambda p: F.startswith(t, p) & ((t == p) | (F.length(t) - F.length(p) < 8)))
-    for p in C.BOILERPLATE_PATTERNS:
-        hit = hit | t.rlike(p)
-    return (t == "") | hit
+    phrases = "|".join(C.BOILERPLATE)
+    return t.rlike("|".join((r"^$", rf"^(?s:(?:{phrases}).{{0,7}})$", *C.BOILERPLATE_PATTERNS)))
 
 
 def summary_of(text: Column) -> Column:
@@ -95,7 +92,10 @@ def clean_image_url(c: Column) -> Column:
 
 
 def is_plausible_image(u: Column) -> Column:
-    return ~F.exists(F.array(*map(F.lit, C.IMAGE_DENY)), lambda p: F.contains(F.lower(u), p))
+    hit = F.lit(False)
+    for p in C.IMAGE_DENY:
+        hit = hit | F.contains(F.lower(u), F.lit(p))
+    return ~hit
 
 
 def first_image(c: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from tidewire import config as C
@@ -9,6 +11,11 @@ from tidewire import config as C
 ZONE = r"\s*(Z|UTC|GMT|UT|EST|EDT|CST|CDT|MST|MDT|PST|PDT|[+-]\d{2}:?\d{2})$"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _wall(t: Column) -> Column:
     """The clock time as if it were UTC, for a text without a zone."""
     rfc = [F.try_to_timestamp(t, F.lit(f)) for f in ("d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm", "MMM d, yyyy HH:mm:ss", "yyyy/MM/dd HH:mm:ss")]
@@ -33,24 +40,35 @@ def parse_published(raw: Column, now: Column, override_minutes: Column | None =
     keeps the clock time and replaces the zone, before the check for the future. Partial dates, such
     as a time of day alone, are unparseable."""
     override = F.lit(None).cast("int") if override_minutes is None else override_minutes.cast("int")
-    text = F.regexp_replace(F.trim(raw), r"(?U)^\s+|\s+$", "")
-    epoch = text.rlike(r"^\d{10,13}$")
-    number = F.when(epoch, text.cast("long"))
-    from_epoch = F.timestamp_micros(F.when(F.length(text) == 13, number * 1000).otherwise(number * 1_000_000))
-    body = F.regexp_replace(text, r"^[A-Za-z]{3,9},\s*", "")
-    zone = F.regexp_extract(body, ZONE, 1)
-    wall = F.coalesce(from_epoch, _wall(F.regexp_replace(body, ZONE, "")))
-    naive = ~epoch & (zone == "")
-    ts = F.when(override.isNotNull(), _shift(wall, override * 60)).when(epoch | naive, wall).otherwise(_shift(wall, _zone_seconds(zone)))
-    note = F.when(override.isNotNull(), "tz_corrected").when(naive, "tz_assumed")
     late = F.unix_micros(now) + C.FUTURE_TOLERANCE_HOURS * 3_600_000_000
-    refusal = (
-        F.when(F.coalesce(text, F.lit("")) == "", "missing")
-        .when(ts.isNull(), "unparseable")
-        .when(F.year(ts) < C.MIN_PUBLISH_YEAR, "implausible")
-        .when(F.unix_micros(ts) > late, "future_date")
-    )
-    return F.struct(F.when(refusal.isNull(), ts).alias("ts"), F.coalesce(refusal, note).alias("note"))
+
+    def split(t: Column) -> Column:
+        body = F.regexp_replace(t, r"^[A-Za-z]{3,9},\s*", "")
+        epoch = t.rlike(r"^\d{10,13}$")
+        number = F.when(epoch, t.try_cast("long"))
+        from_epoch = F.timestamp_micros(F.when(F.length(t) == 13, number * 1000).otherwise(number * 1_000_000))
+        return F.struct(
+            t.alias("t"), epoch.alias("epoch"), from_epoch.alias("from_epoch"), F.regexp_extract(body, ZONE, 1).alias("zone"), F.regexp_replace(body, ZONE, "").alias("clock")
+        )
+
+    def read(p: Column) -> Column:
+        return F.struct(p["t"].alias("t"), (~p["epoch"] & (p["zone"] == "")).alias("naive"), p["epoch"].alias("epoch"), p["zone"].alias("zone"), F.coalesce(p["from_epoch"], _wall(p["clock"])).alias("wall"))
+
+    def place(p: Column) -> Column:
+        ts = F.when(override.isNotNull(), _shift(p["wall"], override * 60)).when(p["epoch"] | p["naive"], p["wall"]).otherwise(_shift(p["wall"], _zone_seconds(p["zone"])))
+        return F.struct(p["t"].alias("t"), p["naive"].alias("naive"), ts.alias("ts"))
+
+    def judge(p: Column) -> Column:
+        refusal = (
+            F.when(F.coalesce(p["t"], F.lit("")) == "", "missing")
+            .when(p["ts"].isNull(), "unparseable")
+            .when(F.year(p["ts"]) < C.MIN_PUBLISH_YEAR, "implausible")
+            .when(F.unix_micros(p["ts"]) > late, "future_date")
+        )
+        note = F.when(override.isNotNull(), "tz_corrected").when(p["naive"], "tz_assumed")
+        return F.struct(F.when(refusal.isNull(), p["ts"]).alias("ts"), F.coalesce(refusal, note).alias("note"))
+
+    return _let(_let(_let(_let(F.regexp_replace(raw, r"(?U)^\s+|\s+$", ""), split), read), place), judge)
 
 
 def relative_time(moment: Column, now: Column) -> Column:
