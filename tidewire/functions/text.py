@@ -7,6 +7,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from tidewire import config as C
 
@@ -15,12 +16,12 @@ CJK = r"\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
 TRAILING = r"[\s>»＞|·・—\-–:：,，.。!！?？、]+$"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x), na_action="ignore")
 
