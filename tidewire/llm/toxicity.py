@@ -75,8 +75,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _fit(rows: list[np.ndarray], earlier: np.ndarray, y: np.ndarray) -> Linear:
     """Chi-square selection, then full-batch Adagrad on the penalised logistic loss, in which both
     labels weigh the same in total, so that 0.5 is the threshold."""
-    n, positive = len(rows), max(float(y.sum()), 1e-9)
-    lengths = np.array([len(r) for r in rows])
+    if not y.any():  # nothing to learn: never positive
+        return Linear(np.empty(0, np.int64), np.empty(0), np.zeros(earlier.shape[1]), -10.0)
+    n, positive = len(rows), float(y.sum())
+    lengths = np.array([len(r) for r in rows], np.int64)
     flat = np.concatenate([*rows, np.empty(0, np.int64)])
     per = np.repeat(y, lengths)
     seen, hits = np.bincount(flat, minlength=BUCKETS), np.bincount(flat, per, minlength=BUCKETS)
