@@ -42,6 +42,7 @@ SCORE_WEIGHTS = {"source": 3.0, "cross": 2.5, "recency": 1.5, "signal": 0.8, "he
 RECENCY_HOURS, CROSS_SATURATION = 72, 4
 HIGHLIGHT_SOURCES, HIGHLIGHT_HEAT, HIGHLIGHT_SIGNALS, HIGHLIGHT_ITEMS = 2, 150, 2, 5
 IMAGE_MAX_CHARS, IMAGE_SCAN_TAGS = 600, 12
+MAX_BYTES = 8 << 20
 
 # Parts of image addresses that are no picture of the article.
 IMAGE_DENY = (

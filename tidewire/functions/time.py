@@ -88,11 +88,21 @@ def effective(published: Column, first_seen: Column) -> Column:
 
 
 def date_shape(raw: Column) -> Column:
-    """Digits as 9 and letters as a, for the audit of date formats."""
-    return F.regexp_replace(F.regexp_replace(F.trim(raw), r"\d", "9"), "[A-Za-z]+", "a")
+    """The zone as it is written, or how the text looks without one; for the audit of dates."""
+    zone = F.regexp_extract(raw, r"([+-]\d{4}$|\bGMT\b|\bUTC\b|[+-]\d{2}:\d{2}$)", 1)
+    return F.when(F.coalesce(raw, F.lit("")) == "", "(无)").when(zone != "", zone).when(F.contains(raw, F.lit("T")), "ISO8601").otherwise("(未知)")
+
+
+def _ahead(newest: Column, now: Column) -> Column:
+    return (F.unix_micros(newest) - F.unix_micros(now)) / 3_600_000_000
 
 
 def zone_verdict(newest: Column, now: Column) -> Column:
     """Does the newest item of a source lie in the future, as mislabelled zones make it?"""
-    hours = (F.unix_micros(newest) - F.unix_micros(now)) / 3_600_000_000
+    hours = _ahead(newest, now)
     return F.when(newest.isNull(), "no_dates").when(hours > 4, "tz_mislabelled").when(hours > 0, "slightly_ahead").otherwise("ok")
+
+
+def suggested_offset(newest: Column, now: Column) -> Column:
+    """Minutes to override the zone with: those of +08:00 where the newest item is about 8 h ahead."""
+    return F.when(F.abs(_ahead(newest, now) - 8) < 1.5, 480)

@@ -30,13 +30,20 @@ def _key(stored: bool) -> Column:
     return F.struct(*[p.alias(n) for p, n in zip((*parts, F.col("id")), ("batch", "o1", "o2", "o3", "id"))])
 
 
-def _near_edges(nodes: DataFrame) -> DataFrame:
-    """(key_a, key_b) of rows (key, norm) whose titles are near duplicates, a earlier than b."""
-    grams = nodes.select("key", F.explode(blocking_grams(F.col("norm"), 3)).alias("g"))
-    pairs = grams.select(F.col("key").alias("a"), "g").join(grams.select(F.col("key").alias("b"), "g"), "g").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
-    x, y = nodes.select(F.col("key").alias("a"), F.col("norm").alias("na")), nodes.select(F.col("key").alias("b"), F.col("norm").alias("nb"))
-    both = pairs.join(x, "a").join(y, "b").where(length_ratio_ok(F.col("na"), F.col("nb")) & (F.col("na") != F.col("nb")))
-    return both.where(containment(blocking_grams(F.col("na"), 3), blocking_grams(F.col("nb"), 3)) >= C.DUP_CONTAINMENT).select("a", "b")
+def _near_edges(heads: DataFrame) -> DataFrame:
+    """(a, b) of rows (key, norm), one for each title, whose titles are near duplicates, a earlier
+    than b. A set that shares nine tenths of its grams has one of its rarest tenth in common with
+    the other, so only those are looked up."""
+    grams = heads.select("key", "norm", F.explode(blocking_grams(F.col("norm"), 3)).alias("g"))
+    df = grams.groupBy("g").agg(F.count("*").alias("df"))
+    w = W.partitionBy("norm")
+    placed = grams.join(df, "g").withColumn("place", F.row_number().over(w.orderBy("df", "g"))).withColumn("n", F.count("*").over(w))
+    most = F.col("n") - F.ceil(F.col("n") * C.DUP_CONTAINMENT - 1e-9) + 1
+    x = placed.where(F.col("place") <= most).select("g", F.col("key").alias("kx"), F.col("norm").alias("na"), F.col("n").alias("nx"))
+    y = placed.select("g", F.col("key").alias("ky"), F.col("norm").alias("nb"), F.col("n").alias("ny"))
+    fit = (F.col("nx") <= F.col("ny")) & (F.col("kx") != F.col("ky")) & length_ratio_ok(F.col("na"), F.col("nb"))
+    pairs = x.join(y, "g").where(fit).select(F.least("kx", "ky").alias("a"), F.greatest("kx", "ky").alias("b"), "na", "nb").dropDuplicates(["a", "b"])
+    return pairs.where(containment(blocking_grams(F.col("na"), 3), blocking_grams(F.col("nb"), 3)) >= C.DUP_CONTAINMENT).select("a", "b")
 
 
 def match(existing: DataFrame, incoming: DataFrame, fuzzy: bool = True) -> DataFrame:
@@ -53,16 +60,15 @@ def match(existing: DataFrame, incoming: DataFrame, fuzzy: bool = True) -> DataF
     rest = first.join(existing.select("id"), "id", "left_anti")
     nodes = scratch.table(store.unionByName(rest.select(_key(False).alias("key"), "norm", F.lit(1).alias("batch"))), "nodes")
     titled = nodes.where("norm <> ''")
-    # rows of one title: an edge to each earlier row that may survive; the first stored one is enough
-    head = titled.groupBy("norm").agg(F.min("key").alias("head"))
+    # Later rows of a title share its first one's fate: they match it if it survives, and otherwise
+    # whatever absorbed it, which is earlier than all of them. So the rounds see each title once.
+    head = scratch.table(titled.groupBy("norm").agg(F.min("key").alias("head")), "heads")
     if fuzzy:
-        x, y = titled.select(F.col("key").alias("a"), "norm"), titled.select(F.col("key").alias("b"), "norm")
-        same = x.join(y, "norm").where("a < b and b.batch = 1").select("a", "b", F.lit(2).alias("p"))
-        edges = same.unionByName(_near_edges(titled.select("key", "norm")).where("b.batch = 1").withColumn("p", F.lit(3)))
+        edges = _near_edges(head.select(F.col("head").alias("key"), "norm")).where("b.batch = 1")
     else:
-        edges = titled.join(head, "norm").where("head < key and batch = 1").select(F.col("head").alias("a"), F.col("key").alias("b"), F.lit(2).alias("p"))
+        edges = head.select(F.col("head").alias("a"), F.col("head").alias("b")).where("false")
     edges = scratch.table(edges, "edges")
-    state = scratch.table(nodes.select("key", F.when(F.col("batch") == 0, 1).cast("int").alias("alive")), "state")
+    state = scratch.table(head.select(F.col("head").alias("key"), F.when(F.col("head.batch") == 0, 1).cast("int").alias("alive")), "state")
     for _ in range(MAX_ROUNDS):
         seen = edges.join(state.select(F.col("key").alias("a"), "alive"), "a").groupBy("b").agg(F.max(F.coalesce("alive", F.lit(0))).alias("hit"), F.count(F.when(F.col("alive").isNull(), 1)).alias("open"))
         now = F.when(F.col("alive").isNotNull(), F.col("alive")).when(F.col("hit") == 1, 0).when(F.coalesce("open", F.lit(0)) == 0, 1)
@@ -74,10 +80,21 @@ def match(existing: DataFrame, incoming: DataFrame, fuzzy: bool = True) -> DataF
     else:
         raise RuntimeError("the survivors did not settle")
     alive = state.where("alive = 1").select(F.col("key").alias("a"))
-    best = edges.join(alive, "a").groupBy("b").agg(F.min(F.struct("p", "a")).alias("m"))
-    gone = state.where("alive = 0").join(best, state["key"] == best["b"]).select(F.col("key.id").alias("id"), F.col("m.a.id").alias("target"), F.col("m.p").alias("priority"))
-    fresh = state.where("alive = 1 and key.batch = 1").select(F.col("key.id").alias("id"), F.col("key.id").alias("target"), F.lit(0).alias("priority"))
-    return scratch.table(known.unionByName(gone).unionByName(fresh), "targets")
+    best = edges.join(alive, "a").groupBy("b").agg(F.min("a").alias("m"))
+    fate = head.join(best, head["head"] == best["b"], "left").join(state, head["head"] == state["key"]).select("norm", "head", "alive", "m")
+    late = titled.where("batch = 1").select("key", "norm").join(fate, "norm")
+    own = F.col("alive") == 1
+    target = F.when(own, F.col("head.id")).otherwise(F.col("m.id"))
+    priority = F.when(own & (F.col("head") == F.col("key")), 0).when(own, 2).otherwise(3)
+    told = late.select(F.col("key.id").alias("id"), target.alias("target"), priority.alias("priority"))
+    blank = nodes.where("norm = '' and batch = 1").select(F.col("key.id").alias("id"), F.col("key.id").alias("target"), F.lit(0).alias("priority"))
+    return scratch.table(known.unionByName(told).unionByName(blank), "targets")
+
+
+#: Columns that a later row may change; all others are an article's identity. `DERIVED` ones are
+#: computed anew after a merge.
+VOLATILE = ("published_at", "published_raw", "published_note", "summary", "summary_source", "heat", "comments", "image_url", "source_name_en", "last_seen_at", "at")
+DERIVED = ("cluster_id", "cluster_size", "independent_sources", "score", "reasons")
 
 
 def merge(existing: DataFrame, incoming: DataFrame, at: Column, days: int = C.WINDOW_DAYS, capacity: int = C.MAX_STORE_ITEMS, fuzzy: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -88,16 +105,31 @@ def merge(existing: DataFrame, incoming: DataFrame, at: Column, days: int = C.WI
     batch = incoming.withColumn("rank", _key(False)).join(targets.select("id", "target", "priority"), "id")
     base = existing.withColumn("rank", _key(True)).withColumn("target", F.col("id")).withColumn("priority", F.lit(0))
     rows = base.unionByName(batch, allowMissingColumns=True)
-    identity = ["id", "doc_id", "title", "norm", "source_id", "source_weight", "source_official", "first_seen_at", "lang"]
+    has = set(existing.columns)
+    who = F.struct(*[c for c in existing.columns if c not in VOLATILE])
     first = lambda c, ok: F.min_by(c, F.when(ok, F.col("rank")))
-    merged = rows.groupBy("target").agg(
-        *[first(c, F.col("id") == F.col("target")).alias(c) for c in identity],
-        first("published_at", F.col("published_at").isNotNull()).alias("published_at"),
-        F.min_by("summary", F.when(F.col("summary").isNotNull(), F.struct(-F.length("summary"), F.col("rank")))).alias("summary"),
+    dated = F.struct(*[c for c in ("published_at", "published_raw", "published_note") if c in has])
+    told = F.struct(*[c for c in ("summary", "summary_source") if c in has])
+    aggs = [
+        first(who, F.col("id") == F.col("target")).alias("who"), first(dated, F.col("published_at").isNotNull()).alias("dated"),
+        first(dated, F.col("id") == F.col("target")).alias("undated"), first(told, F.col("id") == F.col("target")).alias("untold"),
+        F.min_by(told, F.when(F.col("summary") != "", F.struct(-F.length("summary"), F.col("rank")))).alias("told"),
         F.max("heat").alias("heat"), F.count("*").alias("rows"), F.max("rank.batch").alias("touched"),
-    ).drop("target")
-    merged = merged.withColumn("at", F.coalesce("published_at", "first_seen_at"))
-    merged = merged.withColumn("last_seen_at", F.when(F.col("touched") == 1, at).otherwise(F.col("first_seen_at"))).drop("touched")
+    ]
+    if "comments" in has:
+        aggs.append(F.max("comments").alias("comments"))
+    if "image_url" in has:
+        aggs.append(first("image_url", F.col("image_url").isNotNull()).alias("image_url"))
+    if "source_name_en" in has:
+        aggs.append(F.max_by("source_name_en", F.when(F.col("source_name_en") != "", F.col("rank"))).alias("source_name_en"))
+    if "last_seen_at" in has:
+        aggs.append(first("last_seen_at", F.col("id") == F.col("target")).alias("seen_before"))
+    merged = rows.groupBy("target").agg(*aggs).drop("target")
+    merged = merged.withColumn("dated", F.coalesce("dated", "undated")).withColumn("told", F.coalesce("told", "untold")).drop("undated", "untold")
+    rest = [c for c in merged.columns if c not in ("who", "dated", "told")]
+    merged = merged.select("who.*", "dated.*", "told.*", *rest).withColumn("at", F.coalesce("published_at", "first_seen_at"))
+    before = F.col("seen_before") if "last_seen_at" in has else F.col("first_seen_at")
+    merged = merged.withColumn("last_seen_at", F.when(F.col("touched") == 1, at).otherwise(before)).drop("touched", "seen_before")
     return retain(merged, at, days, capacity), targets
 
 

@@ -13,8 +13,8 @@ def store_counts(articles: DataFrame, at: Column) -> DataFrame:
     n = lambda c: F.count(F.when(c, 1))
     return articles.agg(
         F.count("*").alias("total"), n(F.col("lang") == "zh").alias("zh"), n(F.col("lang") == "en").alias("en"), n(F.col("source_official")).alias("official"),
-        n(F.col("published_at").isNull()).alias("undated"), n(F.col("summary").isNotNull()).alias("with_summary"), n(F.col("heat").isNotNull()).alias("with_heat"),
-        n(age <= 86_400_000_000).alias("last_24h"), n(age <= 7 * 86_400_000_000).alias("last_7d"), F.countDistinct("source_id").alias("sources"),
+        n(F.col("published_at").isNotNull()).alias("with_published_at"), n(F.col("published_at").isNull()).alias("without_published_at"), n(F.col("cluster_id").isNotNull()).alias("clustered"),
+        n(F.col("image_url").isNotNull()).alias("with_image"), n(age <= 86_400_000_000).alias("last_24h"), n(age <= 7 * 86_400_000_000).alias("last_7d"),
     )
 
 

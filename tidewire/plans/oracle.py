@@ -202,7 +202,7 @@ SQL = {
     "relevance_filter": f"WITH {ARTICLES}, k AS (SELECT *, {HAY} AS hay FROM art), m AS (SELECT *, {NOT_NULL.format(x=TERMS)} AS hits FROM k) SELECT id, array_to_string(hits, '|') AS terms, NOT (source_weight < 1.1) OR len(hits) > 0 AS kept FROM m",
     "signal_counts": f"WITH {ARTICLES}, k AS (SELECT *, {HAY} AS hay FROM art), m AS (SELECT id, {NOT_NULL.format(x=SIGNAL)} AS s FROM k) SELECT id, len(s) AS n, array_to_string(s, '|') AS names FROM m",
     "parse_published": f"WITH {_RENDER} SELECT event_id, {_PARSED} AS published_at, CASE WHEN k = 4 THEN 'tz_assumed' END AS note FROM r",
-    "tz_audit": f"WITH {_RENDER}, g AS (SELECT event_type, regexp_replace(regexp_replace(raw, '\\d', '9', 'g'), '[A-Za-z]+', 'a', 'g') AS shape, count(*) AS n, max({_PARSED}) AS newest FROM r GROUP BY ALL) SELECT event_type, shape, n, newest, CASE WHEN h > 4 THEN 'tz_mislabelled' WHEN h > 0 THEN 'slightly_ahead' ELSE 'ok' END AS verdict FROM (SELECT *, (epoch_us(newest) - epoch_us(TIMESTAMP '2024-01-30 12:00:00')) / 3600000000.0 AS h FROM g)",
+    "tz_audit": f"WITH {_RENDER}, g AS (SELECT event_type, CASE k WHEN 0 THEN '+0000' WHEN 1 THEN 'GMT' WHEN 2 THEN '+0800' WHEN 3 THEN 'ISO8601' ELSE '(未知)' END AS shape, count(*) AS n, max({_PARSED}) AS newest FROM r GROUP BY ALL) SELECT event_type, shape, n, newest, CASE WHEN h > 4 THEN 'tz_mislabelled' WHEN h > 0 THEN 'slightly_ahead' ELSE 'ok' END AS verdict, CASE WHEN abs(h - 8) < 1.5 THEN 480::BIGINT END AS \"offset\" FROM (SELECT *, (epoch_us(newest) - epoch_us(TIMESTAMP '2024-01-30 16:00:00')) / 3600000000.0 AS h FROM g)",
     "relative_time": f"SELECT event_id, {MOMENT} AS label FROM (SELECT event_id, {SECONDS.format(now='2024-01-30 12:00:00', ts='ts')} AS s FROM events)",
     "cap_per_source": "SELECT event_type, event_id, place FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC NULLS LAST, event_id) AS place FROM events) WHERE place <= 20",
     "dual_track": "WITH e AS (SELECT event_id, ts, trunc(value)::INT AS points FROM events), u AS (SELECT 'high' AS track, * FROM e WHERE points > 80 AND ts > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 30 DAY UNION ALL SELECT 'fresh', * FROM e WHERE points > 20 AND ts > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 6 HOUR) SELECT track, event_id, points, 'https://news.ycombinator.com/item?id=' || event_id AS url FROM u",
@@ -216,7 +216,7 @@ SELECT id, title, published_at, summary, heat, rows FROM m WHERE coalesce(publis
     "article_reasons": f"{_scored()} SELECT id, array_to_string(reasons, '|') AS reasons FROM sc",
     "highlights": f"{_scored()}, {_PICK} SELECT id, title, source_id, score, array_to_string({_CARD}, '|') AS reasons, cluster_size, n AS independent_sources FROM top",
     "source_outcomes": f"{_OUTCOME} SELECT * FROM out",
-    "store_counts": f"WITH {ARTICLES} SELECT count(*) AS total, count(*) FILTER (lang = 'zh') AS zh, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (source_official) AS official, count(*) FILTER (published_at IS NULL) AS undated, count(summary) AS with_summary, count(heat) AS with_heat, count(*) FILTER (epoch_us({NOW}) - epoch_us(published_at) <= 86400000000) AS last_24h, count(*) FILTER (epoch_us({NOW}) - epoch_us(published_at) <= 604800000000) AS last_7d, count(DISTINCT source_id) AS sources FROM art",
+    "store_counts": f"{_members()} SELECT count(*) AS total, count(*) FILTER (lang = 'zh') AS zh, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (source_official) AS official, count(published_at) AS with_published_at, count(*) FILTER (published_at IS NULL) AS without_published_at, count(*) FILTER (member.independent_sources >= 2) AS clustered, count(*) FILTER (heat % 3 = 0) AS with_image, count(*) FILTER (epoch_us({NOW}) - epoch_us(published_at) <= 86400000000) AS last_24h, count(*) FILTER (epoch_us({NOW}) - epoch_us(published_at) <= 604800000000) AS last_7d FROM art LEFT JOIN member USING (id)",
     "health": f"{_OUTCOME}, st AS (SELECT unnest(['ok', 'no_new', 'stale', 'parse_warning', 'failed']) AS status) SELECT st.status, count(out.status) AS n FROM st LEFT JOIN out USING (status) GROUP BY st.status",
     "run_success_rate": f"WITH r AS (SELECT date_trunc('hour', ts) AS started_at, count(*) AS n FROM events GROUP BY 1), o AS (SELECT started_at, CASE WHEN n % 7 = 0 THEN 'failed' WHEN n % 5 = 0 THEN 'partial' WHEN n % 3 = 0 THEN 'no_new' ELSE 'success' END IN ('success', 'no_new') AS good FROM r) SELECT round(avg(good::INT) FILTER (started_at >= {NOW} - INTERVAL 7 DAY), 4) AS success_rate_7d, max(started_at) FILTER (good)::TIMESTAMP AS last_success_at FROM o",
     "ui_filter": f"WITH {ARTICLES} SELECT id, source_id FROM art WHERE at_ >= {NOW} - INTERVAL 29 DAY AND lang = 'en' AND contains(lower(title), 'th')",

@@ -155,7 +155,8 @@ def parse_published(spark, d):
 def tz_audit(spark, d):
     p = T.parse_published(F.col("raw"), views.now() + F.expr("interval 10 days"))["ts"]
     g = _rendered(spark, d).select("event_type", T.date_shape(F.col("raw")).alias("shape"), p.alias("ts")).groupBy("event_type", "shape").agg(F.count("*").alias("n"), F.max("ts").alias("newest"))
-    return g.withColumn("verdict", T.zone_verdict(F.col("newest"), F.lit("2024-01-30 12:00:00").cast("timestamp")))
+    at = F.lit("2024-01-30 16:00:00").cast("timestamp")
+    return g.withColumn("verdict", T.zone_verdict(F.col("newest"), at)).withColumn("offset", T.suggested_offset(F.col("newest"), at).cast("long"))
 
 
 def relative_time(spark, d):
@@ -229,7 +230,9 @@ def source_outcomes(spark, d):
 
 
 def store_counts(spark, d):
-    return report.store_counts(views.articles(spark, d), views.now())
+    a = views.articles(spark, d).join(cluster.cross_source(_members(spark, d)).select("id", "cluster_id"), "id", "left")
+    # the documents name pictures nowhere; their events' number tells which have one
+    return report.store_counts(a.withColumn("image_url", F.when(F.col("heat") % 3 == 0, F.lit("https://cdn.example.com/x.jpg"))), views.now())
 
 
 def health(spark, d):

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from xml.parsers import expat
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import StringType
 
 from tidewire import config as C
 from tidewire.functions.text import first_image, media_image, squeeze, unescape
@@ -31,13 +35,42 @@ def _media(item: Column, tag: str) -> Column:
     return media_image(F.transform(tags, lambda t: F.struct(_attribute(t, "url").alias("url"), _attribute(t, "type").alias("type"))))
 
 
-def read_feeds(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each item of the files `path`/<source id>.xml, in feed order: source_id, place,
-    title, url, published_raw, summary_raw, image_url, tags, announce. Each item is cut out and read
-    by itself, so a malformed one costs no other; items without title or link are dropped."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path)
-    text = files.select(F.regexp_extract("path", r"([^/]+?)\.[^/.]*$", 1).alias("source_id"), F.decode("content", "UTF-8").alias("x"))
-    items = text.select("source_id", F.posexplode(F.regexp_extract_all("x", F.lit(ITEM), F.lit(0))).alias("place", "item"))
+@F.pandas_udf(StringType())
+def _fault(content: pd.Series) -> pd.Series:
+    def check(b: bytes) -> str | None:
+        try:
+            expat.ParserCreate().Parse(b, True)
+        except expat.ExpatError as e:
+            return str(e)[:200]
+        return None
+
+    return content.map(check, na_action="ignore").astype(object)
+
+
+def landed(files: DataFrame) -> DataFrame:
+    """(source_id, variant, n_variants, content) of files <source id>.<anything>, in the order of
+    their names from 0. The answers to a source's requests are a few files of at most MAX_BYTES."""
+    named = files.select(F.regexp_extract("path", r"([^/.]+)\.[^/]*$", 1).alias("source_id"), "path", F.when(F.col("length") <= C.MAX_BYTES, F.col("content")).alias("content"))
+    w = W.partitionBy("source_id")
+    return named.select("source_id", (F.row_number().over(w.orderBy("path")) - 1).alias("variant"), F.count("*").over(w).alias("n_variants"), "content")
+
+
+def _items(feeds: DataFrame) -> DataFrame:
+    text = feeds.select("source_id", F.decode("content", "UTF-8").alias("x"))
+    return text.select("source_id", F.posexplode(F.regexp_extract_all("x", F.lit(ITEM), F.lit(0))).alias("place", "item"))
+
+
+def feed_profile(feeds: DataFrame) -> DataFrame:
+    """(source_id, items_seen, fault) of (source_id, content): items before any is dropped, and why
+    the file is not well-formed, null if it is. Content that is null or empty has no items."""
+    return feeds.select("source_id", F.size(F.regexp_extract_all(F.coalesce(F.decode("content", "UTF-8"), F.lit("")), F.lit(ITEM), F.lit(0))).alias("items_seen"), _fault("content").alias("fault"))
+
+
+def feed_items(feeds: DataFrame) -> DataFrame:
+    """One row for each item of (source_id, content), in feed order: source_id, place, title, url,
+    published_raw, summary_raw, image_url, tags, announce. Each item is cut out and read by itself,
+    so a malformed one costs no other; items without title or link are dropped."""
+    items = _items(feeds)
     i = F.col("item")
     links = F.regexp_extract_all(i, F.lit(r"(?is)<link\b[^>]*\bhref[^>]*>"), F.lit(0))
     link = F.coalesce(_field(i, "link"), unescape(_attribute(F.coalesce(F.try_element_at(F.filter(links, lambda t: ~F.contains(t, F.lit("enclosure"))), F.lit(1)), F.lit("")), "href")))
@@ -53,6 +86,12 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     return out.where("title <> '' and url <> ''")
 
 
+def read_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """`feed_items` of the files `path`/<source id>.xml."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(path)
+    return feed_items(landed(files).where("variant = 0"))
+
+
 def announced(items: DataFrame, kinds: tuple[str, ...] = C.ANNOUNCE_TYPES) -> DataFrame:
     """Without items of other announcement kinds; those that name none stay."""
     return items.where(F.col("announce").isNull() | F.col("announce").isin(*kinds))
@@ -68,11 +107,29 @@ def cap_by_date(items: DataFrame, limit: Column, now: Column) -> DataFrame:
 HITS = "hits array<struct<objectID:string,title:string,url:string,created_at:string,points:int,num_comments:int>>"
 
 
-def read_hits(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a JSON search answer; an item without its own address gets that of its discussion."""
-    hit = spark.read.schema(HITS).option("multiLine", True).json(path).select(F.explode("hits").alias("h")).select("h.*")
+def _hits(hit: DataFrame) -> DataFrame:
     url = F.coalesce(F.nullif(F.trim("url"), F.lit("")), F.concat(F.lit("https://news.ycombinator.com/item?id="), F.col("objectID")))
     return hit.select(
-        F.lit("hn").alias("source_id"), squeeze(F.col("title")).alias("title"), url.alias("url"), F.col("created_at").alias("published_raw"),
+        "source_id", squeeze(F.col("title")).alias("title"), url.alias("url"), F.col("created_at").alias("published_raw"),
         F.coalesce("points", F.lit(0)).alias("heat"), F.coalesce("num_comments", F.lit(0)).alias("comments"),
     ).where("title <> ''")
+
+
+def read_hits(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a JSON search answer; an item without its own address gets that of its discussion."""
+    hit = spark.read.schema(HITS).option("multiLine", True).json(path).select(F.lit("hn").alias("source_id"), F.explode("hits").alias("h"))
+    return _hits(hit.select("source_id", "h.*"))
+
+
+def hit_rows(answers: DataFrame) -> DataFrame:
+    """The hits of both tracks of (source_id, variant, n_variants, content), as a bag: the first
+    answer serves the first track, the second one, or else the first again, the other. An answer
+    that is no JSON has none."""
+    doc = F.from_json(F.decode("content", "UTF-8"), HITS)
+    twice = F.when(F.col("n_variants") == 1, 2).otherwise(1)
+    one = answers.where("variant < 2").select("source_id", F.explode(F.array_repeat(doc["hits"], twice)).alias("hs"))
+    return one.select("source_id", F.explode("hs").alias("h")).select("source_id", "h.*")
+
+
+def hit_items(answers: DataFrame) -> DataFrame:
+    return _hits(hit_rows(answers))
