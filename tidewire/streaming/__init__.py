@@ -1 +1 @@
-"""Structured Streaming extension."""
+"""Structured Streaming over landed files."""
