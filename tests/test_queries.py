@@ -5,7 +5,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.operators import merge
+from tidewire.operators import cluster, merge
 from tidewire.plans.oracle import SQL
 from tidewire.plans.queries import QUERIES
 
@@ -54,3 +54,21 @@ def test_merge_equals_a_loop(spark):
         if want[r[0]] == r[0]:
             alive.append(r)
     assert got == want
+
+
+def test_near_duplicates_share_frequent_grams(spark):
+    """All pairs by brute force; far more titles than MAX_POSTINGS have each gram."""
+    rng = random.Random(6)
+    base = "".join(rng.choice("abcdefgh") for _ in range(60))
+    rows = {}
+    for i in range(300):
+        t = list(base[: rng.randrange(25, 61)])
+        for _ in range(rng.randrange(4)):
+            t[rng.randrange(len(t))] = rng.choice("abcxyz")
+        rows.setdefault("".join(t), i)
+    rows |= {"ab": 400, "abc": 401, "aaaaaaa": 402, "aaaaaaaaaa": 403, "aaaaaaaaaaa": 404}
+    g = {t: {t[k : k + 3] for k in range(len(t) - 2)} or {t} for t in rows}
+    near = lambda a, b: min(len(a), len(b)) >= 0.7 * max(len(a), len(b)) and len(g[a] & g[b]) / min(len(g[a]), len(g[b])) >= 0.9
+    want = {(rows[a], rows[b]): len(g[a] & g[b]) / min(len(g[a]), len(g[b])) for a in rows for b in rows if rows[a] < rows[b] and near(a, b)}
+    got = cluster.near_duplicate_titles(spark.createDataFrame([(i, t) for t, i in rows.items()], "id long, norm string")).collect()
+    assert {(r["a"], r["b"]): r["containment"] for r in got} == want and len(got) == len(want)

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewire import config as C
-from tidewire.functions.grams import blocking_grams, entities, length_ratio_ok, same_event, shingle_set
+from tidewire.functions.grams import blocking_grams, containment, entities, same_event, shingle_set
 from tidewire.operators.graph import connected_components
 from tidewire.storage import Scratch
 
+#: 64-bit words in the bitmap of a title's grams.
+WORDS = 8
+
 
 def entity_df(articles: DataFrame, stop: tuple[str, ...] = C.ENTITY_STOP) -> DataFrame:
     """(id, entity, df): case variants count once each for a title; df is by the lower-cased form."""
@@ -66,9 +71,35 @@ def cross_source(members: DataFrame) -> DataFrame:
 
 def near_duplicate_titles(titles: DataFrame) -> DataFrame:
     """(a, b, containment) over distinct normalised titles (id, norm): similar lengths, 90 % of the
-    smaller set of 3-grams shared, found over shared 3-grams."""
-    pairs = blocked_pairs(titles.select("id", F.explode(blocking_grams(F.col("norm"), 3)).alias("key")))
-    sets = titles.select("id", "norm", blocking_grams(F.col("norm"), 3).alias("g"))
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("norm").alias("na"), F.col("g").alias("ga")), "a").join(sets.select(F.col("id").alias("b"), F.col("norm").alias("nb"), F.col("g").alias("gb")), "b")
-    share = F.size(F.array_intersect("ga", "gb")) / F.least(F.size("ga"), F.size("gb"))
-    return both.where(length_ratio_ok(F.col("na"), F.col("nb"))).withColumn("containment", share).where(F.col("containment") >= C.DUP_CONTAINMENT).select("a", "b", "containment")
+    smaller set of 3-grams shared. The result is exact; no gram is too frequent.
+
+    A set that shares nine tenths of its grams has one of its rarest tenth in common with the other,
+    so only those are looked up, and only among titles of nearby lengths. A gram counts only as early
+    in the larger set as the first common one can be. Each gram sets one of 64 * WORDS bits; a title
+    has no more bits that the other one lacks than grams that it may lack.
+    """
+    scratch = Scratch(titles.sparkSession, "titles")
+    grams = F.transform(blocking_grams(F.col("norm"), 3), lambda g: F.xxhash64(g))
+    sets = scratch.table(titles.select("id", F.length("norm").alias("l"), F.array_distinct(grams).alias("s")), "sets")
+    least = lambda n: F.ceil(n * C.DUP_CONTAINMENT - 1e-9)
+    rows = sets.select("id", "l", F.size("s").alias("n"), F.explode("s").alias("g"))
+    w, bit = W.partitionBy("id"), F.shiftrightunsigned("g", 6)
+    flag = F.expr("shiftleft(1L, cast(g & 63 as int))")
+    words = [F.bit_or(F.when(F.pmod(bit, F.lit(WORDS)) == k, flag).otherwise(F.lit(0).cast("long"))).over(w).alias(f"w{k}") for k in range(WORDS)]
+    # one more than the ratio allows, so that rounding cannot part neighbours
+    band = F.floor(F.log(F.col("l").cast("double")) / -math.log(0.999 * C.DUP_LENGTH_RATIO))
+    counts = rows.groupBy("g").agg(F.count("*").alias("df"))
+    placed = rows.join(counts, "g").select("id", "l", "n", "g", band.alias("band"), F.row_number().over(w.orderBy("df", "g")).alias("place"), *words)
+    placed = scratch.table(placed, "placed")
+    x = placed.where(F.col("place") <= F.col("n") - least(F.col("n")) + 1).drop("place")
+    x = x.withColumn("band", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])))
+    few = x.groupBy("g", "band").agg(F.min("n").alias("few"))
+    y = placed.join(few, ["g", "band"]).where((F.col("n") >= F.col("few")) & (F.col("place") <= F.col("n") - least(F.col("few")) + 1)).drop("few")
+    x, y = (t.select("g", "band", *[F.col(c).alias(f"{side}_{c}") for c in t.columns if c not in ("g", "band")]) for side, t in (("x", x), ("y", y)))
+    nx, ny = F.col("x_n"), F.col("y_n")
+    fit = (nx < ny) | ((nx == ny) & (F.col("x_id") < F.col("y_id")))
+    fit &= (F.col("y_place") <= ny - least(nx) + 1) & (F.least("x_l", "y_l") >= C.DUP_LENGTH_RATIO * F.greatest("x_l", "y_l"))
+    lacks = sum((F.bit_count(F.col(f"x_w{k}").bitwiseAND(F.bitwise_not(F.col(f"y_w{k}")))) for k in range(WORDS)), F.lit(0))
+    pairs = x.join(y, ["g", "band"]).where(fit & (lacks <= nx - least(nx))).select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+    return both.select("a", "b", containment(F.col("sa"), F.col("sb")).alias("containment")).where(F.col("containment") >= C.DUP_CONTAINMENT)
