@@ -174,6 +174,31 @@ def test_urls(spark):
     assert url_filter.filter_urls(pages.where("false"), url_filter.equivalences(pages.where("false"))).count() == 0
 
 
+def test_urls_follow_relative_targets(spark):
+    link, refresh = '<link rel=canonical href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    rows = [
+        ("http://a.org/p/q?x=1", link.format("//b.net/y")), ("http://c.org/1/2/3", refresh.format("../d")), ("http://www.c.org/1/d/", link.format("http://b.net/c")),
+        ("http://e.org/x", link.format("http://www.f.org/t/")), ("http://g.org/x", link.format("https://f.org/t")), ("http://f.org/t?", link.format("http://b.net/f")),
+        ("http://h.org/x", link.format("http://i.org/?a=1&amp;b=2")), ("http://i.org/?a=1&b=2", link.format("http://b.net/i")), ("http://j.org/x", link.format("/y")), ("http://k.org/x", link.format("mailto:a@b.net")),
+        ("http://l.org/a", refresh.format("?z=1")), ("http://l.org/a?z=1", link.format("http://b.net/l")), ("nothing", link.format("/x")),
+    ]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r["page_id"] for r in url_filter.filter_urls(pages, url_filter.equivalences(pages)).where("verdict = 'block'").collect()}
+    assert got == {0, 1, 2, 3, 4, 5, 6, 7, 10, 11}
+
+
+def test_resolved_urls_equal_urljoin(spark):
+    from urllib.parse import urljoin
+
+    from tidewire.functions.url import resolve_url
+
+    bases = ["http://a.org", "http://a.org/", "https://a.org/b/c/d?q=1#f", "http://a.org/b/c/"]
+    refs = ["g", "./g", "g/", "/g", "//h.org", "//h.org/x", "?y", "g?y", "#s", "g#s", ".", "./", "..", "../", "../g", "../..", "../../g", "../../../g", "/./g", "/../g", "g.", "..g", "g;x=1/../y", "g?y/../x", "http://x.org/a", "a/b/../c"]
+    df = spark.createDataFrame([(b, r) for b in bases for r in refs], "b string, r string")
+    got = {(r["b"], r["r"]): r["u"] for r in df.select("b", "r", resolve_url(F.col("r"), F.col("b")).alias("u")).collect()}
+    assert got == {(b, r): urljoin(b, r) for b in bases for r in refs}
+
+
 def test_revisits(spark):
     h = lambda **x: [(k, v) for k, v in x.items()]
     rows = [

@@ -61,6 +61,33 @@ def canonical_url(url: Column) -> Column:
     return F.when((netloc == "") | bad, t).otherwise(full)
 
 
+def _without_dots(path: Column) -> Column:
+    """The path without `.` and `..` segments; one of these at the end leaves a slash."""
+    up, here = F.lit(".."), F.lit(".")
+    parts = F.split(F.regexp_replace(path, r"^/", ""), "/", -1)
+    parts = F.when(F.element_at(parts, -1).isin("..", "."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    step = lambda out, x: F.when(x == up, F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0)))).when(x == here, out).otherwise(F.concat(out, F.array(x)))
+    return F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+
+
+def resolve_url(ref: Column, base: Column) -> Column:
+    """What `ref` stands for on the page `base`, as RFC 3986 has it. A reference with a scheme stays
+    as it is; null if any other one has no `://` in its base."""
+    r, b = (F.regexp_replace(F.regexp_replace(c, r"^\s+|\s+$", ""), r"[\t\r\n]", "") for c in (ref, base))
+    whole = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
+    scheme, netloc, path, query = (F.regexp_extract(b, whole, i) for i in range(1, 5))
+    site = F.concat(scheme, F.lit("://"), netloc)
+    own, rest = F.regexp_extract(r, r"^([^?#]*)", 1), F.regexp_extract(r, r"^[^?#]*(.*)$", 1)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    under = F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(folder, own))
+    under = F.when(under.rlike(r"/\.{1,2}(/|$)"), _without_dots(under)).otherwise(under)
+    return (
+        F.when(r.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), r).when(~b.rlike(whole), F.lit(None).cast("string"))
+        .when(F.startswith(r, F.lit("//")), F.concat(scheme, F.lit(":"), r)).when((own == "") & ~F.startswith(rest, F.lit("?")), F.concat(site, path, query, rest))
+        .when(own == "", F.concat(site, path, rest)).otherwise(F.concat(site, under, rest))
+    )
+
+
 def article_id(canonical: Column) -> Column:
     """Stable id of an article: the first 16 hex digits of the canonical URL's SHA-1."""
     return F.substring(F.sha1(canonical.cast("binary")), 1, 16)

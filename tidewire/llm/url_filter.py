@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidewire.functions.url import canonical_url
+from tidewire.functions.text import unescape
+from tidewire.functions.url import canonical_url, resolve_url
 from tidewire.llm.common import lower_ascii, read, session
 from tidewire.operators.graph import connected_components
 from tidewire.plans.sqltext import canonical_url_sql
@@ -39,11 +40,16 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RU
 
 def equivalences(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """(src, dst): a page's URL with its canonical form, with the target of its canonical link and
-    with that of an immediate refresh, where these are absolute."""
+    with that of an immediate refresh, and these targets with their own canonical forms. Targets are
+    unescaped and resolved against the page's URL."""
     u = F.col(url)
     link = lambda pattern, word: F.when(F.contains(F.lower(html), F.lit(word)), F.nullif(F.regexp_extract(html, pattern, 1), F.lit("")))
-    targets = F.array(canonical_url(u), link(CANONICAL, "canonical"), link(REFRESH, "refresh"))
-    e = pages.where(u.isNotNull()).select(u.alias("src"), F.explode(targets).alias("dst"))
+    found = F.array(*[F.struct(F.lit(own).alias("own"), c.alias("dst")) for own, c in ((True, canonical_url(u)), (False, link(CANONICAL, "canonical")), (False, link(REFRESH, "refresh")))])
+    e = pages.where(u.isNotNull()).select(u.alias("src"), F.explode(found).alias("t")).select("src", "t.own", "t.dst").where("dst is not null")
+    target = resolve_url(unescape(F.when(~F.col("own"), F.col("dst"))), F.col("src"))
+    e = e.withColumn("dst", F.when(F.col("own"), F.col("dst")).otherwise(target))
+    both = F.array(F.struct("src", "dst"), F.when(~F.col("own"), F.struct(F.col("dst").alias("src"), canonical_url(F.col("dst")).alias("dst"))))
+    e = e.where("contains(dst, '://')").select(F.explode(both).alias("e")).select("e.src", "e.dst")
     return e.where("dst is not null and dst <> src and contains(dst, '://')")
 
 
