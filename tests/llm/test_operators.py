@@ -236,6 +236,30 @@ def test_licenses(docs, empty):
     assert [(n, a, b) for n, _, _, a, b in found] == [("ISC", 50, 50 + len(words))]
 
 
+def test_short_notices():
+    """Changed notices, and any texts of their words against alignment everywhere."""
+    index = license_scan.Index(license_scan.TEMPLATES)
+    names = lambda t: [n for n, *_ in license_scan.find(index, t.encode())]
+    assert names("Released under MIT License") == names("It was released, under the good MIT License") == ["MIT notice"]
+    assert names("Licensed under a CC BY 4.0") == names("licensed now under a CC BY at 4.0") == ["CC-BY-4.0 notice"]
+    assert names("Licensed under CC BY-NC 4.0.") == ["CC-BY-NC-4.0 notice"] and names("Licensed under CC BY-SA 4.0.") == ["CC-BY-SA-4.0 notice"]
+    rng = np.random.default_rng(8)
+    short = {n: t.split() for n, t in license_scan.TEMPLATES.items() if n.endswith("notice")}
+    for _ in range(300):
+        words = list(short[rng.choice(list(short))])
+        for _ in range(rng.integers(4)):
+            at = rng.integers(len(words))
+            words[at : at + rng.integers(2)] = [["the", "q"][rng.integers(2)]] * rng.integers(2)
+        h = license_scan.hashes(" ".join(["x"] * rng.integers(9) + words + ["y"] * 3).encode())
+        best = {}
+        for i, t in enumerate(index.words):
+            if index.names[i] in short:
+                found = max(license_scan.align(t, h, d, 4 + len(t) // 8)[0] for d in range(-len(t), len(h)))
+                best |= {index.names[i]: found / len(t)} if found >= 0.8 * len(t) else {}
+        got = {n: c for n, c, *_ in license_scan._notices(index, h)}
+        assert got == {n: c for n, c in best.items() if c == max(best.values())}
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,10 @@ GRAM = 3
 WINDOW = 3
 #: Least share of a template's words that must align.
 COVERAGE = 0.8
+#: Templates of fewer words are looked up by single words, as a change can break all their grams.
+SHORT = 16
+#: Words that are looked up only where a template has too few others.
+COMMON = tuple(w.encode() for w in "a an and by for in is of on or the this to under with work".split())
 
 # License texts and notices as their publishers word them.
 TEMPLATES = {
@@ -80,20 +85,39 @@ def winnow(g: np.ndarray) -> list[int]:
 
 
 class Index:
-    """Inverted index of the templates' fingerprints."""
+    """Inverted index of the templates' fingerprints, and of words of the short ones: where enough
+    of a template aligns, one of any words more than it may lack does."""
 
-    def __init__(self, templates: dict[str, str]):
-        self.names = list(templates)
+    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
+        self.names, self.coverage = list(templates), coverage
         self.words = [hashes(t.encode()) for t in templates.values()]
+        self.sets = [set(h.tolist()) for h in self.words]
+        short = [i for i, h in enumerate(self.words) if len(h) < SHORT]
+        used = Counter(w for i in short for w in self.sets[i])
+        common = {_WORDS[w] for w in COMMON}
         postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        anchors: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for i, h in enumerate(self.words):
+            if i in short:
+                rare = sorted(range(len(h)), key=lambda at: (int(h[at]) in common, used[int(h[at])], at))
+                for at in rare[: len(h) - self.least(i) + 1]:
+                    anchors[int(h[at])].append((i, at))
+                continue
             g = grams(h)
             for at in winnow(g):
                 postings[int(g[at])].append((i, at))
-        self.postings = dict(postings)
-        self.prints = np.array(sorted(postings), np.uint64)
-        self.low = np.zeros(1 << 16, bool)
-        self.low[(self.prints & np.uint64(0xFFFF)).astype(np.int64)] = True
+        self.postings, self.anchors = dict(postings), dict(anchors)
+        self.low, self.low_words = self._low(postings), self._low(anchors)
+
+    @staticmethod
+    def _low(keys: dict) -> np.ndarray:
+        out = np.zeros(1 << 16, bool)
+        out[(np.array(sorted(keys), np.uint64) & np.uint64(0xFFFF)).astype(np.int64)] = True
+        return out
+
+    def least(self, i: int) -> int:
+        """Words of template i that must align."""
+        return max(1, math.ceil(self.coverage * len(self.words[i]) - 1e-9))
 
     def hits(self, h: np.ndarray) -> dict[int, list[tuple[int, int]]]:
         """(place in the text, place in the template) by template."""
@@ -104,6 +128,22 @@ class Index:
                 out[i].append((int(at), there))
         return out
 
+    def notices(self, h: np.ndarray) -> dict[int, set[int]]:
+        """Diagonals by short template where a word of it has enough others around."""
+        out: dict[int, set[int]] = defaultdict(set)
+        for at in np.flatnonzero(self.low_words[(h & np.uint64(0xFFFF)).astype(np.int64)]):
+            for i, there in self.anchors.get(int(h[at]), ()):
+                t = self.words[i]
+                reach = len(t) + 2 * _band(t)
+                near = self.sets[i].intersection(h[max(0, at - reach) : at + reach + 1].tolist())
+                if len(near) >= self.least(i) - (len(t) - len(self.sets[i])):
+                    out[i].add(int(at) - there)
+        return out
+
+
+def _band(t: np.ndarray) -> int:
+    return 4 + len(t) // 8
+
 
 def align(t: np.ndarray, d: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
     """Best local alignment of template `t` and text `d` within `band` of a diagonal (place in d
@@ -144,14 +184,28 @@ def align(t: np.ndarray, d: np.ndarray, diagonal: int, band: int) -> tuple[int,
     return matched, first, last + 1
 
 
-def find(index: Index, text: bytes, coverage: float = COVERAGE) -> list[tuple[str, float, int, int, int]]:
+def _notices(index: Index, h: np.ndarray) -> list[tuple[str, float, int, int, int]]:
+    """What `find` gives for short templates. Where several fit one place, the best stay; as they
+    differ in a word or two, a notice can be nearly that of another license."""
+    found = []
+    for i, diagonals in index.notices(h).items():
+        t, done = index.words[i], []
+        for matched, first, end in sorted({align(t, h, d, _band(t)) for d in diagonals}, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+            if matched >= index.least(i) and not any(first < e and s < end for s, e in done):
+                done.append((first, end))
+                found.append((index.names[i], matched / len(t), matched, first, end))
+    same = lambda x, y: 2 * (min(x[4], y[4]) - max(x[3], y[3])) > min(x[4] - x[3], y[4] - y[3])
+    return [x for x in found if not any(y[1] > x[1] and same(x, y) for y in found)]
+
+
+def find(index: Index, text: bytes) -> list[tuple[str, float, int, int, int]]:
     """(template, coverage, matched words, first word, end word) for each place of `text` that holds
     enough of a template, in the order of places."""
-    h = hashes(text)
-    out = []
+    h, coverage = hashes(text), index.coverage
+    out = _notices(index, h)
     for i, hits in index.hits(h).items():
         t = index.words[i]
-        band = 4 + len(t) // 8
+        band = _band(t)
         hits.sort()
         groups: list[list[tuple[int, int]]] = []
         for at, there in sorted(hits, key=lambda x: (x[0] - x[1], x[0])):
@@ -182,7 +236,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
     Other columns are not read.
     """
     importable(session(docs))
-    index = Index(templates or TEMPLATES)
+    index = Index(templates or TEMPLATES, coverage)
     kind = docs.select(F.col(key).alias("__key")).schema["__key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +244,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
         for b in batches:
             rows, at = [], []
             for r, t in enumerate(b.column(1).to_pylist()):
-                for name, share, matched, first, end in find(index, t, coverage):
+                for name, share, matched, first, end in find(index, t):
                     at.append(r)
                     rows.append((name, share, matched, first, end, b" ".join(t.split()[first:end]).decode("utf-8", "replace")))
             cols = list(zip(*rows)) if rows else [()] * 6
