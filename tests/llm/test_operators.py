@@ -260,6 +260,20 @@ def test_short_notices():
         assert got == {n: c for n, c in best.items() if c == max(best.values())}
 
 
+@pytest.mark.parametrize("shift", [0, 1 << 62, -(1 << 62)])
+def test_near_copies_with_a_repeated_doc_id(spark, shift):
+    say = lambda tag, *changed: " ".join(f"{tag}{k}" if k not in changed else "other" for k in range(60))
+    rows = [(1, say("a")), (5, say("a", 59)), (5, say("b")), (6, say("b", 59)), (7, say("c")), (7, say("c", 0)), (7, say("c")), (8, say("d")), (9, say("e")), (9, say("f")), (4, say("f", 0)), (None, say("g")), (None, say("h"))]
+    rows = [(k if k is None else k + shift, t) for k, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    left = Counter(map(tuple, corpus_pipeline.drop_near_copies(spark, df, "").collect()))
+    certain = {rows[i] for i in (0, 2, 7, 8, 10, 11, 12)}
+    assert {r for r in left if r[0] != 7 + shift} == certain and len([r for r in left if r[0] == 7 + shift]) == 1
+    got = Counter(tuple(r) for r in ngram_join.jaccard_components(df).select("doc_id", "component_id").collect())
+    want = Counter({(1, 1): 1, (5, 1): 1, (5, 5): 1, (6, 5): 1, (7, 7): 3, (8, 8): 1, (9, 9): 1, (9, 4): 1, (4, 4): 1})
+    assert got == Counter({(a + shift, b + shift): n for (a, b), n in want.items()} | {(None, None): 2})
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     for name, stage in corpus_pipeline.STAGES:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import Memo, read, session, text_of
+from tidewire.llm.common import Memo, lower_ascii, read, session, text_of
 from tidewire.operators.graph import connected_components
 from tidewire.storage import Scratch, importable
 
@@ -398,7 +398,39 @@ def _pieces(df: DataFrame, rows: str) -> DataFrame:
     return df.withColumn("ca", F.least("c", "o")).withColumn("cb", F.greatest("c", "o")).drop("o", rows)
 
 
+def told_apart(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame | None]:
+    """(`docs` with a long `__row` that no two texts share, the rows (__row, __key) whose `__row` is
+    not the key). It is the key, unless texts that differ repeat one: each of these has a new number
+    then, outside the range of the keys."""
+    scratch = Scratch(session(docs), "rows")
+    k, sha = F.col(key).cast("long"), F.sha2(lower_ascii(text_of(text)), 256)
+    several = docs.where(k.isNotNull()).groupBy(k.alias("__key")).agg(F.min(sha).alias("lo"), F.max(sha).alias("hi")).where("lo <> hi")
+    several = scratch.table(several.select("__key"), "repeated")
+    if several.isEmpty():
+        return docs.withColumn("__row", k), None
+    marked = docs.withColumn("__key", k).withColumn("__sha", sha)
+    lo, hi = docs.agg(F.min(k), F.max(k)).first()
+    # the numbers go up from the largest key or, where that leaves too little room, down from the least
+    number = F.lit(hi) + 1 + F.monotonically_increasing_id() if hi < 0 or hi <= -lo else F.lit(lo) - 1 - F.monotonically_increasing_id()
+    texts = marked.join(several, "__key", "left_semi").select("__key", "__sha").distinct()
+    renamed = scratch.table(texts.withColumn("__new", number), "renamed")
+    keyed = marked.join(renamed, ["__key", "__sha"], "left").withColumn("__row", F.coalesce("__new", "__key"))
+    return keyed.select(*docs.columns, "__row"), renamed.select(F.col("__new").alias("__row"), "__key")
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """What `row_components` gives, for docs in which texts that differ may repeat a key: each text
+    is then judged by itself."""
+    keyed, renamed = told_apart(docs, key, text)
+    out = row_components(keyed, "__row", text, shingle, percent)
+    if renamed is not None:
+        out = Scratch(session(docs), "judged").table(out, "rows").join(renamed, "__row", "left").withColumn("__row", F.coalesce("__key", "__row"))
+        least = out.where("__row is not null").groupBy("component_id").agg(F.min("__row").alias("__least"))
+        out = out.join(least, "component_id", "left").withColumn("component_id", F.col("__least"))
+    return out.select(F.col("__row").alias(key), "n_shingles", "component_id")
+
+
+def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
     """key, n_shingles, component_id for each row of `docs`: documents link when the Jaccard
     similarity of their sets of word shingles is at least percent / 100, and component_id is the
     smallest key that links reach. The result is exact.
@@ -418,8 +450,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     no task holds a whole one. Joins by document never broadcast.
 
     Null, empty and blank texts have no shingles, link with nothing and are their own component; a
-    null key likewise. Rows that repeat a key share a component if their texts link. No rows give no
-    rows. Other columns are not read.
+    null key likewise. Rows may repeat a key only with the same text (`told_apart` sees to that). No
+    rows give no rows. Other columns are not read.
     """
     spark, scratch = session(docs), Scratch(session(docs), "ngram")
     importable(spark)
