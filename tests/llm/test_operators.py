@@ -260,6 +260,21 @@ def test_short_notices():
         assert got == {n: c for n, c in best.items() if c == max(best.values())}
 
 
+@pytest.mark.parametrize("short", [0, 1000])
+@pytest.mark.parametrize("percent", [10, 40, 60, 100])
+def test_candidates_of_all_lengths(monkeypatch, short, percent):
+    monkeypatch.setattr(ngram_join, "SHORT", short)
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 60, 900).astype(np.uint64)
+    sets = [np.unique(np.append(base[: rng.integers(20, 900)], rng.integers(0, 1 << 60, i % 9).astype(np.uint64))) for i in range(60)]
+    sets += [sets[0], base[:60], base[:140]]
+    g = len(sets)
+    sig = ngram_join.Signatures(np.array([len(s) for s in sets]), [ngram_join.bitmap(s) for s in sets])
+    near = {(i, j) for i in range(g) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
+    found = ngram_join.candidates(np.array([0, g]), sig, np.arange(g), np.zeros(g, int), percent)
+    assert near <= {(max(a, b), min(a, b)) for i, j in found for a, b in zip(i.tolist(), j.tolist())}
+
+
 @pytest.mark.parametrize("shift", [0, 1 << 62, -(1 << 62)])
 def test_near_copies_with_a_repeated_doc_id(spark, shift):
     say = lambda tag, *changed: " ".join(f"{tag}{k}" if k not in changed else "other" for k in range(60))

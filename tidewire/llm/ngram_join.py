@@ -79,6 +79,16 @@ def bitmap(h: np.ndarray) -> bytes:
     return np.packbits(at, bitorder="little").tobytes()
 
 
+def spans(percent: int) -> list[int]:
+    """How many times as long, in powers of two, the longer bitmap of two similar sets can be."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be 1 to 100")
+    out = [1]
+    while out[-1] * percent < 100:
+        out.append(2 * out[-1])
+    return out if len(out) > 1 else [1, 2]
+
+
 class Signatures:
     """Sizes and bitmaps of rows; bitmaps of one length are a matrix of 64-bit words."""
 
@@ -184,7 +194,7 @@ def candidates(start: np.ndarray, sig: Signatures, group: np.ndarray, side: np.n
         sides = (rows, rows) if side[rows[0]] == 0 else (rows[side[rows] == 1], rows[side[rows] == 2])
         for w in np.unique(sig.width[rows]):
             left = sides[0][sig.width[sides[0]] == w]
-            for v in (w // 2, w, 2 * w):
+            for v in sorted({*(w // s for s in spans(percent)), *(w * s for s in spans(percent))}):
                 right = sides[1][sig.width[sides[1]] == v]
                 same = side[rows[0]] == 0
                 if not len(left) or not len(right) or (same and v < w):
@@ -202,10 +212,10 @@ def _rows_close(sig: Signatures, a: np.ndarray, b: np.ndarray, percent: int) ->
     """The pairs of rows that may be similar, looked at by the lengths of their bitmaps."""
     swap = sig.width[a] > sig.width[b]
     a, b = np.where(swap, b, a), np.where(swap, a, b)
-    near = 2 * sig.width[a] >= sig.width[b]
+    near = spans(percent)[-1] * sig.width[a] >= sig.width[b]
     a, b = a[near], b[near]
     for w in np.unique(sig.width[a]):
-        for v in (w, 2 * w):
+        for v in (w * s for s in spans(percent)):
             mine = np.flatnonzero((sig.width[a] == w) & (sig.width[b] == v))
             for at in range(0, len(mine), SLAB):
                 i, j = a[mine[at : at + SLAB]], b[mine[at : at + SLAB]]
