@@ -260,6 +260,26 @@ def test_short_notices():
         assert got == {n: c for n, c in best.items() if c == max(best.values())}
 
 
+def test_ngrams_in_pieces(spark, monkeypatch):
+    """A hot passage and a hot family, cut into pieces of a few rows."""
+    monkeypatch.setattr(ngram_join, "PIECE", 7)
+    rng = np.random.default_rng(10)
+    docs = {}
+    for i in range(90):
+        words = [f"p{k}" for k in range(40)] + [f"t{i % 30 if i < 60 else 99}x{k}" for k in range(30)]
+        for k in rng.integers(0, len(words), i % 3):
+            words[k] = f"e{i}"
+        docs[i] = words
+    sets = {i: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} for i, w in docs.items()}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(df).collect()} == label
+
+
 @pytest.mark.parametrize("short", [0, 1000])
 @pytest.mark.parametrize("percent", [10, 40, 60, 100])
 def test_candidates_of_all_lengths(monkeypatch, short, percent):
