@@ -4,17 +4,25 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Files of an intermediate table for each core, at most: many tiny partitions become few files.
+FILES = 8
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where the session names none."""
+    """The folder in spark.checkpoint.dir; one of our own only where the session names none and all
+    of it runs on this machine."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidewire-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -37,10 +45,11 @@ class Scratch:
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
     def table(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """Write `df` and return it as a scan of what was written."""
+        """Write `df` and return it as a scan of what was written. Partitions that share a file are
+        still computed one after the other, so memory does not grow."""
         self._n += 1
         path = f"{self.path}/{self._n:03d}-{name}"
-        df.write.parquet(path)
+        df.coalesce(FILES * self.spark.sparkContext.defaultParallelism).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._tidewire_path = path
         return out
