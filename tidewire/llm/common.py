@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -52,6 +59,42 @@ def gapless_rank(df: DataFrame, keys: list[str], cell: Column, order: list[Colum
     )
 
 
+#: Bytes of text that are split into words at a time.
+SLICE = 1 << 22
+
+
+def by_bytes(column: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Slices of a column of texts with about `most` bytes each; a longer text is one of its own."""
+    total = np.concatenate([[0], np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(), dtype=np.int64)])
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(total, total[at] + most, "right")) - 1)
+        yield column.slice(at, end - at)
+        at = end
+
+
+def words_in(texts: pa.Array, lower: bool) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """(number of each word, the different words, bounds of each text in the first): the texts, as
+    bytes, are split at ASCII white space; with `lower`, A-Z are lower-cased first."""
+    text = texts.view(pa.string())
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(text) if lower else text)
+    coded = parts.flatten().dictionary_encode()
+    bounds = np.concatenate([[0], np.cumsum(parts.value_lengths().to_numpy(), dtype=np.int64)])
+    word, words = coded.indices.to_numpy(), coded.dictionary.view(pa.binary()).to_pylist()
+    if b"" in words:  # white space at an end of a text
+        real = word != words.index(b"")
+        bounds = np.concatenate([[0], np.cumsum(real, dtype=np.int64)])[bounds]
+        word = word[real]
+    return word, words, bounds
+
+
+def trim() -> None:
+    """Give freed memory back to the system. A worker stays for later tasks and counts until then."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Memo(dict):
     """What a Python worker remembers of words, for `most` of them at a time. A worker serves many
     tasks; when a task of another operator begins, `use` empties what the last one has left."""

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import Memo, gapless_rank, read, session, text_of
+from tidewire.llm.common import SLICE, Memo, by_bytes, gapless_rank, read, session, text_of, trim, words_in
 from tidewire.storage import Scratch, cell_rows, importable
 
 CAPACITY = 2048
@@ -18,8 +18,6 @@ VOCABULARY = "word_bpe_49k.json"
 END = 0
 #: Words whose ids a worker remembers before it starts afresh.
 REMEMBER = 500_000
-#: Bytes of text that are split into words at a time.
-SLICE = 1 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -30,8 +28,8 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-#: Words of these characters are in NFC and hold no white space or control characters.
-PLAIN = r"[\x21-\x7e\xa1-\u024f]+"
+#: Words without these are in NFC and hold no white space, control characters or special tokens.
+ODD = r"[^\n\x21-\x7e\xa1-\u024f]|<\|"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -78,8 +76,8 @@ class WordIds:
         parts = lambda k, n: [x["type"] for x in (spec[k] or {}).get(n, [])]
         self.by_word = parts("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"] and parts("pre_tokenizer", "pretokenizers") == ["Split", "ByteLevel"] and spec["model"]["type"] == "BPE"
         if self.by_word:
-            self.find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
-        self.plain = regex.compile(PLAIN).fullmatch
+            self.find = regex.compile(f'(?:{spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]})|\\n').findall
+        self.odd = regex.compile(ODD).finditer
         self.letters = _byte_letters()
         self.known = Known()
 
@@ -94,41 +92,47 @@ class WordIds:
         found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > REMEMBER:
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """The ids of new words, which are remembered."""
+        if len(self.known) + len(words) > REMEMBER:
             self.known.clear()
-            new = words
         if len(self.known.parts) > REMEMBER:
             self.known.parts.clear()
-        rest = []
-        for w in new:
-            s = w.decode("utf-8", "replace")
-            if self.plain(s) and "<|" not in s:
-                self.known[w] = b"".join([self._part(p) for p in self.find(s.lower())])
+        lines = b"\n".join(words).decode("utf-8", "replace")
+        starts = np.cumsum([0, *(len(x) + 1 for x in lines.split("\n"))]) if next(self.odd(lines), None) else None
+        odd = sorted({int(np.searchsorted(starts, m.start(), "right")) - 1 for m in self.odd(lines)}) if starts is not None else []
+        out, own = [], []
+        for part in [*self.find(lines.lower()), "\n"]:
+            if part == "\n":
+                out.append(b"".join(own))
+                own = []
             else:
-                rest.append(w)
-        self.known.update(zip(rest, self._whole(rest)))
-
-    def texts(self, texts: list[bytes]) -> Iterator[bytes]:
-        if not self.by_word:
-            yield from self._whole(texts)
-            return
-        split: list[list[bytes]] = []
-        size = 0
-        for t in texts:
-            split.append(t.split())
-            size += len(t)
-            if size >= SLICE:
-                yield from self._joined(split)
-                split, size = [], 0
-        yield from self._joined(split)
-
-    def _joined(self, split: list[list[bytes]]) -> Iterator[bytes]:
-        self.learn(set().union(*split))
-        get = self.known.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+                own.append(self.known.parts.get(part) or self._part(part))
+        for i, ids in zip(odd, self._whole([words[i] for i in odd])):
+            out[i] = ids
+        self.known.update(zip(words, out))
+        return out
+
+    def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text of a column of bytes."""
+        for texts in by_bytes(column, SLICE):
+            if not self.by_word:
+                yield from (np.frombuffer(x, "<u4") for x in self._whole(texts.to_pylist()))
+                continue
+            word, words, bounds = words_in(texts, False)
+            ids = list(map(self.known.get, words))
+            new = [i for i, x in enumerate(ids) if x is None]
+            for i, x in zip(new, self.learn([words[i] for i in new]) if new else ()):
+                ids[i] = x
+            length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            start = np.cumsum(length) - length
+            many = length[word]
+            ends = np.concatenate([[0], np.cumsum(many)])
+            kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+            at = np.arange(ends[-1], dtype=kind) + np.repeat((start[word] - ends[:-1]).astype(kind), many)
+            flat = np.frombuffer(b"".join(ids), "<u4")[at]
+            cuts = ends[bounds]
+            yield from (flat[i:j] for i, j in zip(cuts[:-1], cuts[1:]))
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -149,14 +153,15 @@ def cutter(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for key, ids in zip(batch.column(0).to_pylist(), words.texts(batch.column(1).to_pylist())):
-                ids = memoryview(ids + end)
+            for key, ids in zip(batch.column(0).to_pylist(), words.texts(batch.column(1))):
+                ids = memoryview(ids.tobytes() + end)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append((key, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             cols = zip(*rows) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        trim()
 
     return run
 
