@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewire.llm.common import LOWER, UPPER, lower_ascii, read, session, text_of
 from tidewire.storage import Scratch
@@ -27,10 +27,26 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", capaci
     all keys of a group are null, its rows stay. Rows that repeat a key as well as a text are the
     same document and share its verdict. No rows give no rows. Other columns of `docs` are not read.
     """
-    spark, scratch = session(docs), Scratch(session(docs), "exact-dedup")
-    digests = scratch.table(
-        docs.select(F.col(key).alias("doc_id"), F.sha2(lower_ascii(text_of(text)), 256).alias("text_sha256")), "digests"
+    digests, winners, groups = split(docs, key, text, capacity)
+    heavy = digests.join(F.broadcast(winners), "text_sha256")
+    rest = digests.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti").join(groups, "text_sha256", "left")
+    out = heavy.unionByName(
+        rest.withColumn("keep_id", F.coalesce("keep_id", "doc_id")).withColumn("group_size", F.coalesce("group_size", F.lit(1)))
+    )
+    return out.select(
+        F.col("doc_id").alias(key), "keep_id", F.col("group_size").cast("long"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
+
+
+def digest(text: str = "text") -> Column:
+    return F.sha2(lower_ascii(text_of(text)), 256)
+
+
+def split(docs: DataFrame, key: str, text: str, capacity: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a written table of doc_id and text_sha256 of all rows, the winners: heavy groups, at most
+    `capacity`, and the other groups of several rows); groups are text_sha256, keep_id, group_size."""
+    scratch = Scratch(session(docs), "exact-dedup")
+    digests = scratch.table(docs.select(F.col(key).alias("doc_id"), digest(text).alias("text_sha256")), "digests")
     rows = digests.count()
     summary = digests.select("text_sha256").coalesce(SUMMARIES).stat.freqItems(["text_sha256"], 1.0 / capacity)
     found = scratch.table(summary.select(F.explode("text_sha256_freqItems").alias("text_sha256")), "summary")
@@ -41,16 +57,22 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", capaci
         ),
         "winners",
     )
-    heavy = digests.join(F.broadcast(winners), "text_sha256")
     light = digests.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti")
-    groups = counted(light).where("group_size > 1")
-    rest = light.join(groups, "text_sha256", "left")
-    out = heavy.unionByName(
-        rest.withColumn("keep_id", F.coalesce("keep_id", "doc_id")).withColumn("group_size", F.coalesce("group_size", F.lit(1)))
-    )
-    return out.select(
-        F.col("doc_id").alias(key), "keep_id", F.col("group_size").cast("long"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
-    )
+    return digests, winners, counted(light).where("group_size > 1")
+
+
+def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+    """The rows of `docs` that `exact_dedup` keeps, with all their columns. Copies in heavy groups go
+    where they are read, before anything is shuffled; rows that share a key are told apart by their
+    text. Nulls, repeated rows and empty tables as there; columns that begin with `__` are used."""
+    digests, winners, groups = split(docs, key, text, capacity)
+    light = digests.join(F.broadcast(winners.select("text_sha256")), "text_sha256", "left_anti").join(groups, "text_sha256")
+    gone = light.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    best = winners.select(F.col("text_sha256").alias("__digest"), F.col("keep_id").alias("__keep"), F.lit(True).alias("__heavy"))
+    marked = docs.withColumn("__digest", digest(text)).join(F.broadcast(best), "__digest", "left")
+    marked = marked.where(F.col("__heavy").isNull() | F.col(key).eqNullSafe(F.col("__keep")))
+    same = F.col(key).eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__sha"))
+    return marked.join(gone, same, "left_anti").select(*docs.columns)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
