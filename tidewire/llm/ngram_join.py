@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import Memo, lower_ascii, read, session, text_of
+from tidewire.llm.common import LOWER, SLICE, UPPER, WORD, by_bytes, lower_ascii, read, session, text_of, trim, words_in
 from tidewire.operators.graph import connected_components
 from tidewire.storage import Scratch, importable
 
@@ -16,49 +16,49 @@ from tidewire.storage import Scratch, importable
 SHINGLE, PERCENT = 4, 85
 #: Children of a tree node.
 FAN = 8
-#: Rows of one family or posting list that are compared in one task; a longer one is cut into
-#: pieces whose pairs are compared apart.
+#: Rows of one hub that are compared in one task; a larger group is cut into pieces whose pairs are
+#: compared apart.
 PIECE = 2048
-#: Share of its first tokens that a row has in common with the hub of its family, at least. Families
-#: only decide where a pair is compared, not whether.
-FAMILY = 0.25
-#: Bytes that the bitmaps of a family's piece may take.
-BITMAPS = 1 << 26
-#: Posting lists up to this length need no tree.
+#: Share of its first tokens that a row has in common with a hub, at least, to be compared with it
+#: before all others. Hubs only decide what is compared first, not whether.
+FAMILY = 0.5
+#: Groups up to this length need no tree.
 SHORT = 24
-#: Node pairs that are looked at together.
-SLAB = 1 << 15
+#: Bits of a bitmap for each token, at least, in groups up to SHORT and in longer ones.
+NARROW, WIDE = 1, 4
+#: Documents whose keys are broadcast to pick their texts, at most; for more, all texts are shuffled.
+PICKED = 1 << 18
+#: Node pairs that are looked at together, and bytes that their bitmaps may take.
+SLAB, SLAB_BYTES = 1 << 15, 1 << 23
+#: Bytes of bitmaps that are held at a time.
+HELD_BYTES = 1 << 24
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class Words(Memo):
-    """64-bit hashes of words with A-Z in lower case."""
-
-    def make(self, word: bytes) -> int:
-        import xxhash
-
-        return xxhash.xxh3_64_intdigest(word)
-
-
-_WORDS = Words()
-
-
-def shingles(text: bytes, k: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's shingles of k words. With fewer words, the whole
-    sequence is one; without words there is none. (bytes.lower changes A-Z alone.)"""
-    words = text.lower().split()
-    if not words:
+def shingles(words: np.ndarray, k: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's shingles of k words, given the words' hashes. With
+    fewer words, the whole sequence is one; without words there is none."""
+    if not len(words):
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    k = min(k, len(h))
-    out = np.full(len(h) - k + 1, np.uint64(k))
+    k = min(k, len(words))
+    out = np.full(len(words) - k + 1, np.uint64(k))
     for i in range(k):
-        out = (out ^ h[i : len(h) - k + 1 + i]) * MIX
+        out = (out ^ words[i : len(words) - k + 1 + i]) * MIX
         out ^= out >> np.uint64(31)
     out *= MIX2
     return np.unique(out ^ (out >> np.uint64(29)))
 
 
+def sets_of(column: pa.Array, k: int) -> Iterator[np.ndarray]:
+    """The shingles of each text of a column of bytes, A-Z in lower case."""
+    import xxhash
+
+    for texts in by_bytes(column, SLICE):
+        word, words, bounds = words_in(texts, True)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[word]
+        yield from (shingles(hashes[i:j], k) for i, j in zip(bounds[:-1], bounds[1:]))
+
+
 def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int):
     """Least intersection of sets of sizes a and b that are similar enough, times (100 + percent)."""
     return percent * (a + b)
@@ -69,10 +69,10 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def bitmap(h: np.ndarray) -> bytes:
-    """A bit for each token, in 1 to 2 bits a token and 64 at least."""
+def bitmap(h: np.ndarray, room: int) -> bytes:
+    """A bit for each token, in `room` to 2 * room bits a token and 64 at least."""
     bits = 64
-    while bits < len(h):
+    while bits < room * len(h):
         bits *= 2
     at = np.zeros(bits, np.uint8)
     at[(h & np.uint64(bits - 1)).astype(np.int64)] = 1
@@ -147,13 +147,19 @@ def close(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray, percent: int, exact:
     return ok
 
 
+def slab_rows(words: int) -> int:
+    """Node pairs whose bitmaps of so many words may be looked at together."""
+    return max(FAN * FAN, min(SLAB, SLAB_BYTES // (8 * words)))
+
+
 def dual_traversal(x: SignatureTree, y: SignatureTree, percent: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of x and y that may be similar, slab by slab. Depth first over slabs of node pairs, so
     that memory is bounded; with `same`, each pair once."""
     stack = [(len(x.levels) - 1, len(y.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    slab = slab_rows(x.levels[0][0].shape[1])
     while stack:
         p, q, i, j = stack.pop()
-        if len(i) > SLAB:
+        if len(i) > slab:
             half = len(i) // 2
             stack += [(p, q, i[:half], j[:half]), (p, q, i[half:], j[half:])]
             continue
@@ -217,8 +223,9 @@ def _rows_close(sig: Signatures, a: np.ndarray, b: np.ndarray, percent: int) ->
     for w in np.unique(sig.width[a]):
         for v in (w * s for s in spans(percent)):
             mine = np.flatnonzero((sig.width[a] == w) & (sig.width[b] == v))
-            for at in range(0, len(mine), SLAB):
-                i, j = a[mine[at : at + SLAB]], b[mine[at : at + SLAB]]
+            slab = slab_rows(int(v))
+            for at in range(0, len(mine), slab):
+                i, j = a[mine[at : at + slab]], b[mine[at : at + slab]]
                 level = []
                 for rows in (i, j):
                     bits = sig.folded(rows, int(w))
@@ -230,12 +237,12 @@ def _rows_close(sig: Signatures, a: np.ndarray, b: np.ndarray, percent: int) ->
 
 
 def _table(batches: Iterator[pa.RecordBatch], most: int, run: list[str]) -> Iterator[pa.Table]:
-    """Tables of about `most` rows that end where a run of equal `run` columns ends."""
+    """Tables of about `most` bytes that end where a run of equal `run` columns ends."""
     held: list[pa.RecordBatch] = []
     size = 0
     for b in batches:
         held.append(b)
-        size += b.num_rows
+        size += b.get_total_buffer_size()
         if size < most:
             continue
         t = pa.Table.from_batches(held).combine_chunks()
@@ -247,8 +254,9 @@ def _table(batches: Iterator[pa.RecordBatch], most: int, run: list[str]) -> Iter
         if cut:
             yield t.slice(0, cut)
             t = t.slice(cut)
-        held, size = t.to_batches(), t.num_rows
-    if size:
+        held = t.to_batches()
+        size = t.nbytes
+    if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
@@ -256,133 +264,58 @@ def _sets(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        _WORDS.use()
         for b in batches:
             out: list[tuple] = []
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h = shingles(text, k)
+            for key, h in zip(b.column(0).to_pylist(), sets_of(b.column(1), k)):
                 p = prefix_length(len(h), percent)
-                out.append((key, len(h), xxhash.xxh3_128_digest(h.tobytes()), h[:p].copy().view(np.int64), bitmap(h)))
-            cols = list(zip(*out)) if out else [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "n", "set", "prefix", "bits"])
+                out.append((key, len(h), xxhash.xxh3_128_digest(h.tobytes()), h[:p].copy().view(np.int64), bitmap(h, NARROW), bitmap(h, WIDE)))
+            cols = list(zip(*out)) if out else [()] * 6
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "n", "set", "prefix", "narrow", "wide"])
+        trim()
 
     return run
 
 
-def _whole(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _WORDS.use()
-        for b in batches:
-            sets = [shingles(t, k).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["doc_id", "s"])
-
-    return run
-
-
-def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Labels after joining a with b pairwise; a label is the smallest row of its component."""
-    while True:
-        x, y = labels[a], labels[b]
-        apart = x != y
-        if not apart.any():
-            return labels
-        np.minimum.at(labels, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
-        while (labels[labels] != labels).any():
-            labels = labels[labels]
-
-
-def family_components(sets: list[np.ndarray], side: np.ndarray, percent: int) -> np.ndarray:
-    """Label of each set by the links among them (side 0), or between those of side 1 and 2.
-
-    Bits stand for the tokens that two sets or more have; with a bit for each, common bits are the
-    intersection. Where that takes too much memory, tokens share bits and pairs are counted. Pairs
-    that earlier links have joined are not looked at again.
-    """
-    g = len(sets)
-    n = np.array([len(x) for x in sets], np.int64)
-    labels = np.arange(g)
-    tokens, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count > 1
-    column = np.cumsum(shared) - 1
-    bits = 64
-    while bits < shared.sum() and 2 * bits * g <= 8 * BITMAPS:
-        bits *= 2
-    exact = bits >= shared.sum()
-    words, mapped, at = np.zeros((g, bits // 64), np.uint64), np.zeros(g, np.int64), 0
-    for i, x in enumerate(sets):
-        own = place[at : at + len(x)]
-        at += len(x)
-        own = column[own[shared[own]]]
-        mapped[i] = len(own)
-        flags = np.zeros(bits, np.uint8)
-        flags[own & (bits - 1)] = 1
-        words[i] = np.packbits(flags, bitorder="little").view(np.uint64)
-    left, right = (np.arange(g),) * 2 if not side.any() else (np.flatnonzero(side == 1), np.flatnonzero(side == 2))
-    if not len(left) or not len(right):
-        return labels
-    x = SignatureTree(n[left], words[left], mapped[left])
-    y = x if not side.any() else SignatureTree(n[right], words[right], mapped[right])
-    for i, j in dual_traversal(x, y, percent, x is y):
-        a, b = left[i], right[j]
-        new = labels[a] != labels[b]
-        a, b = a[new], b[new]
-        if not exact:
-            for k, m in zip(a, b):
-                if labels[k] == labels[m]:
-                    continue
-                if similar(sets[k], sets[m], percent):
-                    labels = merge(labels, np.array([k]), np.array([m]))
-            continue
-        labels = merge(labels, a, b)
-    return labels
-
-
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
     both = np.sort(np.concatenate([x, y]), kind="stable")
     return (100 + percent) * int((both[1:] == both[:-1]).sum()) >= needed(len(x), len(y), percent)
 
 
-def _families(percent: int):
-    run_by = ["family", "ca", "cb"]
+def _linked(k: int, percent: int):
+    """Of rows (a, b, text), each run of one `a` led by the row in which b is a, the pairs a, b whose
+    texts are similar. One leader's set is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _table(batches, 2_000, run_by):
-            keys = np.stack([t[c].to_numpy() for c in run_by])
-            start = np.flatnonzero(np.append(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)), True))
-            doc, own, out = t["doc_id"].to_numpy(), t["c"].to_numpy(), []
-            for lo, hi in zip(start[:-1], start[1:]):
-                if hi - lo < 2:
-                    continue
-                sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t["s"].slice(lo, hi - lo)]
-                one = keys[1, lo] == keys[2, lo]
-                side = np.zeros(hi - lo, int) if one else np.where(own[lo:hi] == keys[1, lo], 1, 2)
-                labels = family_components(sets, side, percent)
-                moved = np.flatnonzero(labels != np.arange(hi - lo))
-                out.append(np.stack([doc[lo + labels[moved]], doc[lo + moved]]))
-            if out:
-                pair = np.concatenate(out, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+        own = np.empty(0, np.uint64)
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for a, b, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), sets_of(batch.column(2), k)):
+                if a == b:
+                    own = h
+                elif similar(own, h, percent):
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(2)], names=["a", "b"])
+        trim()
 
     return run
 
 
-def _linked(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            sets = ([np.frombuffer(v.as_buffer(), np.uint64) for v in t[c]] for c in ("sa", "sb"))
-            keep = [similar(x, y, percent) for x, y in zip(*sets)]
-            yield from t.select(["a", "b"]).filter(pa.array(keep, pa.bool_())).to_batches()
-
-    return run
+def _once(found: list[np.ndarray]) -> pa.RecordBatch:
+    a, b = np.concatenate(found, axis=1)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+    return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], names=["a", "b"])
 
 
 def _cross(percent: int):
-    run_by = ["token", "ca", "cb"]
+    run_by = ["hub", "ca", "cb"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _table(batches, 50_000, run_by):
+        for t in _table(batches, HELD_BYTES, run_by):
             keys = np.stack([t[c].to_numpy() for c in run_by])
             start = np.flatnonzero(np.append(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)), True))
             sig = Signatures(t["n"].to_numpy(), t["bits"].to_pylist())
@@ -391,21 +324,49 @@ def _cross(percent: int):
             doc, found = t["doc_id"].to_numpy(), []
             for a, b in candidates(start, sig, t["component"].to_numpy(), side, percent):
                 found.append(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])]))
-                if sum(f.shape[1] for f in found) > 1 << 20:
-                    found = [np.unique(np.concatenate(found, axis=1), axis=1)]
+                if sum(f.shape[1] for f in found) > 1 << 18:
+                    yield _once(found)
+                    found = []
             if found:
-                pair = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+                yield _once(found)
+        trim()
 
     return run
 
 
-def _pieces(df: DataFrame, rows: str) -> DataFrame:
+def _pieces(df: DataFrame) -> DataFrame:
     """Each row once for each pair of pieces that it takes part in: its piece `c`, the pair `ca`
-    and `cb`. A group of up to PIECE rows is one piece, and then a row stays one row."""
-    cuts = F.ceil(F.col(rows) / PIECE).cast("long")
-    df = df.withColumn("c", F.pmod(F.xxhash64("doc_id"), cuts)).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
-    return df.withColumn("ca", F.least("c", "o")).withColumn("cb", F.greatest("c", "o")).drop("o", rows)
+    and `cb`. A group of up to PIECE rows is one piece, and then a row stays one row. In larger ones,
+    rows of the hub's component have pieces of their own, which are not paired with each other."""
+    cuts = lambda n: F.ceil(n / PIECE).cast("long")
+    small = F.col("rows") <= PIECE
+    outer = F.when(small, 1).otherwise(cuts(F.col("others")))
+    inner = F.when(small, 0).otherwise(cuts(F.col("rows") - F.col("others")))
+    df = df.withColumn("outer", outer).withColumn("inner", inner)
+    c = F.when(small | F.col("outside"), F.pmod(F.xxhash64("doc_id"), "outer")).otherwise(F.col("outer") + F.pmod(F.xxhash64("doc_id"), F.greatest("inner", F.lit(1))))
+    df = df.withColumn("c", c.cast("long"))
+    all_of = F.when(F.col("c") < F.col("outer"), F.col("outer") + F.col("inner")).otherwise(F.col("outer"))
+    df = df.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), all_of.cast("long") - 1)))
+    return df.withColumn("ca", F.least("c", "o")).withColumn("cb", F.greatest("c", "o")).drop("o", "rows", "others", "outer", "inner", "outside")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of `pairs`, a written table, that are similar by their whole sets. `b` comes to
+    `a` with its text. A leader of many pairs has them dealt over groups of about PIECE, each with a
+    copy of its text, so no task holds all of them. Texts of few documents are picked where they are
+    read; those of many go through a shuffle."""
+    parts = int(session(pairs).conf.get("spark.sql.shuffle.partitions"))
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIECE).cast("long").alias("cuts"))
+    dealt = pairs.join(many.hint("merge"), "a").withColumn("cut", F.pmod(F.xxhash64("b"), "cuts"))
+    leaders = many.select("a", F.col("a").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"))
+    wanted = dealt.select("a", "b", "cut").unionByName(leaders)
+    texts = texts.where("doc_id is not null").select(F.col("doc_id").alias("b"), "text")
+    some = wanted.select("b").distinct()
+    if some.count() <= PICKED:
+        texts = texts.join(F.broadcast(some), "b", "left_semi")
+    rows = wanted.join(texts.hint("merge"), "b")
+    rows = rows.repartition(parts, "a", "cut").sortWithinPartitions("a", "cut", F.col("a") != F.col("b"))
+    return rows.select("a", "b", "text").mapInArrow(_linked(shingle, percent), "a long, b long")
 
 
 def told_apart(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame | None]:
@@ -414,10 +375,12 @@ def told_apart(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
     then, outside the range of the keys."""
     scratch = Scratch(session(docs), "rows")
     k, sha = F.col(key).cast("long"), F.sha2(lower_ascii(text_of(text)), 256)
-    several = docs.where(k.isNotNull()).groupBy(k.alias("__key")).agg(F.min(sha).alias("lo"), F.max(sha).alias("hi")).where("lo <> hi")
-    several = scratch.table(several.select("__key"), "repeated")
-    if several.isEmpty():
+    often = docs.where(k.isNotNull()).groupBy(k.alias("__key")).count().where("count > 1").select("__key")
+    often = scratch.table(often, "repeated")
+    if often.isEmpty():
         return docs.withColumn("__row", k), None
+    several = docs.withColumn("__key", k).join(often.hint("merge"), "__key", "left_semi").groupBy("__key").agg(F.min(sha).alias("lo"), F.max(sha).alias("hi"))
+    several = scratch.table(several.where("lo <> hi").select("__key"), "several")
     marked = docs.withColumn("__key", k).withColumn("__sha", sha)
     lo, hi = docs.agg(F.min(k), F.max(k)).first()
     # the numbers go up from the largest key or, where that leaves too little room, down from the least
@@ -448,16 +411,19 @@ def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent:
     1. A text becomes the set of its shingles' hashes. Equal sets are one from here on.
     2. Similar sets share one of their smallest hashes (prefix filter), so posting lists over these
        hold every link. Lists are counted with a map-side combine, and those of one row are dropped.
-    3. Rows that share many first tokens with the same hub are a family. A family's rows meet once,
-       with their whole sets, in signature trees: nodes hold OR-combined bitmaps of the tokens and
-       ranges of sizes, and a dual traversal drops node pairs by the largest overlap that they
-       allow. Only a spanning forest of the links comes out, so near copies cost no output.
-    4. Lists with several families are searched by signature trees over smaller bitmaps, for pairs
-       of different families only. What may link is verified on whole sets, once a pair.
+    3. A list's first and last rows are hubs. A row is compared by its whole set with the two hubs
+       that it shares most lists with, so a family of N near copies is joined in about 2 N
+       comparisons, whatever its size.
+    4. All lists with one first row are a group, in which each row is once. Groups that still hold
+       several components are searched by signature trees, whose nodes hold OR-combined bitmaps of
+       the tokens and ranges of sizes; a dual traversal drops node pairs by the largest overlap that
+       they allow. Only pairs of different components come out, and they are verified on whole
+       sets, once a pair.
     5. The components of both kinds of links are the result.
 
-    Families and lists of more than PIECE rows are cut and their pieces compared in pairs, so that
-    no task holds a whole one. Joins by document never broadcast.
+    Leaders and groups of more than PIECE rows are cut, groups into pieces that are compared in
+    pairs, so that no task holds a whole one; what a task holds is bounded in bytes. Pieces within
+    the hub's component are not compared with each other. Joins by document never broadcast.
 
     Null, empty and blank texts have no shingles, link with nothing and are their own component; a
     null key likewise. Rows may repeat a key only with the same text (`told_apart` sees to that). No
@@ -466,42 +432,40 @@ def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent:
     spark, scratch = session(docs), Scratch(session(docs), "ngram")
     importable(spark)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text"))
-    rows = scratch.table(texts.mapInArrow(_sets(shingle, percent), "doc_id long, n long, set binary, prefix array<long>, bits binary"), "sets")
+    sets = scratch.table(texts.mapInArrow(_sets(shingle, percent), "doc_id long, n long, set binary, prefix array<long>, narrow binary, wide binary"), "sets")
+    rows = scratch.table(sets.select("doc_id", "n", "set"), "rows")
     real = rows.where("n > 0 and doc_id is not null")
     classes = scratch.table(real.groupBy("set").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = real.join(classes.select(F.col("rep").alias("doc_id"), "set").hint("merge"), ["doc_id", "set"], "left_semi")
-    reps = scratch.table(reps.select("doc_id", "n", "bits", "prefix"), "representatives")
-    sig = reps.select("doc_id", "n", "bits")
+    reps = sets.where("n > 0 and doc_id is not null").join(classes.select(F.col("rep").alias("doc_id"), "set").hint("merge"), ["doc_id", "set"], "left_semi")
+    reps = scratch.table(reps.drop("set"), "representatives")
+    scratch.drop(sets)
     tokens = reps.select("doc_id", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
-    lists = tokens.groupBy("token").agg(F.count("*").alias("rows"), F.min("doc_id").alias("hub")).where("rows > 1")
-    lists = scratch.table(lists.select("token", "hub"), "lists")
-    posting = scratch.table(tokens.join(lists.hint("merge"), "token").select("token", "doc_id", "hub", "p"), "postings")
-    shared = posting.groupBy("doc_id", "hub", "p").agg(F.count("*").alias("shared")).where((F.col("hub") != F.col("doc_id")) & (F.col("shared") >= FAMILY * F.col("p")))
-    hubs = shared.groupBy("doc_id").agg(F.max(F.struct("shared", F.negative("hub").alias("hub"))).alias("best"))
-    family = connected_components(hubs.select("doc_id", F.negative("best.hub").alias("hub")), "doc_id", "hub", scratch)
-    family = scratch.table(family.select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
-
-    def whole(ids: DataFrame) -> DataFrame:
-        wanted = texts.where("doc_id is not null").join(ids.hint("merge"), "doc_id", "left_semi")
-        sets = wanted.mapInArrow(_whole(shingle), "doc_id long, s binary")
-        return scratch.table(sets.dropDuplicates(["doc_id"]), "whole")
-
+    lists = tokens.groupBy("token").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("rows > 1")
+    lists = scratch.table(lists.select("token", "first", "last"), "lists")
+    posting = scratch.table(tokens.join(lists.hint("merge"), "token").select("doc_id", "first", "last", "p"), "postings")
+    scratch.drop(lists)
+
+    hubs = posting.select("doc_id", "p", F.posexplode(F.array("first", "last")).alias("kind", "hub")).where("hub <> doc_id")
+    shared = hubs.groupBy("doc_id", "hub", "kind", "p").agg(F.count("*").alias("shared")).where(F.col("shared") >= FAMILY * F.col("p"))
+    best = shared.groupBy("doc_id", "kind").agg(F.max_by("hub", F.struct("shared", F.negative("hub"))).alias("a"))
+    near = scratch.table(best.select("a", F.col("doc_id").alias("b")).distinct(), "near-hubs")
+    links = scratch.table(_verified(near, texts, shingle, percent), "links")
+    joined = connected_components(links, "a", "b", scratch)
+    joined = scratch.table(joined.select(F.col("node").alias("doc_id"), F.col("component").alias("joined")), "joined")
+
+    named = lambda df, key, out: df.join(joined.select(F.col("doc_id").alias(key), "joined").hint("merge"), key, "left").withColumn(out, F.coalesce("joined", key)).drop("joined")
+    group = posting.select(F.col("first").alias("hub"), "doc_id").distinct()
+    group = scratch.table(named(named(group, "doc_id", "component"), "hub", "own"), "groups")
+    outside = F.col("component") != F.col("own")
+    several = group.groupBy("hub").agg(F.count("*").alias("rows"), F.sum(outside.cast("long")).alias("others")).where("others > 0")
+    scratch.drop(posting)
+    mixed = group.withColumn("outside", outside).join(several.hint("merge"), "hub").withColumn("short", F.col("rows") <= SHORT)
+    bits = F.when(F.col("short"), F.col("narrow")).otherwise(F.col("wide")).alias("bits")
+    mixed = _pieces(mixed).join(reps.select("doc_id", "n", "narrow", "wide").hint("merge"), "doc_id")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sizes = family.groupBy("family").agg(F.count("*").alias("rows"))
-    members = _pieces(family.join(sizes.hint("merge"), "family"), "rows").join(whole(family.select("doc_id")).hint("merge"), "doc_id")
-    runs = members.select("family", "ca", "cb", "c", "doc_id", "s").repartition(parts, "family", "ca", "cb").sortWithinPartitions("family", "ca", "cb")
-    links = scratch.table(runs.mapInArrow(_families(percent), "a long, b long"), "links")
-
-    named = posting.select("token", "doc_id").join(family.hint("merge"), "doc_id", "left").withColumn("component", F.coalesce("family", "doc_id"))
-    named = scratch.table(named.select("token", "doc_id", "component"), "named")
-    several = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"))
-    several = scratch.table(several.where("lo <> hi").select("token", "rows"), "several")
-    mixed = _pieces(named.join(several.hint("merge"), "token"), "rows").join(sig.hint("merge"), "doc_id")
-    runs = mixed.select("token", "ca", "cb", "c", "doc_id", "component", "n", "bits").repartition(parts, "token", "ca", "cb").sortWithinPartitions("token", "ca", "cb")
+    runs = mixed.select("hub", "ca", "cb", "c", "doc_id", "component", "n", bits).repartition(parts, "hub", "ca", "cb").sortWithinPartitions("hub", "ca", "cb")
     pairs = scratch.table(runs.mapInArrow(_cross(percent), "a long, b long").distinct(), "candidates")
-    sets = whole(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")).hint("merge"), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")).hint("merge"), "b")
-    found = both.select("a", "b", "sa", "sb").mapInArrow(_linked(percent), "a long, b long")
+    found = _verified(pairs, texts, shingle, percent)
     component = connected_components(links.unionByName(found), "a", "b", scratch)
     member = classes.join(component.hint("merge"), classes["rep"] == component["node"], "left").select("set", F.coalesce("component", "rep").alias("component"))
     member = scratch.table(member, "members")
@@ -513,3 +477,20 @@ def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent:
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
+
+
+SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - {SHINGLE - 2}, least(len(w), 1) + 1)), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))) AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id
+  AND 100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+FROM s LEFT JOIN c ON s.doc_id = c.a
+"""
