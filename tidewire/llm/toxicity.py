@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import Memo, read, session, text_of
+from tidewire.llm.common import SLICE, Memo, by_bytes, read, session, text_of, trim, words_in
 from tidewire.storage import importable
 
 #: Labelled rows that the chain is fitted on, at most: those with the smallest hash of their key.
@@ -30,21 +33,30 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 def features(word: bytes) -> tuple[int, ...]:
     """Buckets of a word: itself in lower case without punctuation around it, the punctuation that
     it ends in, and whether it is in capitals."""
-    import xxhash
-
     w = word.decode("utf-8", "replace")
-    core = _EDGE.sub("", w)
-    names = [f"w:{core.lower()}"] if core else []
+    core = w if w.isalnum() else _EDGE.sub("", w)
+    out = (_bucket(f"w:{core.lower()}"),) if core else ()
     if w != core:
-        names.append(f"p:{re.sub(r'(.)\1+', r'\1\1', w.replace(core, '', 1) if core else w)[:8]}")
-    if len(core) > 1 and core.isupper():
-        names.append("c:")
-    return tuple(xxhash.xxh64_intdigest(x) % BUCKETS for x in names)
+        out += (_mark(w.replace(core, "", 1) if core else w),)
+    return (*out, _bucket("c:")) if len(core) > 1 and core.isupper() else out
+
+
+def _bucket(name: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(name) % BUCKETS
+
+
+@functools.lru_cache(4096)
+def _mark(punctuation: str) -> int:
+    return _bucket(f"p:{re.sub(r'(.)\1+', r'\1\1', punctuation)[:8]}")
 
 
 class Buckets(Memo):
     """features() by word."""
 
+    most = 200_000
+
     def make(self, word: bytes) -> tuple[int, ...]:
         return features(word)
 
@@ -52,15 +64,27 @@ class Buckets(Memo):
 _BUCKETS = Buckets()
 
 
-def buckets_of(text: bytes) -> np.ndarray:
-    """The distinct buckets of a text, sorted."""
-    get = _BUCKETS.__getitem__
-    return np.array(sorted({i for w in set(text.split()) for i in get(w)}), dtype=np.int64)
+def buckets_in(column: pa.Array) -> Iterator[np.ndarray]:
+    """The distinct buckets of each text of a column of bytes, sorted."""
+    for texts in by_bytes(column, SLICE):
+        word, words, bounds = words_in(texts, False)
+        found = [_BUCKETS[w] for w in words]
+        many = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(many.sum()))
+        start = np.cumsum(many) - many
+        row = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        n = many[word]
+        at = np.arange(n.sum()) + np.repeat(start[word] - (np.cumsum(n) - n), n)
+        every = np.repeat(row, n) * BUCKETS + flat[at]
+        every.sort()
+        once = every[np.append(True, every[1:] != every[:-1])[: len(every)]]  # each bucket of a text once
+        cuts = np.searchsorted(once, np.arange(len(texts) + 1) * BUCKETS)
+        yield from (once[i:j] % BUCKETS for i, j in zip(cuts[:-1], cuts[1:]))
 
 
 @dataclass
 class Linear:
-    """A logistic model over kept buckets and the log-odds that earlier models of the chain gave."""
+    """A logistic model over kept buckets and the probabilities that earlier models of the chain gave."""
 
     keep: np.ndarray
     weights: np.ndarray
@@ -119,11 +143,11 @@ class Chain:
     names: list[str]
     models: list[Linear]
 
-    def margins(self, rows: list[np.ndarray]) -> np.ndarray:
-        """Log-odds of each category, each fed with those of the earlier ones."""
+    def probabilities(self, rows: list[np.ndarray]) -> np.ndarray:
+        """Of each category, each fed with those of the earlier ones."""
         out = np.zeros((len(rows), 0))
         for m in self.models:
-            out = np.column_stack([out, np.clip(_margins(m, rows, out), -10, 10)])
+            out = np.column_stack([out, _sigmoid(_margins(m, rows, out))])
         return out
 
 
@@ -139,32 +163,37 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, names: list[str]) -> C
         for f in range(FOLDS if j + 1 < labels.shape[1] else 0):
             inside, outside = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
             m = _fit([rows[i] for i in inside], earlier[inside], y[inside])
-            held[outside] = _margins(m, [rows[i] for i in outside], earlier[outside])
-        earlier = np.column_stack([earlier, np.clip(held, -10, 10)])
+            held[outside] = _sigmoid(_margins(m, [rows[i] for i in outside], earlier[outside]))
+        earlier = np.column_stack([earlier, held])
     return Chain(names, models)
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", categories: tuple[tuple[str, int], ...] = CATEGORIES, sample: int = SAMPLE) -> Chain:
-    """Fit the chain on at most `sample` labelled documents. Rows whose label is null in any of the
-    categories, and labels without a document, are left out; of repeated rows all count."""
+    """Fit the chain on at most `sample` labelled documents, those with the smallest hash of their
+    key. Label rows that are null in any of the categories, and labels without a document, are left
+    out. Of labels that repeat a key the positive ones count, and of documents that repeat one a
+    single text, so what the driver collects is bounded. Null texts are empty. Without any labelled
+    document, or any positive one, a model never says yes."""
     importable(session(docs))
     whole = labels.where(F.col(key).isNotNull())
     for c, _ in categories:
         whole = whole.where(F.col(c).isNotNull())
-    some = whole.select(F.col(key).alias("__key"), *[(F.col(c) == v).cast("int").alias(f"__y{i}") for i, (c, v) in enumerate(categories)])
+    ys = [f"__y{i}" for i in range(len(categories))]
+    some = whole.groupBy(F.col(key).alias("__key")).agg(*[F.max((F.col(c) == v).cast("int")).alias(y) for y, (c, v) in zip(ys, categories)])
     some = some.orderBy(F.xxhash64("__key"), "__key").limit(sample)
+    kind = some.schema["__key"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _BUCKETS.use()
         for b in batches:
-            b = pa.Table.from_batches([b])
-            found = [buckets_of(t).tolist() for t in b["text"].to_pylist()]
-            yield from b.drop_columns(["text"]).append_column("f", pa.array(found, pa.list_(pa.int64()))).to_batches()
+            found = pa.array(list(buckets_in(b.column(b.num_columns - 1))), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], found], names=["__key", *ys, "f"])
+        trim()
 
-    ys = [f"__y{i}" for i in range(len(categories))]
     texts = docs.select(F.col(key).alias("__key"), text_of(text).cast("binary").alias("text"))
-    found = texts.join(F.broadcast(some), "__key").select(*ys, "text")
-    got = found.mapInArrow(rows, ", ".join(f"{y} int" for y in ys) + ", f array<long>").collect()
+    found = texts.join(F.broadcast(some), "__key").select("__key", *ys, "text")
+    found = found.mapInArrow(rows, f"__key {kind}, " + ", ".join(f"{y} int" for y in ys) + ", f array<long>")
+    got = found.groupBy("__key").agg(*[F.max(y).alias(y) for y in ys], F.min_by("f", F.xxhash64("f")).alias("f")).collect()
     got.sort(key=lambda r: tuple(r["f"]))  # the fit doesn't depend on the order of rows
     y = np.array([[r[c] for c in ys] for r in got]).reshape(len(got), len(ys))
     return fit_chain([np.array(r["f"], dtype=np.int64) for r in got], y, [c for c, _ in categories])
@@ -181,16 +210,19 @@ def score(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _BUCKETS.use()
         for b in batches:
-            p = _sigmoid(chain.margins([buckets_of(t) for t in b.column(1).to_pylist()]))
+            p = chain.probabilities(list(buckets_in(b.column(1))))
             cols = [pa.array(p[:, j]) for j in range(p.shape[1])]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["__key", *[f"p_{n}" for n in chain.names]])
+        trim()
 
     texts = docs.select(F.col(key).alias("__key"), text_of(text).cast("binary").alias("text"))
     return texts.mapInArrow(run, f"__key {kind}, " + ", ".join(f"p_{n} double" for n in chain.names)).withColumnRenamed("__key", key)
 
 
 def clean(docs: DataFrame, chain: Chain, category: str, text: str = "text") -> DataFrame:
-    """The rows of `docs`, with all their columns, whose probability of `category` is below 0.5."""
+    """The rows of `docs`, with all their columns, whose probability of `category` is below 0.5. Null
+    and empty texts are judged by the bias alone; rows that repeat are each judged, and alike; no rows
+    give no rows; other columns, whatever their names, pass through."""
     importable(session(docs))
     j = chain.names.index(category)
     at = docs.columns.index(text)
@@ -198,8 +230,9 @@ def clean(docs: DataFrame, chain: Chain, category: str, text: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _BUCKETS.use()
         for b in batches:
-            rows = [buckets_of((t or "").encode()) for t in b.column(at).to_pylist()]
-            yield b.filter(pa.array(chain.margins(rows)[:, j] < 0, pa.bool_()))
+            rows = list(buckets_in(pc.fill_null(b.column(at), "").view(pa.binary())))
+            yield b.filter(pa.array(chain.probabilities(rows)[:, j] < 0.5, pa.bool_()))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
 
