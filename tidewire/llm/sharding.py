@@ -15,7 +15,7 @@ SHARDS = 40
 ROW_BYTES = 16
 #: Groups of texts above this share of a shard, in any dimension, are placed on their own.
 OWN_SHARE = 1 / 256
-#: Groups above this share of a shard are split into pieces of about this share.
+#: Groups of more than a shard, in any dimension, are split into pieces of about this share of one.
 PIECE_SHARE = 1 / 32
 #: Bundles of small groups for each shard.
 BUNDLES = 256
@@ -25,7 +25,7 @@ DIMENSIONS = (4.0, 1.0, 1.0)
 
 def place(sizes: np.ndarray, bins: int, weights: tuple[float, ...] = DIMENSIONS) -> np.ndarray:
     """The bin of each item (a row of `sizes`, any units): items in decreasing order of their
-    largest coordinate go where the weighted dot product with the residual capacity is highest.
+    weighted sum go where the weighted dot product with the residual capacity is highest.
     Coordinates are shares of a bin's capacity, which is the total divided by `bins`; a bin that is
     over in one dimension has a negative residual there. Ties go to the lowest bin."""
     total = np.maximum(sizes.sum(axis=0), 1)
@@ -44,11 +44,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     """key, size, text_crc32, law, shard, slot, grown_shard for each row: sizes (UTF-8 bytes plus
     16) near equal over the shards (law `bytes`), tokens (words) and rows balanced with them.
 
-    Equal texts are a group and stay together unless that would unbalance a shard. Groups larger
-    than OWN_SHARE of a shard are packed one by one, at most 3 * shards / OWN_SHARE of them; those
-    above PIECE_SHARE are first split into pieces by a hash of the key. All smaller groups are
-    dealt by their hash to a fixed number of bundles, which are packed like groups. So the driver
-    packs a bounded number of items at any size, and the largest group is spread like any data.
+    Equal texts are a group and stay together; only a group that alone is more than a shard is split,
+    into pieces by a hash of the key. Groups larger than OWN_SHARE of a shard are packed one by one,
+    at most 3 * shards / OWN_SHARE of them. All smaller groups are dealt by their hash to a fixed
+    number of bundles, which are packed like groups. So the driver packs a bounded number of items
+    at any size, and the largest group is spread like any data.
 
     A null text has no bytes and is in one group with empty ones. Rows that repeat are each placed.
     No rows give no rows. Columns other than the two named are not read.
@@ -68,7 +68,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     groups = scratch.table(base.groupBy("digest").agg(*sums), "groups")
     bundle = F.pmod(F.xxhash64("digest"), F.lit(shards * BUNDLES))
     share = F.greatest(*[F.col(c) * (shards / max(total[c] or 0, 1)) for c in ("size", "tokens", "rows")])
-    large = groups.where(share > OWN_SHARE).select("digest", F.when(share > PIECE_SHARE, F.ceil(share / PIECE_SHARE)).otherwise(1).cast("long").alias("pieces"))
+    large = groups.where(share > OWN_SHARE).select("digest", F.when(share > 1, F.ceil(share / PIECE_SHARE)).otherwise(1).cast("long").alias("pieces"))
     large = scratch.table(large, "large")  # at most 3 * shards / OWN_SHARE rows
     item = F.when(F.col("pieces").isNull(), F.concat(F.lit("b"), bundle.cast("string"))).otherwise(
         F.concat("digest", F.lit(":"), F.pmod(F.xxhash64("key", F.lit("piece")), F.coalesce("pieces", F.lit(1))).cast("string"))
