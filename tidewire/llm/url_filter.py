@@ -38,19 +38,31 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RU
     return found
 
 
-def equivalences(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst): a page's URL with its canonical form, with the target of its canonical link and
-    with that of an immediate refresh, and these targets with their own canonical forms. Targets are
-    unescaped and resolved against the page's URL."""
+def equivalences(pages: DataFrame, url: str = "url", html: str = "html", spellings: bool = False) -> DataFrame:
+    """(src, dst): a page's URL with the target of its canonical link and with that of an immediate
+    refresh. Targets are unescaped and resolved against the page's URL. A target and a crawled URL
+    that are spelt differently but have one canonical form meet in that form, a node of its own that
+    no rule fits (see `form`). Crawled URLs that no link leads to are not joined by their spelling,
+    unless `spellings` says so.
+
+    Null URLs and pages without links give no edges; repeated rows repeat theirs; other columns are
+    not read."""
     u = F.col(url)
     link = lambda pattern, word: F.when(F.contains(F.lower(html), F.lit(word)), F.nullif(F.regexp_extract(html, pattern, 1), F.lit("")))
-    found = F.array(*[F.struct(F.lit(own).alias("own"), c.alias("dst")) for own, c in ((True, canonical_url(u)), (False, link(CANONICAL, "canonical")), (False, link(REFRESH, "refresh")))])
-    e = pages.where(u.isNotNull()).select(u.alias("src"), F.explode(found).alias("t")).select("src", "t.own", "t.dst").where("dst is not null")
-    target = resolve_url(unescape(F.when(~F.col("own"), F.col("dst"))), F.col("src"))
-    e = e.withColumn("dst", F.when(F.col("own"), F.col("dst")).otherwise(target))
-    both = F.array(F.struct("src", "dst"), F.when(~F.col("own"), F.struct(F.col("dst").alias("src"), canonical_url(F.col("dst")).alias("dst"))))
-    e = e.where("contains(dst, '://')").select(F.explode(both).alias("e")).select("e.src", "e.dst")
-    return e.where("dst is not null and dst <> src and contains(dst, '://')")
+    found = F.array_compact(F.array(link(CANONICAL, "canonical"), link(REFRESH, "refresh")))
+    e = pages.where(u.isNotNull()).select(u.alias("src"), F.explode(found).alias("dst"))
+    e = e.withColumn("dst", resolve_url(unescape(F.col("dst")), F.col("src"))).where("contains(dst, '://')")
+    e = Scratch(session(pages), "edges").table(e.where("dst <> src").distinct(), "links")
+    targets = e.select("dst", form(F.col("dst")).alias("f"))
+    crawled = pages.where(u.isNotNull()).select(u.alias("src"), form(u).alias("dst"))
+    if not spellings:
+        crawled = crawled.join(targets.select(F.col("f").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst")
+    return e.unionByName(crawled).unionByName(targets.select(F.col("dst").alias("src"), F.col("f").alias("dst")))
+
+
+def form(url: Column) -> Column:
+    """The node for all spellings of a URL: its canonical form, without the `://` that a URL has."""
+    return F.replace(canonical_url(url), F.lit("://"), F.lit(" "))
 
 
 def filter_urls(pages: DataFrame, edges: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, key: str = "page_id", url: str = "url") -> DataFrame:
@@ -94,13 +106,18 @@ def _case(host: str, path: str, what: int) -> str:
 
 _HOST = "translate(regexp_extract(coalesce({u}, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract(coalesce({u}, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_FORM = "replace({u}, '://', ' ')"
+#: Targets of links are absolute URLs here and hold no entities.
 SQL = f"""
-WITH RECURSIVE edge AS (
+WITH RECURSIVE link AS (
   SELECT DISTINCT url AS src, dst FROM (
-    SELECT url, {canonical_url_sql("url")} AS dst FROM pages WHERE url IS NOT NULL
-    UNION ALL SELECT url, regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1) FROM pages WHERE url IS NOT NULL
-    UNION ALL SELECT url, regexp_extract(html, '(?is)<meta\\b[^>]*http-equiv\\s*=\\s*["'']?refresh\\b[^>]*\\bcontent\\s*=\\s*["''][^"''>]*?url\\s*=\\s*([^"''>\\s]+)', 1) FROM pages WHERE url IS NOT NULL)
-  WHERE dst <> url AND contains(dst, '://')),
+    SELECT url, coalesce(nullif(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1), ''), regexp_extract(html, '(?is)<link\\b[^>]*\\bhref\\s*=\\s*["'']?([^"''\\s>]+)[^>]*\\brel\\s*=\\s*["'']?canonical\\b', 1)) AS dst FROM pages
+    UNION ALL SELECT url, regexp_extract(html, '(?is)<meta\\b[^>]*http-equiv\\s*=\\s*["'']?refresh\\b[^>]*\\bcontent\\s*=\\s*["''][^"''>]*?url\\s*=\\s*([^"''>\\s]+)', 1) FROM pages)
+  WHERE url IS NOT NULL AND dst <> url AND contains(dst, '://')),
+target AS (SELECT DISTINCT dst AS src, {_FORM.format(u=canonical_url_sql("dst"))} AS dst FROM link),
+edge AS (
+  SELECT src, dst FROM link UNION SELECT src, dst FROM target
+  UNION SELECT url, f FROM (SELECT url, {_FORM.format(u=canonical_url_sql("url"))} AS f FROM pages WHERE url IS NOT NULL) WHERE f IN (SELECT dst FROM target)),
 und AS (SELECT src, dst FROM edge UNION SELECT dst, src FROM edge),
 reach AS (SELECT src AS node, src AS other FROM und UNION SELECT reach.node, und.dst FROM reach JOIN und ON reach.other = und.src),
 bad AS (SELECT DISTINCT node FROM reach WHERE {_case(_HOST.format(u="other"), _PATH.format(u="other"), 0)} = 'block'),
