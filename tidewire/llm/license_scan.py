@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewire.llm.common import Memo, read, session, text_of
+from tidewire.llm.common import SLICE, Memo, by_bytes, read, session, text_of, trim, words_in
 from tidewire.storage import importable
 
 #: Words in a fingerprint, and fingerprints in a winnowing window.
@@ -31,6 +31,13 @@ TEMPLATES = {
     "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
     "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
     "GPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "LGPL-3.0": """This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.""",
+    "AGPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    "CC0-1.0": """To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.""",
     "MIT notice": "Released under the MIT License.",
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
@@ -59,6 +66,14 @@ def hashes(text: bytes) -> np.ndarray:
     return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
+def hashes_in(column: pa.Array) -> Iterator[np.ndarray]:
+    """hashes() of each text of a column of bytes."""
+    for texts in by_bytes(column, SLICE):
+        word, words, bounds = words_in(texts, False)
+        every = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))[word]
+        yield from (every[i:j] for i, j in zip(bounds[:-1], bounds[1:]))
+
+
 def grams(h: np.ndarray) -> np.ndarray:
     """A hash of each GRAM words in a row."""
     n = max(0, len(h) - GRAM + 1)
@@ -194,14 +209,27 @@ def _notices(index: Index, h: np.ndarray) -> list[tuple[str, float, int, int, in
             if matched >= index.least(i) and not any(first < e and s < end for s, e in done):
                 done.append((first, end))
                 found.append((index.names[i], matched / len(t), matched, first, end))
-    same = lambda x, y: 2 * (min(x[4], y[4]) - max(x[3], y[3])) > min(x[4] - x[3], y[4] - y[3])
-    return [x for x in found if not any(y[1] > x[1] and same(x, y) for y in found)]
+    return _best(found)
+
+
+def _best(found: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """Without what lies within a place where more words of another template were found, and of those
+    that share most of a place with a template that is covered better or, if alike, in more words."""
+    same = lambda x, y: 2 * (min(x[4], y[4]) - max(x[3], y[3])) > max(x[4] - x[3], y[4] - y[3])
+    inside = lambda x, y: y[3] <= x[3] and x[4] <= y[4] and x[2] < y[2] and (y[4] - y[3]) * 3 > (x[4] - x[3]) * 4
+    found = [x for x in found if not any(x is not y and inside(x, y) for y in found)]
+    return [x for x in found if not any(y[1:3] > x[1:3] and same(x, y) for y in found)]
 
 
 def find(index: Index, text: bytes) -> list[tuple[str, float, int, int, int]]:
-    """(template, coverage, matched words, first word, end word) for each place of `text` that holds
-    enough of a template, in the order of places."""
-    h, coverage = hashes(text), index.coverage
+    """What `find_in` gives for the words of a text."""
+    return find_in(index, hashes(text))
+
+
+def find_in(index: Index, h: np.ndarray) -> list[tuple[str, float, int, int, int]]:
+    """(template, coverage, matched words, first word, end word) for each place of a text, given its
+    words' hashes, that holds enough of a template, in the order of places."""
+    coverage = index.coverage
     out = _notices(index, h)
     for i, hits in index.hits(h).items():
         t = index.words[i]
@@ -220,7 +248,7 @@ def find(index: Index, text: bytes) -> list[tuple[str, float, int, int, int]]:
             if matched >= coverage * len(t) and not any(first < e and s < end for s, e in done):
                 done.add((first, end))
                 out.append((index.names[i], matched / len(t), matched, first, end))
-    return sorted(out, key=lambda x: (x[3], x[4], x[0]))
+    return sorted(_best(out), key=lambda x: (x[3], x[4], x[0]))
 
 
 FOUND = "license string, coverage double, matched long, first_word long, end_word long, span string"
@@ -243,14 +271,15 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
         _WORDS.use()
         for b in batches:
             rows, at = [], []
-            for r, t in enumerate(b.column(1).to_pylist()):
-                for name, share, matched, first, end in find(index, t):
+            for r, (t, h) in enumerate(zip(b.column(1), hashes_in(b.column(1)))):
+                for name, share, matched, first, end in find_in(index, h):
                     at.append(r)
-                    rows.append((name, share, matched, first, end, b" ".join(t.split()[first:end]).decode("utf-8", "replace")))
+                    rows.append((name, share, matched, first, end, b" ".join(t.as_py().split()[first:end]).decode("utf-8", "replace")))
             cols = list(zip(*rows)) if rows else [()] * 6
             kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
             names = ["__key", *[x.split()[0] for x in FOUND.split(", ")]]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *[pa.array(c, k) for c, k in zip(cols, kinds)]], names=names)
+        trim()
 
     texts = docs.select(F.col(key).alias("__key"), text_of(text).cast("binary").alias("text"))
     return texts.mapInArrow(run, f"__key {kind}, {FOUND}").withColumnRenamed("__key", key)
