@@ -116,7 +116,8 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
     Vectors that are null, zero or hold a null or non-finite component link with nothing and are
     their own component. Vectors of different lengths are compared as if filled up with zeros. Rows
-    that repeat count as other vectors. A null key is a row like any other, but cannot be reached.
+    that repeat count as other vectors, also where they repeat a key. A null key is a row like any
+    other, but cannot be reached.
     No rows give no rows. Other columns are not read.
     """
     spark, scratch = session(vectors), Scratch(session(vectors), "ego")
@@ -157,20 +158,20 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     offsets = ordered.groupBy("part").agg(F.count("*").alias("c"))
     before = W.partitionBy(F.lit(0)).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = offsets.select("part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("off"))  # one row a partition
-    numbered = ordered.join(F.broadcast(offsets), "part").withColumn("leaf", F.floor((F.col("off") + F.col("at")) / leaf).cast("long"))
+    numbered = ordered.join(F.broadcast(offsets), "part").withColumn("node", F.col("off") + F.col("at")).withColumn("leaf", F.floor(F.col("node") / leaf).cast("long"))
 
     def build(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("off", "ascending"), ("at", "ascending")])
+        t = t.sort_by("node")
         x = unit(t["v"].to_pylist(), dim)
         p = x @ basis[:, :box]
-        cols = {"leaf": t["leaf"][:1], "id": pa.array([t["id"].to_pylist()], pa.list_(pa.int64())), "m": pa.array([t["m"].to_pylist()], pa.list_(pa.int64()))}
+        cols = {"leaf": t["leaf"][:1], "id": pa.array([t["node"].to_pylist()], pa.list_(pa.int64())), "m": pa.array([t["m"].to_pylist()], pa.list_(pa.int64()))}
         cols["v"] = pa.array([x.tobytes()])
         cols |= {f"lo{k}": pa.array([p[:, k].min()]) for k in range(box)} | {f"hi{k}": pa.array([p[:, k].max()]) for k in range(box)}
         return pa.table(cols)
 
     sides = [f"lo{k}" for k in range(box)] + [f"hi{k}" for k in range(box)]
     leaves = scratch.table(
-        numbered.select("leaf", "off", "at", "id", "m", "v").groupBy("leaf").applyInArrow(
+        numbered.select("leaf", "node", "m", "v").groupBy("leaf").applyInArrow(
             build, "leaf long, id array<long>, m array<long>, v binary" + "".join(f", {s} double" for s in sides)
         ),
         "leaves",
@@ -212,9 +213,10 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     found = scratch.table(work.mapInArrow(compare, "u long, w long, n long"), "links")
     counts = found.where("n > 0").groupBy("u").agg(F.sum("n").alias("links"))
     component = connected_components(found.where("w is not null"), "u", "w", scratch)
-    known = reps.join(counts, reps["id"] == counts["u"], "left").join(component, reps["id"] == component["node"], "left")
-    known = known.select("v", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    known = numbered.select("v", "id", "m", "node").join(counts.withColumnRenamed("u", "node"), "node", "left").join(component, "node", "left")
+    known = known.select("v", "id", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     known = scratch.table(known, "known")
+    known = known.join(known.groupBy("component").agg(F.min("id").alias("component_id")), "component").select("v", "n_links", "component_id")
     out = good.join(known, "v").select("id", "n_links", "component_id").unionByName(
         rows.where("v is null or id is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     )
@@ -223,3 +225,15 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+_USABLE = "coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false)"
+SQL = f"""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE {_USABLE}),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= {THRESHOLD}),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id, vec_id <= coalesce(low, vec_id) AS kept
+FROM embeddings LEFT JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
+"""

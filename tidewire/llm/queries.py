@@ -18,8 +18,10 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_embedding_near_dedup": embedding_dedup.SQL,
     "op3_mix_sources": mixing.SQL,
     "op4_url_filter": url_filter.SQL,
     "op5_warc_revisits": warc_revisits.SQL,
+    "op7_ngram_join": ngram_join.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }
