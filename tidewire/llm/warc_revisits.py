@@ -39,20 +39,20 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     headers, payload.
 
     The response is the latest one of the same canonical URL with an earlier ts (of equal ts, the
-    largest record_id). The revisit's entity tag must equal the response's by weak comparison; with
-    no tag on either side, its last_modified must be equal. `status` is resolved,
+    largest record_id). Where both have an entity tag, these must be equal by weak comparison; else,
+    where both have it, last_modified must be equal. `status` is resolved,
     validator_mismatch, no_validator or no_response; payload and merged headers are given where
     it is resolved, headers of the revisit alone otherwise.
 
     The as-of join looks at each (URL, piece of the time line) by itself and carries the last
     response of the earlier pieces over, so a URL with a third of all rows is cut by quantiles of
-    ts and no window holds more than a piece. A null ts or URL finds no response; a response with a
-    null ts or URL is found by none. Repeated revisits are each answered; if responses repeat a
+    ts and no window holds more than a piece. A null ts, or a null or empty URL, finds no response,
+    and a response with one is found by none. Repeated revisits are each answered; if responses repeat a
     record_id, one of them is used. No rows give no rows; further columns are ignored.
     """
     scratch = Scratch(session(records), "revisits")
     keys = records.select(
-        F.col("record_id").alias("id"), F.col("kind"), F.when(F.col("url").isNotNull(), canonical_url(F.col("url"))).alias("canonical"),
+        F.col("record_id").alias("id"), F.col("kind"), F.when(F.trim("url") != "", canonical_url(F.col("url"))).alias("canonical"),
         F.col("ts").cast("long").alias("ts"), "etag", "last_modified",
     )
     keys = scratch.table(keys, "keys")
