@@ -63,6 +63,31 @@ def test_shards(docs, empty):
     assert len(rows) == len(ROWS) and all(sorted(s) == list(range(len(s))) for s in slots.values()) and sharding.shard(empty).count() == 0
 
 
+def test_shards_keep_groups_whole(spark):
+    """Groups of up to a shard stay whole; slots and sizes are those of the rows."""
+    rng = np.random.default_rng(4)
+    texts = [("t%d " % g) * int(rng.integers(1, 60)) for g in range(300) for _ in range(int(rng.integers(1, 5)))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sharding.shard(df, shards=10).collect()
+    by = defaultdict(set)
+    for r in rows:
+        assert r["size"] == len(texts[r["doc_id"]]) + 16 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode())
+        by[texts[r["doc_id"]]].add(r["shard"])
+    sizes = np.bincount([r["shard"] for r in rows], [r["size"] for r in rows])
+    assert len(rows) == len(texts) and all(len(v) == 1 for v in by.values()) and sizes.max() < 1.03 * sizes.min()
+
+
+def test_place_goes_where_the_dot_product_is_highest():
+    rng = np.random.default_rng(6)
+    sizes = rng.integers(0, 50, (40, 3)).astype(float)
+    scale, items = np.array(sharding.DIMENSIONS), sizes * 4 / np.maximum(sizes.sum(axis=0), 1)
+    room, want = [[1.0] * 3 for _ in range(4)], {}
+    for i in sorted(range(40), key=lambda i: (-sum(items[i] * scale), i)):
+        want[i] = max(range(4), key=lambda b: (sum(room[b] * items[i] * scale), -b))
+        room[want[i]] = [r - x for r, x in zip(room[want[i]], items[i])]
+    assert sharding.place(sizes, 4).tolist() == [want[i] for i in range(40)]
+
+
 def test_shards_split_a_hot_group(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.repeat(F.lit("x"), F.lit(300))).otherwise(F.concat(F.repeat(F.lit("y "), F.lit(100)), F.col("id"))).alias("text"))
     sizes = [r["s"] for r in sharding.shard(df, shards=10).groupBy("shard").agg(F.sum("size").alias("s")).collect()]
@@ -123,27 +148,42 @@ def test_embeddings(spark):
     assert all(got[k] == (0, k, True) for k in (300, 301, 302, 303, 304)) and got[None][0] == 0
 
 
+def test_embeddings_that_repeat_a_key(spark):
+    rows = [(3, [1.0, 0.0]), (3, [0.0, 1.0]), (5, [1.0, 0.01]), (4, [1.0, 0.02]), (7, [-1.0, 0.0]), (7, [-1.0, 0.0])]
+    want = [(3, 0, 3, True), (3, 2, 3, True), (4, 2, 3, False), (5, 2, 3, False), (7, 1, 7, True), (7, 1, 7, True)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").withColumn("leaf", F.lit(1)).withColumn("node", F.lit("x"))
+        assert sorted(tuple(r) for r in embedding_dedup.near_duplicates(df).collect()) == want
+    assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
+
+
+def test_sql_of_links(spark, tmp_path):
+    """op2 and op7 equal their SQL where documents and vectors do link."""
+    import duckdb
+
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(20, 6))
+    vectors = [(i, [float(x) for x in base[i % 20] + rng.normal(scale=0.1 * (i % 3), size=6)]) for i in range(150)] + [(200, None), (201, [0.0] * 6), (202, [float("inf")] * 6)]
+    texts = []
+    for i in range(120):
+        words = [f"w{i % 15}x{k}" for k in range(int(rng.integers(1, 50)))]
+        texts.append((i, " ".join(words + ["Same  Tail\tOf It"] * (i % 2))))
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame([*texts, (500, None), (501, " ")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    db = duckdb.connect()
+    for t in ("embeddings", "documents"):
+        db.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    for query, sql in ((embedding_dedup.op2_embedding_near_dedup, embedding_dedup.SQL), (ngram_join.op7_ngram_join, ngram_join.SQL)):
+        got, want = query(spark, str(tmp_path)), db.sql(sql)
+        assert sorted(tuple(r) for r in got.select(*want.columns).collect()) == sorted(want.fetchall()) and len({r["component_id"] for r in got.collect()}) < got.count()
+
+
 def test_ngrams(docs, empty, spark):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(docs).collect()}
     assert got[1] == (1, 1) and got[2] == (1, 1) and got[3] == (0, 3) and got[5] == (0, 5) and got[6][1] == 6 and got[8] == (1, 8) and got[11] == (3, 11)
     assert ngram_join.jaccard_components(empty).count() == 0
 
 
-@pytest.mark.parametrize("room", [ngram_join.BITMAPS, 64])
-def test_families_with_and_without_exact_bitmaps(monkeypatch, room):
-    monkeypatch.setattr(ngram_join, "BITMAPS", room)
-    rng = np.random.default_rng(7)
-    base = rng.integers(0, 1 << 60, (3, 80)).astype(np.uint64)
-    sets = [np.unique(np.concatenate([base[i % 3][rng.random(80) > 0.05 * (i % 4)], rng.integers(0, 1 << 60, i % 5).astype(np.uint64)])) for i in range(90)]
-    near = np.array([[100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) for b in sets] for a in sets])
-    for side in (np.zeros(90, int), 1 + np.arange(90) % 2):
-        link = (near & (side[:, None] != side[None, :])) if side.any() else near
-        label = np.arange(90)
-        while ((new := np.array([min(label[i], label[link[i]].min(initial=90)) for i in range(90)])) != label).any():
-            label = new
-        assert (ngram_join.family_components(sets, side, 85) == label).all()
-
-
 def test_ngrams_brute_force(spark):
     rng = np.random.default_rng(3)
     docs = []
@@ -170,7 +210,7 @@ def test_urls(spark):
     rows = [(1, "http://a.net/x"), (2, "https://EN.example.net/en/q?x"), (3, None), (4, "nothing"), (5, "https://b.org/fr/1"), (6, "https://c.org/old"), (6, "https://c.org/old"), (7, "http://net")]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("html", F.when(F.col("page_id") == 6, F.lit('<link rel="canonical" href="http://a.net/x">'))).withColumn("rule", F.lit(0))
     got = {(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.filter_urls(pages, url_filter.equivalences(pages)).collect()}
-    assert got == {(1, "a.net", "/x", "net/", "block"), (2, "en.example.net", "/en/q", "example.net/en/", "allow"), (3, "", "", None, "allow"), (4, "", "", None, "allow"), (5, "b.org", "/fr/1", "org/fr/", "allow"), (6, "c.org", "/old", None, "block"), (7, "net", "", None, "block")}
+    assert got == {(1, "a.net", "/x", "net/", "block"), (2, "en.example.net", "/en/q", "example.net/en/", "allow"), (3, "", "", None, "allow"), (4, "", "", None, "allow"), (5, "b.org", "/fr/1", "org/fr/", "allow"), (6, "c.org", "/old", None, "block"), (7, "net", "", None, "allow")}
     assert url_filter.filter_urls(pages.where("false"), url_filter.equivalences(pages.where("false"))).count() == 0
 
 
@@ -187,6 +227,28 @@ def test_urls_follow_relative_targets(spark):
     assert got == {0, 1, 2, 3, 4, 5, 6, 7, 10, 11}
 
 
+def test_urls_equal_sql_where_pages_have_links(spark):
+    """Aliases, chains, spellings and explicit allows; without a link, spelling alone says nothing."""
+    import duckdb
+
+    link, back, refresh = '<link rel="canonical" href="{}">', "<link href='{}' rel='canonical'>", '<meta http-equiv="refresh" content="0; url={}">'
+    rows = [
+        ("https://example.com/de/", None), ("https://example.com/de", None), ("http://a.org/1", link.format("http://a.org/2")), ("http://www.a.org/2/", refresh.format("http://x.net/")), ("http://b.org/1", back.format("https://b.org/2?utm_source=q")),
+        ("http://b.org/2", link.format("http://sub.example.com/de/x")), ("http://c.org/fr/1", link.format("http://c.net/1")), ("http://d.org/1", link.format("http://d.org/2")), (None, link.format("http://x.net/")), ("http://a.org/1", None),
+    ] + [(f"http://hub.org/{i}", link.format("http://hub.net/")) for i in range(40)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    cols = ["page_id", "host", "path", "rule", "verdict"]
+    got = {tuple(r) for r in url_filter.filter_urls(df, url_filter.equivalences(df)).select(*cols).collect()}
+    pages = df.toPandas()  # noqa: F841
+    want = {tuple(None if x is None or x != x else x for x in r) for r in duckdb.sql(url_filter.SQL).df()[cols].itertuples(index=False)}
+    assert got == want and {r[0] for r in got if r[4] == "block"} == {0, 2, 3, 4, 5, 9, *range(10, 50)}
+
+
+def test_long_urls(spark):
+    df = spark.createDataFrame([(1, "http://a.net/" + "x" * 200_000, ""), (2, "x" * 200_000, "")], "page_id long, url string, html string")
+    assert [r["verdict"] for r in url_filter.filter_urls(df, url_filter.equivalences(df)).orderBy("page_id").collect()] == ["block", "allow"]
+
+
 def test_resolved_urls_equal_urljoin(spark):
     from urllib.parse import urljoin
 
@@ -236,6 +298,32 @@ def test_licenses(docs, empty):
     assert [(n, a, b) for n, _, _, a, b in found] == [("ISC", 50, 50 + len(words))]
 
 
+def test_one_report_for_a_place():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    for name, text in license_scan.TEMPLATES.items():
+        assert [n for n, *_ in license_scan.find(index, f"some words before {text} and after".encode())] == [name]
+
+
+def test_long_texts_against_alignment_everywhere(spark):
+    """Damaged license texts in other words: every one that alignment at all diagonals finds is found."""
+    index = license_scan.Index(license_scan.TEMPLATES)
+    rng = np.random.default_rng(13)
+    names = [n for n, t in license_scan.TEMPLATES.items() if len(t.split()) >= license_scan.SHORT]
+    hit = total = 0
+    for k in range(60):
+        name = names[k % len(names)]
+        words = license_scan.TEMPLATES[name].split()
+        for at in rng.integers(0, len(words), int(len(words) * rng.uniform(0, 0.25))):
+            words[at] = f"q{at}"
+        h = license_scan.hashes(" ".join([*(f"a{i}" for i in range(rng.integers(30))), *words, "end"]).encode())
+        t = index.words[index.names.index(name)]
+        best = max(license_scan.align(t, h, d, license_scan._band(t))[0] for d in range(-2, 34))
+        if best >= index.least(index.names.index(name)):
+            total += 1
+            hit += name in [n for n, *_ in license_scan.find_in(index, h)]
+    assert total >= 30 and hit == total
+
+
 def test_short_notices():
     """Changed notices, and any texts of their words against alignment everywhere."""
     index = license_scan.Index(license_scan.TEMPLATES)
@@ -280,16 +368,16 @@ def test_ngrams_in_pieces(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(df).collect()} == label
 
 
-@pytest.mark.parametrize("short", [0, 1000])
+@pytest.mark.parametrize("short, room", [(0, 4), (1000, 1), (0, 1)])
 @pytest.mark.parametrize("percent", [10, 40, 60, 100])
-def test_candidates_of_all_lengths(monkeypatch, short, percent):
+def test_candidates_of_all_lengths(monkeypatch, short, room, percent):
     monkeypatch.setattr(ngram_join, "SHORT", short)
     rng = np.random.default_rng(9)
     base = rng.integers(0, 1 << 60, 900).astype(np.uint64)
     sets = [np.unique(np.append(base[: rng.integers(20, 900)], rng.integers(0, 1 << 60, i % 9).astype(np.uint64))) for i in range(60)]
     sets += [sets[0], base[:60], base[:140]]
     g = len(sets)
-    sig = ngram_join.Signatures(np.array([len(s) for s in sets]), [ngram_join.bitmap(s) for s in sets])
+    sig = ngram_join.Signatures(np.array([len(s) for s in sets]), [ngram_join.bitmap(s, room) for s in sets])
     near = {(i, j) for i in range(g) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j]))}
     found = ngram_join.candidates(np.array([0, g]), sig, np.arange(g), np.zeros(g, int), percent)
     assert near <= {(max(a, b), min(a, b)) for i, j in found for a, b in zip(i.tolist(), j.tolist())}
