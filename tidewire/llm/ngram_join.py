@@ -18,12 +18,14 @@ SHINGLE, PERCENT = 4, 85
 FAN = 8
 #: Rows of one hub that are compared in one task; a larger group is cut into pieces whose pairs are
 #: compared apart.
-PIECE = 2048
+PIECE = 8192
 #: Share of its first tokens that a row has in common with a hub, at least, to be compared with it
 #: before all others. Hubs only decide what is compared first, not whether.
 FAMILY = 0.5
 #: Groups up to this length need no tree.
 SHORT = 24
+#: Groups above this length are searched twice.
+LONG = 256
 #: Bits of a bitmap for each token, at least, in groups up to SHORT and in longer ones.
 NARROW, WIDE = 1, 4
 #: Documents whose keys are broadcast to pick their texts, at most; for more, all texts are shuffled.
@@ -304,14 +306,41 @@ def _linked(k: int, percent: int):
 
 
 def _once(found: list[np.ndarray]) -> pa.RecordBatch:
-    a, b = np.concatenate(found, axis=1)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
-    return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], names=["a", "b"])
-
-
-def _cross(percent: int):
+    rows = np.concatenate(found, axis=1)
+    rows = rows[:, np.lexsort(rows[::-1])]
+    rows = rows[:, np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0))[: rows.shape[1]]]
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["a", "b", "hub"])
+
+
+class Forest:
+    """Which pairs join what earlier ones have not: a spanning forest over the components of rows."""
+
+    def __init__(self, component: np.ndarray):
+        self.of = np.unique(component, return_inverse=True)[1]
+        self.root = np.arange(self.of.max(initial=-1) + 1)
+
+    def _find(self, i: int) -> int:
+        while self.root[i] != i:
+            i = self.root[i]
+        return i
+
+    def new(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The places of the pairs (rows a, rows b) that join."""
+        picked = []
+        for k in np.flatnonzero(self.root[self.of[a]] != self.root[self.of[b]]):
+            x, y = self._find(self.of[a[k]]), self._find(self.of[b[k]])
+            if x != y:
+                self.root[max(x, y)] = min(x, y)
+                picked.append(k)
+        if picked:
+            while (self.root[self.root] != self.root).any():
+                self.root = self.root[self.root]
+        return np.array(picked, np.int64)
+
+
+def _cross(percent: int, forest: bool):
+    """Pairs of rows of different components that may be similar, with the hub of their group. With
+    `forest`, of pairs that would join the same components one is enough."""
     run_by = ["hub", "ca", "cb"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,9 +350,13 @@ def _cross(percent: int):
             sig = Signatures(t["n"].to_numpy(), t["bits"].to_pylist())
             own, ca, cb = t["c"].to_numpy(), keys[1], keys[2]
             side = np.where(ca == cb, 0, np.where(own == ca, 1, 2))
-            doc, found = t["doc_id"].to_numpy(), []
-            for a, b in candidates(start, sig, t["component"].to_numpy(), side, percent):
-                found.append(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])]))
+            doc, component, found = t["doc_id"].to_numpy(), t["component"].to_numpy(), []
+            tree = Forest(component)
+            for a, b in candidates(start, sig, component, side, percent):
+                if forest:
+                    new = tree.new(a, b)
+                    a, b = a[new], b[new]
+                found.append(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b]), keys[0][a]]))
                 if sum(f.shape[1] for f in found) > 1 << 18:
                     yield _once(found)
                     found = []
@@ -419,7 +452,10 @@ def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent:
        the tokens and ranges of sizes; a dual traversal drops node pairs by the largest overlap that
        they allow. Only pairs of different components come out, and they are verified on whole
        sets, once a pair.
-    5. The components of both kinds of links are the result.
+    5. Long groups are searched twice. The first time only pairs come out that would join what
+       others of the task would not, so their number grows with the rows. The second time, by then
+       known components, all pairs come out, of those groups that had any.
+    6. The components of all links are the result.
 
     Leaders and groups of more than PIECE rows are cut, groups into pieces that are compared in
     pairs, so that no task holds a whole one; what a task holds is bounded in bytes. Pieces within
@@ -439,10 +475,10 @@ def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent:
     reps = sets.where("n > 0 and doc_id is not null").join(classes.select(F.col("rep").alias("doc_id"), "set").hint("merge"), ["doc_id", "set"], "left_semi")
     reps = scratch.table(reps.drop("set"), "representatives")
     scratch.drop(sets)
-    tokens = reps.select("doc_id", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
+    tokens = reps.select("doc_id", "n", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
     lists = tokens.groupBy("token").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("rows > 1")
     lists = scratch.table(lists.select("token", "first", "last"), "lists")
-    posting = scratch.table(tokens.join(lists.hint("merge"), "token").select("doc_id", "first", "last", "p"), "postings")
+    posting = scratch.table(tokens.join(lists.hint("merge"), "token").select("doc_id", "n", "first", "last", "p"), "postings")
     scratch.drop(lists)
 
     hubs = posting.select("doc_id", "p", F.posexplode(F.array("first", "last")).alias("kind", "hub")).where("hub <> doc_id")
@@ -450,21 +486,42 @@ def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent:
     best = shared.groupBy("doc_id", "kind").agg(F.max_by("hub", F.struct("shared", F.negative("hub"))).alias("a"))
     near = scratch.table(best.select("a", F.col("doc_id").alias("b")).distinct(), "near-hubs")
     links = scratch.table(_verified(near, texts, shingle, percent), "links")
-    joined = connected_components(links, "a", "b", scratch)
-    joined = scratch.table(joined.select(F.col("node").alias("doc_id"), F.col("component").alias("joined")), "joined")
-
-    named = lambda df, key, out: df.join(joined.select(F.col("doc_id").alias(key), "joined").hint("merge"), key, "left").withColumn(out, F.coalesce("joined", key)).drop("joined")
-    group = posting.select(F.col("first").alias("hub"), "doc_id").distinct()
-    group = scratch.table(named(named(group, "doc_id", "component"), "hub", "own"), "groups")
-    outside = F.col("component") != F.col("own")
-    several = group.groupBy("hub").agg(F.count("*").alias("rows"), F.sum(outside.cast("long")).alias("others")).where("others > 0")
+    group = scratch.table(posting.select(F.col("first").alias("hub"), "doc_id", "n").distinct(), "groups")
     scratch.drop(posting)
-    mixed = group.withColumn("outside", outside).join(several.hint("merge"), "hub").withColumn("short", F.col("rows") <= SHORT)
-    bits = F.when(F.col("short"), F.col("narrow")).otherwise(F.col("wide")).alias("bits")
-    mixed = _pieces(mixed).join(reps.select("doc_id", "n", "narrow", "wide").hint("merge"), "doc_id")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = mixed.select("hub", "ca", "cb", "c", "doc_id", "component", "n", bits).repartition(parts, "hub", "ca", "cb").sortWithinPartitions("hub", "ca", "cb")
-    pairs = scratch.table(runs.mapInArrow(_cross(percent), "a long, b long").distinct(), "candidates")
+    bits = reps.select("doc_id", "narrow", "wide")
+
+    def judged(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The rows of groups that hold several components: of short groups, and of others."""
+        joined = connected_components(links, "a", "b", scratch)
+        joined = scratch.table(joined.select(F.col("node").alias("doc_id"), F.col("component").alias("joined")), "joined")
+        named = lambda df, key, out: df.join(joined.select(F.col("doc_id").alias(key), "joined").hint("merge"), key, "left").withColumn(out, F.coalesce("joined", key)).drop("joined")
+        outside = F.col("component") != F.col("own")
+        rows = scratch.table(named(named(group, "doc_id", "component"), "hub", "own").select("hub", "doc_id", "n", "component", outside.alias("outside")), "named")
+        several = rows.groupBy("hub").agg(F.count("*").alias("rows"), F.sum(F.col("outside").cast("long")).alias("others")).where("others > 0")
+        several = scratch.table(several, "several")
+        short = rows.join(several.where(F.col("rows") <= SHORT).select("hub").hint("merge"), "hub").groupBy("hub").agg(F.collect_list(F.struct("doc_id", "n", "component")).alias("m"))
+        fits = lambda x, y: (x["component"] != y["component"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+        short = short.select("hub", F.explode(F.filter("m", lambda x: F.exists("m", lambda y: fits(x, y)))).alias("x")).select("hub", "x.*")
+        return short, rows.join(several.where(F.col("rows") > SHORT).hint("merge"), "hub")
+
+    def searched(short: DataFrame | None, longer: DataFrame, forest: bool) -> DataFrame:
+        cells = ["hub", "ca", "cb"]
+        rows = _pieces(longer).join(bits.withColumnRenamed("wide", "bits").drop("narrow").hint("merge"), "doc_id")
+        rows = rows.select(*cells, "c", "doc_id", "component", "n", "bits")
+        if short is not None:
+            zero = [F.lit(0).cast("long").alias(c) for c in ("ca", "cb", "c")]
+            rows = rows.unionByName(short.select("*", *zero).join(bits.withColumnRenamed("narrow", "bits").drop("wide").hint("merge"), "doc_id"))
+        runs = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *cells).sortWithinPartitions(*cells)
+        return scratch.table(runs.mapInArrow(_cross(percent, forest), "a long, b long, hub long"), "candidates")
+
+    tried = searched(None, judged(links)[1].where(F.col("rows") > LONG), True)
+    more = _verified(scratch.table(tried.select("a", "b").distinct(), "tried"), texts, shingle, percent)
+    links = scratch.table(links.unionByName(more), "links")
+    short, longer = judged(links)
+    had = tried.select("hub").distinct().withColumn("had", F.lit(True))
+    longer = longer.join(had.hint("merge"), "hub", "left").where((F.col("rows") <= LONG) | F.col("had")).drop("had")
+    rest = searched(short, longer, False)
+    pairs = scratch.table(rest.select("a", "b").distinct(), "pairs")
     found = _verified(pairs, texts, shingle, percent)
     component = connected_components(links.unionByName(found), "a", "b", scratch)
     member = classes.join(component.hint("merge"), classes["rep"] == component["node"], "left").select("set", F.coalesce("component", "rep").alias("component"))
