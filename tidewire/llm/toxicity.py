@@ -188,6 +188,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         for b in batches:
             found = pa.array(list(buckets_in(b.column(b.num_columns - 1))), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], found], names=["__key", *ys, "f"])
+        _BUCKETS.forget()
         trim()
 
     texts = docs.select(F.col(key).alias("__key"), text_of(text).cast("binary").alias("text"))
@@ -213,6 +214,7 @@ def score(docs: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text"
             p = chain.probabilities(list(buckets_in(b.column(1))))
             cols = [pa.array(p[:, j]) for j in range(p.shape[1])]
             yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=["__key", *[f"p_{n}" for n in chain.names]])
+        _BUCKETS.forget()
         trim()
 
     texts = docs.select(F.col(key).alias("__key"), text_of(text).cast("binary").alias("text"))
@@ -232,6 +234,7 @@ def clean(docs: DataFrame, chain: Chain, category: str, text: str = "text") -> D
         for b in batches:
             rows = list(buckets_in(pc.fill_null(b.column(at), "").view(pa.binary())))
             yield b.filter(pa.array(chain.probabilities(rows)[:, j] < 0.5, pa.bool_()))
+        _BUCKETS.forget()
         trim()
 
     return docs.mapInArrow(run, docs.schema)
