@@ -17,7 +17,7 @@ CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
 END = 0
 #: Words whose ids a worker remembers before it starts afresh.
-REMEMBER = 500_000
+REMEMBER = 200_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -71,12 +71,13 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        parts = lambda k, n: [x["type"] for x in (spec[k] or {}).get(n, [])]
-        self.by_word = parts("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"] and parts("pre_tokenizer", "pretokenizers") == ["Split", "ByteLevel"] and spec["model"]["type"] == "BPE"
+        # only these parts: the whole file as Python objects would fill a worker's memory
+        state = lambda x: json.loads(x.__getstate__()) if x is not None else {}
+        normal, split = state(self.tokenizer.normalizer).get("normalizers", []), state(self.tokenizer.pre_tokenizer).get("pretokenizers", [])
+        kinds = [[x["type"] for x in part] for part in (normal, split)]
+        self.by_word = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and type(self.tokenizer.model).__name__ == "BPE"
         if self.by_word:
-            self.find = regex.compile(f'(?:{spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]})|\\n').findall
+            self.find = regex.compile(f'(?:{split[0]["pattern"]["Regex"]})|\\n').findall
         self.odd = regex.compile(ODD).finditer
         self.letters = _byte_letters()
         self.known = Known()
@@ -161,6 +162,7 @@ def cutter(path: str, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             cols = zip(*rows) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        words.known.forget()
         trim()
 
     return run
