@@ -28,6 +28,10 @@ def test_canonical_url(spark, raw, want):
 @pytest.mark.parametrize("raw, want, note", [
     ("Wed, 16 Sep 2026 08:00:00 GMT", "2026-09-16 08:00:00", None), ("16 Sep 2026 08:00:00 +0800", "2026-09-16 00:00:00", None), ("2026-09-16T08:00:00+00:00", "2026-09-16 08:00:00", None),
     ("2026-09-16 08:00:00", "2026-09-16 08:00:00", "tz_assumed"), ("1789545600", "2026-09-16 08:00:00", None), ("1789545600000", "2026-09-16 08:00:00", None),
+    ("16 September 2026 08:00 GMT", "2026-09-16 08:00:00", None), ("Sep 16, 2026", "2026-09-16 00:00:00", "tz_assumed"), ("Wed, 16 Sep 2026", "2026-09-16 00:00:00", "tz_assumed"),
+    ("September 16, 2026 08:00:00 +08", "2026-09-16 00:00:00", None), ("2026-09-16T08:00:00+08", "2026-09-16 00:00:00", None), ("20260916T080000Z", "2026-09-16 08:00:00", None),
+    ("20260916", "2026-09-16 00:00:00", "tz_assumed"), ("2026-09-16", "2026-09-16 00:00:00", "tz_assumed"), ("Wed, 16 Sep 2026 08:00:00 EST", "2026-09-16 08:00:00", "tz_assumed"),
+    ("2026-13-45T99:99:99Z", None, "unparseable"), ("Sep 31, 2026", None, "unparseable"),
     ("2026-09-17T08:00:00Z", None, "future_date"), ("1999-01-01T00:00:00Z", None, "implausible"), ("soon", None, "unparseable"), ("08:30", None, "unparseable"), (" ", None, "missing"), (None, None, "missing"),
 ])
 def test_parse_published(spark, raw, want, note):

@@ -8,7 +8,13 @@ from pyspark.sql import Column, functions as F
 
 from tidewire import config as C
 
-ZONE = r"\s*(Z|UTC|GMT|UT|EST|EDT|CST|CDT|MST|MDT|PST|PDT|[+-]\d{2}:?\d{2})$"
+#: A zone at the end; of named ones only those of UTC count, others are no more than a naive time.
+ZONE = r"\s*(Z|UTC|GMT|UT|[ECMP][SD]T|[+-]\d{2}:?\d{2}|(?<=:\d{2}\s?)[+-]\d{2})$"
+KNOWN = r"^(Z|UTC|GMT|[+-])"
+CLOCKS = (
+    "d MMM yyyy[ HH:mm[:ss]]", "d MMMM yyyy[ HH:mm[:ss]]", "MMM d, yyyy[ HH:mm[:ss]]", "MMMM d, yyyy[ HH:mm[:ss]]",
+    "yyyy/MM/dd[ HH:mm[:ss]]", "yyyyMMdd'T'HHmmss", "yyyyMMdd",
+)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -18,7 +24,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def _wall(t: Column) -> Column:
     """The clock time as if it were UTC, for a text without a zone."""
-    rfc = [F.try_to_timestamp(t, F.lit(f)) for f in ("d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm", "MMM d, yyyy HH:mm:ss", "yyyy/MM/dd HH:mm:ss")]
+    rfc = [F.try_to_timestamp(t, F.lit(f)) for f in CLOCKS]
     iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"), t.try_cast("timestamp"))
     return F.coalesce(iso, *rfc)
 
@@ -26,9 +32,8 @@ def _wall(t: Column) -> Column:
 def _zone_seconds(z: Column) -> Column:
     digits = F.regexp_replace(z, ":", "")
     sign = F.when(F.startswith(z, F.lit("-")), -1).otherwise(1)
-    named = F.create_map(*[F.lit(x) for k, v in {"EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}.items() for x in (k, v * 3600)])
-    offset = sign * (F.substring(digits, 2, 2).try_cast("int") * 3600 + F.substring(digits, 4, 2).try_cast("int") * 60)
-    return F.when(z.rlike(r"^[+-]"), offset).otherwise(F.coalesce(F.try_element_at(named, z), F.lit(0)))
+    offset = sign * (F.substring(digits, 2, 2).try_cast("int") * 3600 + F.coalesce(F.substring(digits, 4, 2).try_cast("int"), F.lit(0)) * 60)
+    return F.when(z.rlike(r"^[+-]"), offset).otherwise(0)
 
 
 def _shift(ts: Column, seconds: Column) -> Column:
@@ -37,8 +42,8 @@ def _shift(ts: Column, seconds: Column) -> Column:
 
 def parse_published(raw: Column, now: Column, override_minutes: Column | None = None) -> Column:
     """(ts, note). Digits are an epoch in seconds, or in milliseconds if there are 13. An override
-    keeps the clock time and replaces the zone, before the check for the future. Partial dates, such
-    as a time of day alone, are unparseable."""
+    keeps the clock time and replaces the zone, before the check for the future. A date alone is
+    its midnight; other partial dates, such as a time of day alone, are unparseable."""
     override = F.lit(None).cast("int") if override_minutes is None else override_minutes.cast("int")
     late = F.unix_micros(now) + C.FUTURE_TOLERANCE_HOURS * 3_600_000_000
 
@@ -52,7 +57,7 @@ def parse_published(raw: Column, now: Column, override_minutes: Column | None =
         )
 
     def read(p: Column) -> Column:
-        return F.struct(p["t"].alias("t"), (~p["epoch"] & (p["zone"] == "")).alias("naive"), p["epoch"].alias("epoch"), p["zone"].alias("zone"), F.coalesce(p["from_epoch"], _wall(p["clock"])).alias("wall"))
+        return F.struct(p["t"].alias("t"), (~p["epoch"] & ~p["zone"].rlike(KNOWN)).alias("naive"), p["epoch"].alias("epoch"), p["zone"].alias("zone"), F.coalesce(p["from_epoch"], _wall(p["clock"])).alias("wall"))
 
     def place(p: Column) -> Column:
         ts = F.when(override.isNotNull(), _shift(p["wall"], override * 60)).when(p["epoch"] | p["naive"], p["wall"]).otherwise(_shift(p["wall"], _zone_seconds(p["zone"])))
