@@ -18,6 +18,31 @@ def test_feeds(spark, tmp_path):
     assert feeds.cap_by_date(feeds.announced(feeds.read_feeds(spark, str(tmp_path))), F.lit(1), now).count() == 2
 
 
+def test_fields_by_other_names(spark, tmp_path):
+    (tmp_path / "rss.xml").write_text(
+        "<rss><item><title>A</title><link>https://a.com/1</link><dc:date>2026-09-16</dc:date><content:encoded><![CDATA[<p>Body</p>]]></content:encoded>"
+        "<media:thumbnail href='https://a.com/t.jpg'/><category><![CDATA[x]]></category></item></rss>"
+    )
+    (tmp_path / "atom.xml").write_text(
+        "<feed><entry><title>B</title><link href='https://b.com/1'/><link rel='enclosure' type='audio/mpeg' href='https://b.com/s.mp3'/>"
+        "<link rel='enclosure' type='image/png' href='https://b.com/p.png'/><issued>2026-09-15</issued><category term='y' label='Y'/></entry></feed>"
+    )
+    a, b = sorted(feeds.read_feeds(spark, str(tmp_path)).collect(), key=lambda r: r["title"])
+    assert (a["summary_raw"], a["published_raw"], a["image_url"], a["tags"]) == ("<p>Body</p>", "2026-09-16", "https://a.com/t.jpg", ["x"])
+    assert (b["url"], b["published_raw"], b["image_url"], b["tags"]) == ("https://b.com/1", "2026-09-15", "https://b.com/p.png", ["y"])
+
+
+def test_declared_encodings(spark, tmp_path):
+    text = "<?xml version='1.0' encoding='{}'?><rss><item><title>{}</title><link>https://a.com/1</link></item></rss>"
+    words = {"gb2312": "发布镕", "ISO-8859-1": "café", "utf-16": "发布", "UTF-8": "发布", "no-such": "发布"}
+    for name, word in words.items():
+        kind = {"gb2312": "gbk", "no-such": "utf-8"}.get(name, name)
+        (tmp_path / f"{name}.xml").write_bytes(text.format(name, word).encode(kind))
+    assert {r["source_id"]: r["title"] for r in feeds.read_feeds(spark, str(tmp_path)).collect()} == words
+    files = feeds.landed(spark.read.format("binaryFile").load(str(tmp_path)))
+    assert {r["fault"] for r in feeds.feed_profile(files).collect()} == {None}
+
+
 def test_hits(spark, tmp_path):
     (tmp_path / "hn.json").write_text('{"hits": [{"objectID": "7", "title": " A  b", "url": "", "points": 9}]}')
     r = feeds.read_hits(spark, str(tmp_path / "hn.json")).first()

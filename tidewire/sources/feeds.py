@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from xml.parsers import expat
 
 import pandas as pd
@@ -12,6 +13,11 @@ from tidewire import config as C
 from tidewire.functions.text import first_image, media_image, squeeze, unescape
 from tidewire.functions.time import parse_published
 
+PROLOG = r"^\s*<\?xml[^>]*?\bencoding\s*=\s*[\"']([A-Za-z0-9._-]+)"
+#: Names of encodings that are often given for a larger one.
+LARGER = {"gb2312": "gb18030", "gbk": "gb18030"}
+#: Fields of an item with its time, the first one that is there counts.
+DATES = ("pubDate", "published", "dcterms:issued", "issued", "updated", "dcterms:modified", "modified", "dc:date", "date", "dcterms:created", "created")
 ITEM = r"(?is)<(item|entry)\b.*?</\1\s*>"
 
 
@@ -32,14 +38,41 @@ def _attribute(tag: Column, name: str) -> Column:
 
 def _media(item: Column, tag: str) -> Column:
     tags = F.regexp_extract_all(item, F.lit(rf"(?is)<{tag}\b[^>]*>"), F.lit(0))
-    return media_image(F.transform(tags, lambda t: F.struct(_attribute(t, "url").alias("url"), _attribute(t, "type").alias("type"))))
+    return media_image(F.transform(tags, lambda t: _address(t, "url", "href")))
+
+
+def _address(tag: Column, *names: str) -> Column:
+    url = F.coalesce(*[F.nullif(_attribute(tag, n), F.lit("")) for n in names], F.lit(""))
+    return F.struct(url.alias("url"), _attribute(tag, "type").alias("type"))
+
+
+def _as_text(b: bytes) -> str:
+    """Content in the encoding that its byte order mark or its prolog names, else in UTF-8."""
+    named = re.match(PROLOG, b[:200].decode("latin-1"))
+    kind = "utf-16" if b[:2] in (b"\xff\xfe", b"\xfe\xff") else named[1].lower() if named else "utf-8"
+    try:
+        return b.decode(LARGER.get(kind, kind), "replace")
+    except LookupError:  # no encoding of that name
+        return b.decode("utf-8", "replace")
+
+
+@F.pandas_udf(StringType())
+def _decoded(content: pd.Series) -> pd.Series:
+    return content.map(_as_text, na_action="ignore").astype(object)
+
+
+def decode(content: Column) -> Column:
+    """Content as text; only what is not UTF-8 leaves the JVM."""
+    named = F.lower(F.regexp_extract(F.decode(F.substring(content, 1, 200), "ISO-8859-1"), PROLOG, 1))
+    other = ~named.isin("", "utf-8", "utf8", "us-ascii") | F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")
+    return F.coalesce(_decoded(F.when(other, content)), F.decode(content, "UTF-8"))
 
 
 @F.pandas_udf(StringType())
 def _fault(content: pd.Series) -> pd.Series:
     def check(b: bytes) -> str | None:
         try:
-            expat.ParserCreate().Parse(b, True)
+            expat.ParserCreate().Parse(_as_text(b), True)
         except expat.ExpatError as e:
             return str(e)[:200]
         return None
@@ -56,14 +89,14 @@ def landed(files: DataFrame) -> DataFrame:
 
 
 def _items(feeds: DataFrame) -> DataFrame:
-    text = feeds.select("source_id", F.decode("content", "UTF-8").alias("x"))
+    text = feeds.select("source_id", decode(F.col("content")).alias("x"))
     return text.select("source_id", F.posexplode(F.regexp_extract_all("x", F.lit(ITEM), F.lit(0))).alias("place", "item"))
 
 
 def feed_profile(feeds: DataFrame) -> DataFrame:
     """(source_id, items_seen, fault) of (source_id, content): items before any is dropped, and why
     the file is not well-formed, null if it is. Content that is null or empty has no items."""
-    return feeds.select("source_id", F.size(F.regexp_extract_all(F.coalesce(F.decode("content", "UTF-8"), F.lit("")), F.lit(ITEM), F.lit(0))).alias("items_seen"), _fault("content").alias("fault"))
+    return feeds.select("source_id", F.size(F.regexp_extract_all(F.coalesce(decode(F.col("content")), F.lit("")), F.lit(ITEM), F.lit(0))).alias("items_seen"), _fault("content").alias("fault"))
 
 
 def feed_items(feeds: DataFrame) -> DataFrame:
@@ -74,13 +107,17 @@ def feed_items(feeds: DataFrame) -> DataFrame:
     i = F.col("item")
     links = F.regexp_extract_all(i, F.lit(r"(?is)<link\b[^>]*\bhref[^>]*>"), F.lit(0))
     link = F.coalesce(_field(i, "link"), unescape(_attribute(F.coalesce(F.try_element_at(F.filter(links, lambda t: ~F.contains(t, F.lit("enclosure"))), F.lit(1)), F.lit("")), "href")))
-    summary = F.coalesce(_field(i, "summary"), _field(i, "description"), _field(i, "content"))
+    summary = F.coalesce(*[_field(i, t) for t in ("summary", "description", "content:encoded", "content")])
     body = F.concat_ws("\n", _field(i, "summary"), _field(i, "description"), _field(i, "content:encoded"), _field(i, "content"))
-    image = F.coalesce(_media(i, "media:content"), _media(i, "media:thumbnail"), _media(i, "enclosure"), first_image(body))
-    tags = F.filter(F.transform(F.regexp_extract_all(i, F.lit(r"(?is)<category\b[^>]*>([^<]*)<"), F.lit(1)), lambda t: F.trim(t)), lambda t: t != "")
+    attached = F.filter(links, lambda t: _attribute(t, "rel") == "enclosure")
+    enclosed = media_image(F.transform(attached, lambda t: _address(t, "href")))
+    image = F.coalesce(_media(i, "media:content"), _media(i, "media:thumbnail"), _media(i, "enclosure"), enclosed, first_image(body))
+    named = F.regexp_extract_all(i, F.lit(r"(?is)<category\b[^>]*>(?:<!\[CDATA\[.*?\]\]>|[^<]*)"), F.lit(0))
+    inside = lambda t: F.trim(F.regexp_replace(F.regexp_replace(t, r"(?s)^<[^>]*>", ""), r"<!\[CDATA\[|\]\]>", ""))
+    tags = F.filter(F.transform(named, lambda t: F.coalesce(F.nullif(F.trim(_attribute(t, "term")), F.lit("")), inside(t))), lambda t: t != "")
     out = items.select(
         "source_id", "place", squeeze(_field(i, "title")).alias("title"), F.trim(link).alias("url"),
-        F.coalesce(*[_field(i, t) for t in ("pubDate", "published", "updated", "dc:date")]).alias("published_raw"), F.coalesce(summary, F.lit("")).alias("summary_raw"),
+        F.coalesce(*[_field(i, t) for t in DATES]).alias("published_raw"), F.coalesce(summary, F.lit("")).alias("summary_raw"),
         image.alias("image_url"), tags.alias("tags"), F.lower(_field(i, "arxiv:announce_type")).alias("announce"),
     )
     return out.where("title <> '' and url <> ''")
