@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewire.sources import store
@@ -15,3 +16,9 @@ def test_store(spark, tmp_path):
     store.write_json_atomic(str(tmp_path / "d" / "a.json"), {"标题": 1})
     text = (tmp_path / "d" / "a.json").read_text("utf-8")
     assert json.loads(text) == {"标题": 1} and "标题" in text and text.endswith("}\n")
+
+
+def test_a_store_that_lacks_columns_is_refused(spark, tmp_path):
+    store.save(spark.createDataFrame([("a",)], "id string"), str(tmp_path / "s"))
+    with pytest.raises(ValueError, match="title"):
+        store.load(spark, str(tmp_path / "s"), "id string, title string")

@@ -17,13 +17,17 @@ def save(articles: DataFrame, path: str) -> None:
 
 
 def load(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The store, or no rows before the first run."""
+    """The store, or no rows before the first run. A store without one of the columns is refused."""
+    empty = spark.createDataFrame([], schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        found = spark.read.parquet(path).columns
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schema)
+        return empty
+    if lost := [c for c in empty.columns if c not in found]:
+        raise ValueError(f"{path} lacks the columns {', '.join(lost)}")
+    return spark.read.schema(schema).parquet(path)
 
 
 def retain_runs(runs: DataFrame, keep: int = C.RETAIN_RUNS) -> DataFrame:

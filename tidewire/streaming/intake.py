@@ -14,13 +14,22 @@ from tidewire.sources import feeds
 LANDED = "path string, modificationTime timestamp, length long, content binary"
 
 
+def _landed(spark: SparkSession, path: str, files_a_trigger: int) -> DataFrame:
+    files = spark.readStream.format("binaryFile").schema(LANDED).option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_a_trigger).load(path)
+    return files.withColumn("source_id", F.regexp_extract("path", r"([^/.]+)\.[^/]*$", 1))
+
+
 def landed_items(spark: SparkSession, path: str, files_a_trigger: int = 64) -> DataFrame:
     """A stream of the items of XML files as they land in `path` or its folders. A file is read once;
-    how many a trigger takes is bounded, as each is held in memory while it is split."""
-    files = spark.readStream.format("binaryFile").schema(LANDED).option("pathGlobFilter", "*.xml").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_a_trigger).load(path)
-    source = F.regexp_extract("path", r"([^/.]+)\.[^/]*$", 1)
-    fit = files.where(F.col("length") <= C.MAX_BYTES)
-    return feeds.feed_items(fit.select(source.alias("source_id"), "content")).withColumn("landed_at", F.current_timestamp())
+    how many a trigger takes is bounded, as each is held in memory while it is split. Files of more
+    than MAX_BYTES have no items here, `oversized` names them."""
+    fit = _landed(spark, path, files_a_trigger).where(F.col("length") <= C.MAX_BYTES)
+    return feeds.feed_items(fit.select("source_id", "content")).withColumn("landed_at", F.current_timestamp())
+
+
+def oversized(spark: SparkSession, path: str, files_a_trigger: int = 64, most: int = C.MAX_BYTES) -> DataFrame:
+    """A stream of (source_id, path, length) of the files that are too large to be read."""
+    return _landed(spark, path, files_a_trigger).where(F.col("length") > most).select("source_id", "path", "length")
 
 
 def articles(items: DataFrame, dim: DataFrame, at: Column) -> DataFrame:
