@@ -62,6 +62,9 @@ def test_articles(first):
     assert a["canonical_url"] == "https://q.com/1" and a["title"].startswith("Acme") and a["source_id"] == "qbitai"
     hit = rows["https://news.ycombinator.com/item?id=7"]
     assert (hit["heat"], hit["comments"], hit["lang"]) == (250, 3, "en")
+    assert "HN 250 分 · 3 评论" in hit["reasons"]
+    assert all(list(h) == ["article_id", *daily.HIGHLIGHT] and h["source_name"] for h in first.highlights)
+    assert first.report["highlights"] == [h["article_id"] for h in first.highlights]
     assert "https://i.com/1" not in rows and len(rows) == len({r["id"] for r in rows.values()}) == first.counts["total"]
     assert first.report["total_new"] == len(rows) and "Hit of the day" in {h["title"] for h in first.highlights}
 
@@ -116,6 +119,9 @@ def test_streams(spark, landed, tmp_path):
     seen = []
     stream.merge_each(stream.first_sightings(rows), str(tmp_path / "c1"), lambda b, n: seen.extend(r["id"] for r in b.select("id").collect())).awaitTermination(120)
     assert len(seen) == len(set(seen)) and len(seen) > 20
+    large = stream.oversized(spark, landed, most=100).writeStream.format("memory").queryName("large").option("checkpointLocation", str(tmp_path / "c3")).trigger(availableNow=True).start()
+    large.awaitTermination(120)
+    assert spark.table("large").where("source_id = 'openai' and length > 100").count() == 1
     q = stream.arrivals(rows, late="60 days").writeStream.format("memory").queryName("arrivals").outputMode("complete").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("arrivals").agg(F.sum("n")).first()[0] >= len(seen)

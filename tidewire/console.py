@@ -60,5 +60,5 @@ def render(report: dict, highlights: list[dict]) -> str:
     if highlights:
         out += ["", f"今日重点（{len(highlights)} 条）："]
         for place, h in enumerate(highlights, 1):
-            out += [f"  {place}. [{h['score']:.2f}] {h['title']}", f"     {h['source_name_en']} · {' / '.join(h['reasons'][:3])}"]
+            out += [f"  {place}. [{h['score']:.2f}] {h['title']}", f"     {h['source_name']} · {' / '.join(h['reasons'][:3])}"]
     return "\n".join(out)

@@ -11,7 +11,7 @@ from tidewire.functions.time import relative_time
 
 def evaluate(articles: DataFrame, members: DataFrame, at: Column, table: dict[str, tuple[str, ...]] = C.SIGNALS) -> DataFrame:
     """`articles` with cluster fields, signals, score and reasons; without a cluster an article is
-    alone."""
+    alone. Comments count in a reason where `articles` has that column."""
     w = C.SCORE_WEIGHTS
     a = articles.join(members, "id", "left").withColumn("cluster_size", F.coalesce("cluster_size", F.lit(1))).withColumn("independent_sources", F.coalesce("independent_sources", F.lit(1)))
     a = a.withColumn("signals", signals(F.col("title"), F.col("summary"), table))
@@ -22,11 +22,13 @@ def evaluate(articles: DataFrame, members: DataFrame, at: Column, table: dict[st
     heat = F.least(F.coalesce("heat", F.lit(0)), F.lit(1000)) / 1000
     score = w["source"] * F.col("source_weight") + w["cross"] * cross + w["recency"] * recency + w["signal"] * F.least(F.size("signals"), F.lit(2)) + w["heat"] * heat
     when = relative_time(F.col("at"), at)
+    talk = F.coalesce("comments", F.lit(0)) if "comments" in articles.columns else F.lit(0)
+    talk = F.when(talk != 0, F.concat(F.lit(" · "), talk.cast("string"), F.lit(" 评论"))).otherwise("")
     text = F.array(
         F.when(n >= 2, F.concat(n.cast("string"), F.lit(" 个独立来源报道"))).when(F.col("cluster_size") >= 2, F.concat(F.lit("同一事件聚合 "), F.col("cluster_size").cast("string"), F.lit(" 条"))),
         F.when(F.col("source_official"), F.lit("官方一手来源")), when,
         F.when(F.size("signals") > 0, F.concat(F.lit("涉及"), F.array_join("signals", "、"))),
-        F.when(F.coalesce("heat", F.lit(0)) != 0, F.concat(F.lit("HN "), F.col("heat").cast("string"), F.lit(" 分"))),
+        F.when(F.coalesce("heat", F.lit(0)) != 0, F.concat(F.lit("HN "), F.col("heat").cast("string"), F.lit(" 分"), talk)),
     )
     return a.withColumn("score", F.round(score, 3)).withColumn("when", when).withColumn("reasons", F.filter(text, lambda r: r.isNotNull()))
 

@@ -17,6 +17,7 @@ from tidewire.sources import feeds, store
 from tidewire.storage import Scratch
 
 NEWS, RUNS, STATUS, META = "news.json", "runs.json", "update-status.json", "meta.json"
+HIGHLIGHT = ("title", "url", "source_name", "source_name_en", "image_url", "score", "reasons", "cluster_size", "independent_sources")
 HIT_COLUMNS = {"summary_raw": "string", "image_url": "string", "place": "int"}
 
 
@@ -91,10 +92,8 @@ def run(
     scored = scratch.table(score.evaluate(kept, cluster.cross_source(members), now), "scored")
     articles = scored.select(*intake.FIELDS, "cluster_id", "cluster_size", "independent_sources", "score", "reasons")
     outcomes = scratch.table(intake.outcomes(dim, scratch.table(profile, "profile"), batch, targets, now, days), "outcomes")
-    top = score.highlights(scored).join(scored.select("id", "source_name_en", "url", "image_url", "published_at"), "id").orderBy(F.col("score").desc(), "id")
-    high = [r.asDict() for r in _epochs(top, "published_at").collect()]  # five rows
-    for h in high:
-        h["published_at"] = iso(_moment(h["published_at"]))
+    top = score.highlights(scored).join(scored.select("id", "source_name", "source_name_en", "url", "image_url"), "id").orderBy(F.col("score").desc(), "id")
+    high = [r.asDict() for r in top.select(F.col("id").alias("article_id"), *HIGHLIGHT).collect()]  # five rows
     sums = targets.agg(F.count(F.when(F.col("priority") == 0, 1)).alias("new")).first()
     rows, added = offered.count(), sums["new"]
     counts = report.store_counts(articles, now).first().asDict()
@@ -108,7 +107,7 @@ def run(
     made = {
         "run_id": f"{at.astimezone(dt.timezone.utc):%Y%m%dT%H%M%SZ}-{suffix}", "started_at": iso(at), "finished_at": iso(at), "duration_ms": 0, "trigger": trigger, "offline": True,
         "sources": per, "overall": ended, "total_in_store": counts["total"], "total_new": added, "total_dup": rows - added,
-        "highlights": [h["id"] for h in high], "warnings": [*notes, *(told[i] for i in order if i in told)],
+        "highlights": [h["article_id"] for h in high], "warnings": [*notes, *(told[i] for i in order if i in told)],
     }
     return Run(articles, outcomes, targets, made, high, counts)
 
