@@ -10,6 +10,7 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
 from tidewire import config as C
+from tidewire.functions.let import let
 
 SPACE = r"[ \t\r\n\x0B\f\u00a0\u3000]+"
 CJK = r"\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
@@ -46,9 +47,13 @@ def squeeze(c: Column) -> Column:
 
 def strip_tags(c: Column) -> Column:
     """Script and style go with their content, block ends become spaces, other tags vanish."""
-    t = F.regexp_replace(c, r"(?is)<(script|style)[^>]*>.*?</\1\s*>", " ")
-    t = F.regexp_replace(t, r"(?i)<br\s*/?>|</p\s*>|</div\s*>|</li\s*>|</h\d\s*>", " ")
-    return F.regexp_replace(t, r"<[^>]+>", "")
+
+    def bare(s: Column) -> Column:
+        t = F.regexp_replace(s, r"(?is)<(script|style)[^>]*>.*?</\1\s*>", " ")
+        t = F.regexp_replace(t, r"(?i)<br\s*/?>|</p\s*>|</div\s*>|</li\s*>|</h\d\s*>", " ")
+        return F.when(F.contains(s, F.lit("<")), F.regexp_replace(t, r"<[^>]+>", "")).otherwise(s)
+
+    return let(c, bare)
 
 
 def html_to_text(c: Column) -> Column:
@@ -57,9 +62,10 @@ def html_to_text(c: Column) -> Column:
 
 
 def truncate(c: Column, limit: int = C.MAX_SUMMARY_CHARS) -> Column:
-    t = strip(c)
-    cut = F.concat(F.regexp_replace(F.substring(t, 1, limit - 1), r"(?U)\s+$", ""), F.lit("…"))
-    return F.when(F.length(c) > 0, F.when(F.length(t) <= limit, t).otherwise(cut))
+    def short(t: Column) -> Column:
+        return F.when(F.length(t) <= limit, t).otherwise(F.concat(F.regexp_replace(F.substring(t, 1, limit - 1), r"(?U)\s+$", ""), F.lit("…")))
+
+    return let(c, lambda s: F.when(F.length(s) > 0, let(strip(s), short)))
 
 
 def is_boilerplate(c: Column) -> Column:
@@ -71,8 +77,7 @@ def is_boilerplate(c: Column) -> Column:
 
 
 def summary_of(text: Column) -> Column:
-    t = truncate(text)
-    return F.when(t.isNotNull() & ~is_boilerplate(t) & (F.length(t) >= C.SUMMARY_MIN_CHARS), t)
+    return let(truncate(text), lambda t: F.when(t.isNotNull() & ~is_boilerplate(t) & (F.length(t) >= C.SUMMARY_MIN_CHARS), t))
 
 
 def clean_summary(c: Column) -> Column:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, functions as F
 
 from tidewire import config as C
+from tidewire.functions.let import let
 
 #: A zone at the end; of named ones only those of UTC count, others are no more than a naive time.
 ZONE = r"\s*(Z|UTC|GMT|UT|[ECMP][SD]T|[+-]\d{2}:?\d{2}|(?<=:\d{2}\s?)[+-]\d{2})$"
@@ -17,11 +16,6 @@ CLOCKS = (
 )
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with the value computed once, however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _wall(t: Column) -> Column:
     """The clock time as if it were UTC, for a text without a zone."""
     rfc = [F.try_to_timestamp(t, F.lit(f)) for f in CLOCKS]
@@ -73,7 +67,7 @@ def parse_published(raw: Column, now: Column, override_minutes: Column | None =
         note = F.when(override.isNotNull(), "tz_corrected").when(p["naive"], "tz_assumed")
         return F.struct(F.when(refusal.isNull(), p["ts"]).alias("ts"), F.coalesce(refusal, note).alias("note"))
 
-    return _let(_let(_let(_let(F.regexp_replace(raw, r"(?U)^\s+|\s+$", ""), split), read), place), judge)
+    return let(let(let(let(F.regexp_replace(raw, r"(?U)^\s+|\s+$", ""), split), read), place), judge)
 
 
 def relative_time(moment: Column, now: Column) -> Column:

@@ -16,9 +16,11 @@ def split_by_window(articles: DataFrame, at: Column, days: int = C.WINDOW_DAYS)
     return articles.withColumn("inside", F.unix_micros("at") >= F.unix_micros(at) - days * 86_400_000_000)
 
 
-def retain(articles: DataFrame, at: Column, days: int = C.WINDOW_DAYS, capacity: int = C.MAX_STORE_ITEMS) -> DataFrame:
-    """Rows inside the window, at most `capacity` of the newest."""
+def retain(articles: DataFrame, at: Column, days: int = C.WINDOW_DAYS, capacity: int | None = C.MAX_STORE_ITEMS) -> DataFrame:
+    """Rows inside the window, at most `capacity` of the newest, or all, unsorted, if it is None."""
     inside = split_by_window(articles, at, days).where("inside").drop("inside")
+    if capacity is None:
+        return inside
     return inside.orderBy(F.col("at").desc(), F.col("first_seen_at").desc(), F.col("id").desc()).limit(capacity)
 
 
@@ -97,7 +99,7 @@ VOLATILE = ("published_at", "published_raw", "published_note", "summary", "summa
 DERIVED = ("cluster_id", "cluster_size", "independent_sources", "score", "reasons")
 
 
-def merge(existing: DataFrame, incoming: DataFrame, at: Column, days: int = C.WINDOW_DAYS, capacity: int = C.MAX_STORE_ITEMS, fuzzy: bool = True) -> tuple[DataFrame, DataFrame]:
+def merge(existing: DataFrame, incoming: DataFrame, at: Column, days: int = C.WINDOW_DAYS, capacity: int | None = C.MAX_STORE_ITEMS, fuzzy: bool = True) -> tuple[DataFrame, DataFrame]:
     """(the new store, targets of the batch). A stored row keeps id, title and first_seen_at; its
     time is filled only if missing, the longest summary and the largest heat win, ties going to the
     stored row and then to the earlier one."""

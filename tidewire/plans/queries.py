@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from tidewire import config as C
 from tidewire.functions import grams, terms, text, time as T, url
 from tidewire.operators import cluster, merge, report, score, views
+from tidewire.storage import Scratch
 
 #: Parameters that suit the invented prose of the test tables.
 EVENT_HOURS = 30 * 24
@@ -99,28 +100,28 @@ def rare_entities(spark, d):
     return _entity_rows(spark, d).where(F.col("df") <= C.RARE_ENTITY_DF).select("id", "entity", "df")
 
 
-def _pairs(spark, d):
-    return cluster.same_event_pairs(views.articles(spark, d), views.now(), EVENT_HOURS)
+def _pairs(a):
+    return cluster.same_event_pairs(a, views.now(), EVENT_HOURS)
 
 
 def same_event_pairs(spark, d):
-    return _pairs(spark, d).select("a", "b")
+    return _pairs(views.articles(spark, d)).select("a", "b")
 
 
-def _members(spark, d):
-    return cluster.event_members(views.articles(spark, d), _pairs(spark, d))
+def _members(a):
+    return cluster.event_members(a, _pairs(a))
 
 
 def event_clusters(spark, d):
-    return _members(spark, d).select("cluster_id", "cluster_size", "independent_sources").distinct()
+    return _members(views.articles(spark, d)).select("cluster_id", "cluster_size", "independent_sources").distinct()
 
 
 def cross_source_clusters(spark, d):
-    return cluster.cross_source(_members(spark, d)).select("cluster_id", "cluster_size", "independent_sources").distinct()
+    return cluster.cross_source(_members(views.articles(spark, d))).select("cluster_id", "cluster_size", "independent_sources").distinct()
 
 
 def cluster_members(spark, d):
-    return cluster.cross_source(_members(spark, d)).select("id", "cluster_id")
+    return cluster.cross_source(_members(views.articles(spark, d))).select("id", "cluster_id")
 
 
 def relevance_filter(spark, d):
@@ -185,27 +186,39 @@ def retention_topn(spark, d):
     return merge.retain(views.articles(spark, d), views.now(), 29, 500).select("id", "at")
 
 
-def _halves(spark, d):
-    a = views.articles(spark, d)
+def _written(spark, d, *columns):
+    """Columns of the articles, written once for plans that read them several times."""
+    return Scratch(spark, "articles").table(views.articles(spark, d).select(*columns or ("*",)), "articles")
+
+
+#: What matching, scores and counts read of an article.
+MATCHED = ("id", "doc_id", "norm", "at", "first_seen_at", "source_weight")
+SCORED = ("id", "title", "norm", "summary", "source_id", "source_weight", "source_official", "at", "heat")
+COUNTED = ("id", "title", "norm", "source_id", "source_official", "published_at", "at", "lang", "heat")
+
+
+def _halves(spark, d, *columns):
+    a = _written(spark, d, *columns)
     return a.where("doc_id % 2 = 0"), a.where("doc_id % 2 = 1")
 
 
 def merge_upsert(spark, d):
-    store, _ = merge.merge(*_halves(spark, d), views.now(), 60, 1 << 30, fuzzy=False)
+    store, _ = merge.merge(*_halves(spark, d), views.now(), 60, None, fuzzy=False)
     return store.select("id", "title", "published_at", "summary", "heat", "rows")
 
 
 def merge_stats(spark, d):
-    t = merge.match(*_halves(spark, d), fuzzy=False)
+    t = merge.match(*_halves(spark, d, *MATCHED), fuzzy=False)
     return t.groupBy("priority").agg(F.count("*").alias("n"), F.countDistinct("target").alias("targets"))
 
 
 def merge_fuzzy(spark, d):
-    return merge.match(*_halves(spark, d))
+    return merge.match(*_halves(spark, d, *MATCHED))
 
 
 def _scored(spark, d):
-    return score.evaluate(views.articles(spark, d), cluster.cross_source(_members(spark, d)), views.now(), SIGNALS)
+    a = _written(spark, d, *SCORED)
+    return score.evaluate(a, cluster.cross_source(_members(a)), views.now(), SIGNALS)
 
 
 def score_articles(spark, d):
@@ -230,7 +243,8 @@ def source_outcomes(spark, d):
 
 
 def store_counts(spark, d):
-    a = views.articles(spark, d).join(cluster.cross_source(_members(spark, d)).select("id", "cluster_id"), "id", "left")
+    a = _written(spark, d, *COUNTED)
+    a = a.join(cluster.cross_source(_members(a)).select("id", "cluster_id"), "id", "left")
     # the documents name pictures nowhere; their events' number tells which have one
     return report.store_counts(a.withColumn("image_url", F.when(F.col("heat") % 3 == 0, F.lit("https://cdn.example.com/x.jpg"))), views.now())
 
