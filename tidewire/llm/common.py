@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from tidewire.storage import Scratch
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: A word, as the contracts spell it: a run without ASCII white space.
@@ -59,6 +62,28 @@ def gapless_rank(df: DataFrame, keys: list[str], cell: Column, order: list[Colum
     )
 
 
+#: Rows of a range, at least.
+RANGE_ROWS = 8192
+
+
+def ranges(df: DataFrame, order: list[Column], scratch: Scratch) -> DataFrame:
+    """`df`, a written table, dealt into ranges of about equal length of the order given and written
+    with `__range`, the number of each row's range. Rows that tie are parted too, by their place in
+    the scan, so no value can fill a range alone; ranges lengthen with the square root of the rows."""
+    rows = df.count()
+    n = max(1, -(-rows // max(RANGE_ROWS, 8 * math.isqrt(rows))))
+    dealt = df.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(n, *order, "__tie")
+    return scratch.table(dealt.drop("__tie").withColumn("__range", F.spark_partition_id().cast("long")), "ranges")
+
+
+def crc32_sql(x: str) -> str:
+    """DuckDB's expression for the unsigned CRC-32 of a text's UTF-8 bytes; null of null."""
+    code = lambda at: f"(instr('0123456789ABCDEF', substr(hex({x}), {at}, 1)) - 1)"
+    octets = f"list_transform(range(strlen({x})), lambda i: ({code('2 * i + 1')} * 16 + {code('2 * i + 2')})::BIGINT)"
+    bits = "list_reduce(list_concat([xor(c, o)], range(8)), lambda v, b: xor(v >> 1, (v & 1) * 3988292384))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, o: {bits}), 4294967295::BIGINT)"
+
+
 #: Bytes of text that are split into words at a time.
 SLICE = 1 << 22
 
