@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewire.llm import embedding_dedup, exact_dedup, license_scan, merkle, mixing, ngram_join, packing, sharding, toxicity, url_filter, warc_revisits
+from tidewire.llm import embedding_dedup, exact_dedup, lattice, license_scan, merkle, mixing, ngram_join, packing, resampling, sharding, toxicity, url_filter, warc_revisits
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_vector_shards": sharding.op8_vector_shards,
     "op9_license_scan": license_scan.op9_license_scan,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_lattice_likelihood": lattice.op11_lattice_likelihood,
+    "op12_importance_resampling": resampling.op12_importance_resampling,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
@@ -25,5 +27,6 @@ SQL = {
     "op5_warc_revisits": warc_revisits.SQL,
     "op7_ngram_join": ngram_join.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op12_importance_resampling": resampling.SQL,
     "op13_merkle_manifest": merkle.SQL,
 }
