@@ -56,15 +56,14 @@ def moment(text: str | None) -> dt.datetime:
 
 def collect(spark: SparkSession, a: argparse.Namespace) -> int:
     """The store is kept as Parquet beside the documents: it is the next run's input."""
-    at, path, notes = moment(a.now), os.path.join(os.path.abspath(a.data_dir), "store"), ()
+    at, path, notes = moment(a.now), os.path.join(os.path.abspath(a.data_dir), daily.STORE), ()
     existing = store.load(spark, path, intake.ARTICLE)
     if a.rebuild:
         notes = ("--rebuild：已丢弃现有存储重建",) if not existing.isEmpty() else ()
         existing = existing.limit(0)
     done = daily.run(spark, a.input, existing, at, only=a.only, days=a.window_days, capacity=a.max_items, trigger=a.trigger, notes=notes)
     if not a.dry_run:
-        store.save(done.articles, path)
-        daily.publish(spark, done, a.data_dir, at, a.window_days)
+        daily.publish(spark, done, os.path.abspath(a.data_dir), at, a.window_days)
     if not a.quiet:
         print(console.render(done.report, done.highlights))
     return ALL_FAILED if done.report["overall"] == "failed" else DONE

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewire import config as C
 from tidewire.operators import cluster, intake, merge, report, score
 from tidewire.sources import feeds, store
+from tidewire.sources.files import Files
 from tidewire.storage import Scratch
 
 NEWS, RUNS, STATUS, META = "news.json", "runs.json", "update-status.json", "meta.json"
@@ -112,11 +113,19 @@ def run(
     return Run(articles, outcomes, targets, made, high, counts)
 
 
-def _history(path: str) -> list[dict]:
-    """Earlier runs; an unreadable file counts as none."""
+#: The store's folder beside the documents.
+STORE = "store"
+
+
+def _history(spark: SparkSession, data_dir: str) -> list[dict]:
+    """Earlier runs, as the published version tells them, or else the file in the folder; an
+    unreadable one counts as none."""
+    told = store.Snapshots(spark, os.path.join(data_dir, STORE)).document(RUNS)
     try:
-        with open(path, encoding="utf-8") as f:
-            runs = json.load(f)["runs"]
+        if told is None:
+            with open(os.path.join(data_dir, RUNS), encoding="utf-8") as f:
+                told = f.read()
+        runs = json.loads(told)["runs"]
     except (OSError, ValueError, KeyError, TypeError):
         return []
     return runs if isinstance(runs, list) else []
@@ -129,9 +138,11 @@ def _rates(spark: SparkSession, runs: list[dict], at: Column) -> dict:
 
 
 def publish(spark: SparkSession, done: Run, data_dir: str, at: dt.datetime, days: int = C.WINDOW_DAYS) -> list[str]:
-    """Write the four documents of the site, one after the other and each as a whole. The articles
-    are read as JSON rows one partition at a time; their number is capped by the store's capacity."""
-    runs = [*_history(os.path.join(data_dir, RUNS)), done.report][-C.RETAIN_RUNS :]
+    """Publish the store and the four documents of the site as one version, and then put copies of
+    the documents beside it, each as a whole. Whenever this is cut short, the version before stands,
+    with its store and its documents. The articles are read as JSON rows one partition at a time;
+    their number is capped by the store's capacity."""
+    runs = [*_history(spark, data_dir), done.report][-C.RETAIN_RUNS :]
     rates, head = _rates(spark, runs, instant(at)), {"schema_version": 1}
     ordered = done.articles.orderBy(F.col("at").desc(), F.col("first_seen_at").desc(), F.col("id").desc())
     utc = lambda c: F.concat(F.regexp_replace(F.timestamp_seconds(F.unix_seconds(c)).cast("string"), " ", "T"), F.lit("Z"))
@@ -157,7 +168,9 @@ def publish(spark: SparkSession, done: Run, data_dir: str, at: dt.datetime, days
             "total_articles": done.counts["total"], "source_count": len(registry), "success_rate_7d": rates["success_rate_7d"], "window_days": C.WINDOW_DAYS, "highlights": done.highlights,
         },
     }
-    done.written = [os.path.join(data_dir, name) for name in docs]
-    for path, doc in zip(done.written, docs.values()):
-        store.write_json_atomic(path, doc)
+    texts = {name: store.document_text(doc) for name, doc in docs.items()}
+    store.save(done.articles, os.path.join(data_dir, STORE), texts)
+    done.written, files = [os.path.join(data_dir, name) for name in texts], Files(spark)
+    for path, text in zip(done.written, texts.values()):
+        files.replace(path, text)
     return done.written

@@ -8,6 +8,7 @@ import re
 import shutil
 
 from tidewire.plans import daily
+from tidewire.sources import store
 
 #: What the template holds in place of the data. Fixed value.
 PLACEHOLDER = "/*__INLINE_DATA__*/ null"
@@ -15,9 +16,15 @@ DOCUMENTS = {"news": daily.NEWS, "status": daily.STATUS, "meta": daily.META, "ru
 LOCAL = re.compile(r"<(script|link)\b[^>]*?\b(src|href)\s*=\s*[\"'](?!(https?:|data:|//))", re.I)
 
 
+def _folder(data_dir: str) -> str:
+    """Where the documents of the last published run are: all of one run, even if copying them beside
+    the store was cut short. A folder without a store holds them itself."""
+    return store.published_folder(os.path.join(data_dir, daily.STORE)) or data_dir
+
+
 def load(data_dir: str) -> tuple[dict, list[str]]:
     """(documents by name, warnings). Only the articles are required; others may be missing."""
-    out, notes = {}, []
+    data_dir, out, notes = _folder(data_dir), {}, []
     for name, file in DOCUMENTS.items():
         path = os.path.join(data_dir, file)
         out[name] = None
@@ -49,6 +56,7 @@ def build(template: str, data_dir: str, out_dir: str) -> tuple[str, list[str]]:
     path = os.path.join(out_dir, "index.html")
     with open(path, "w", encoding="utf-8", newline="\n") as f:
         f.write(page.replace(PLACEHOLDER, inline(payload)))
+    data_dir = _folder(data_dir)
     for file in DOCUMENTS.values():
         if os.path.exists(os.path.join(data_dir, file)):
             shutil.copyfile(os.path.join(data_dir, file), os.path.join(out_dir, "data", file))
