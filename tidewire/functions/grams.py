@@ -62,10 +62,9 @@ def is_duplicate(title_a: Column, title_b: Column) -> Column:
     return F.when((a == "") | (b == ""), F.lit(False)).otherwise((a == b) | near)
 
 
-def same_event(common: Column, size_a: Column, size_b: Column, shared: Column) -> Column:
-    """Why two titles tell of one event, or null: enough of their 2- and 3-grams in common, given
-    the sizes of both sets and of their intersection, or two rare entities (sorted)."""
-    j = common / (size_a + size_b - common)
-    return F.when((size_a == 0) | (size_b == 0), F.lit(None).cast("string")).when(j >= C.CLUSTER_JACCARD, F.format_string("标题相似度 %.2f", j)).when(
+def same_event(similarity: Column, shared: Column) -> Column:
+    """Why two titles tell of one event: how similar their 2- and 3-grams are, if that is enough, or
+    else the rare names that they share (sorted); null if neither tells."""
+    return F.when(similarity >= C.CLUSTER_JACCARD, F.format_string("标题相似度 %.2f", similarity)).when(
         F.size(shared) >= C.CLUSTER_SHARED_ENTITIES, F.concat(F.lit("共同实体："), F.array_join(F.slice(shared, 1, 3), "、"))
     )

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewire import config as C
 from tidewire.functions.grams import blocking_grams, containment, entities, same_event, shingle_set
+from tidewire.operators import similar
 from tidewire.operators.graph import connected_components
 from tidewire.storage import Scratch
 
@@ -15,11 +17,30 @@ from tidewire.storage import Scratch
 WORDS = 8
 
 
-def entity_df(articles: DataFrame, stop: tuple[str, ...] = C.ENTITY_STOP) -> DataFrame:
-    """(id, entity, df): case variants count once each for a title; df is by the lower-cased form."""
-    found = articles.select("id", F.explode(entities(F.col("title"), stop)).alias("entity"))
-    df = found.groupBy(F.lower("entity").alias("low")).agg(F.count("*").alias("df"))
-    return found.withColumn("low", F.lower("entity")).join(df, "low").select("id", "entity", "df")
+def found_entities(articles: DataFrame, stop: tuple[str, ...] = C.ENTITY_STOP) -> DataFrame:
+    """(id, entity): names in each title; case variants are different ones."""
+    return articles.select("id", F.explode(entities(F.col("title"), stop)).alias("entity"))
+
+
+def entity_counts(found: DataFrame) -> DataFrame:
+    """(entity, df) of (id, entity): how many rows have each name, by its lower-cased form."""
+    return found.groupBy(F.lower("entity").alias("entity")).agg(F.count("*").alias("df"))
+
+
+def rare_entities(found: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, entity, df) of the rows of (id, entity) whose name at most RARE_ENTITY_DF, three, rows have.
+
+    Rows are numbered, and of each name only the least and the largest number, the number of rows and
+    the exclusive or of their numbers are kept, from which the one in the middle follows. So a task
+    sends one row for a name, however many rows have it, and no name's rows ever meet.
+    """
+    assert C.RARE_ENTITY_DF == 3
+    rows = scratch.table(found.withColumn("num", F.monotonically_increasing_id()), "entities")
+    ends = rows.groupBy(F.lower("entity")).agg(F.count("*").alias("df"), F.min("num").alias("lo"), F.max("num").alias("hi"), F.bit_xor("num").alias("x"))
+    lo, hi = F.col("lo"), F.col("hi")
+    nums = F.when(F.col("df") == 1, F.array(lo)).when(F.col("df") == 2, F.array(lo, hi)).otherwise(F.array(lo, F.col("x").bitwiseXOR(lo).bitwiseXOR(hi), hi))
+    few = ends.where(F.col("df") <= C.RARE_ENTITY_DF).select("df", F.explode(nums).alias("num"))
+    return rows.join(few, "num").select("id", "entity", "df")
 
 
 def blocked_pairs(postings: DataFrame, most: int = C.MAX_POSTINGS) -> DataFrame:
@@ -31,33 +52,72 @@ def blocked_pairs(postings: DataFrame, most: int = C.MAX_POSTINGS) -> DataFrame:
     return a.join(b, "key").where("a < b").select("a", "b").distinct()
 
 
-def same_event_pairs(articles: DataFrame, at: Column, window_hours: int = C.CLUSTER_WINDOW_HOURS, stop: tuple[str, ...] = C.ENTITY_STOP) -> DataFrame:
-    """(a, b, reason) of articles within the window before `at` that tell of the same event."""
-    scratch = Scratch(articles.sparkSession, "pairs")
+@dataclass
+class _Recent:
+    """Articles of the window: rows (id, norm) with a title, (id, entity) of rare names, and the
+    grams of each different title, (id, s), under the smallest id that has it."""
+
+    rows: DataFrame
+    rare: DataFrame
+    heads: DataFrame
+    sets: DataFrame
+
+
+def _recent(articles: DataFrame, at: Column, window_hours: int, stop: tuple[str, ...], scratch: Scratch) -> _Recent:
     recent = articles.where(F.unix_micros("at") >= F.unix_micros(at) - window_hours * 3_600_000_000)
     recent = scratch.table(recent.select("id", "title", "norm"), "recent")
-    rare = entity_df(recent, stop).where(F.col("df") <= C.RARE_ENTITY_DF).groupBy("id").agg(F.collect_set("entity").alias("rare"))
-    rows = recent.join(rare, "id", "left").select("id", "norm", F.coalesce("rare", F.array().cast("array<string>")).alias("rare"))
-    by_gram = rows.select("id", F.explode(blocking_grams(F.col("norm"), 4)).alias("key"))
-    by_entity = rows.select("id", F.explode("rare").alias("e")).select("id", F.concat(F.lit("\0"), F.lower("e")).alias("key"))
-    pairs = scratch.table(blocked_pairs(scratch.table(by_gram.unionByName(by_entity), "keys")), "pairs")
-    sets = rows.select("id", F.array_distinct(F.transform(shingle_set(F.col("norm")), lambda g: F.xxhash64(g))).alias("s"), "rare")
-    sets = scratch.table(sets, "sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa"), F.col("rare").alias("ra")), "a")
-    both = both.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb"), F.col("rare").alias("rb")), "b")
-    # sets of too different sizes cannot be similar; their grams are not compared
-    even = F.least(F.size("sa"), F.size("sb")) >= C.CLUSTER_JACCARD * F.greatest(F.size("sa"), F.size("sb"))
-    judged = both.select(
-        "a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.when(even, F.size(F.array_intersect("sa", "sb"))).otherwise(0).alias("common"),
-        F.array_sort(F.array_intersect("ra", "rb")).alias("shared"),
-    )
-    reason = same_event(F.col("common"), F.col("na"), F.col("nb"), F.col("shared"))
-    return scratch.table(judged.withColumn("reason", reason).where("reason is not null").select("a", "b", "reason"), "matches")
+    rare = rare_entities(found_entities(recent, stop), scratch)  # a name counts wherever it is
+    rows = recent.where("norm <> ''").select("id", "norm")
+    heads = scratch.table(rows.groupBy("norm").agg(F.min("id").alias("head")), "heads")
+    grams = F.array_distinct(F.transform(shingle_set(F.col("norm")), lambda g: F.xxhash64(g)))
+    sets = scratch.table(heads.select(F.col("head").alias("id"), grams.alias("s")), "grams")
+    return _Recent(rows, scratch.table(rare.join(rows.select("id"), "id").select("id", "entity"), "rare"), heads, similar.rare_first(sets, scratch))
+
+
+def _by_entities(rare: DataFrame) -> DataFrame:
+    """(a, b, shared) of rows that have two rare names in common. Three rows at most have one."""
+    a, b = rare.select("entity", F.col("id").alias("a")), rare.select("entity", F.col("id").alias("b"))
+    met = a.join(b, "entity").where("a < b").groupBy("a", "b").agg(F.array_sort(F.collect_set("entity")).alias("shared"))
+    return met.where(F.size("shared") >= C.CLUSTER_SHARED_ENTITIES)
+
+
+def event_links(articles: DataFrame, at: Column, window_hours: int = C.CLUSTER_WINDOW_HOURS, stop: tuple[str, ...] = C.ENTITY_STOP) -> DataFrame:
+    """(a, b) of articles within the window before `at` that tell of the same event: enough of the
+    links of `same_event_pairs` to connect what those connect, about one for an article. Exact; no
+    key is too frequent, and copies of a title cost one link each."""
+    scratch = Scratch(articles.sparkSession, "events")
+    now = _recent(articles, at, window_hours, stop, scratch)
+    copies = now.rows.join(now.heads, "norm").where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b"))
+    near = similar.spanning_links(now.sets, C.CLUSTER_JACCARD, scratch)
+    return scratch.table(copies.unionByName(near).unionByName(_by_entities(now.rare).select("a", "b")).distinct(), "links")
+
+
+def same_event_pairs(articles: DataFrame, at: Column, window_hours: int = C.CLUSTER_WINDOW_HOURS, stop: tuple[str, ...] = C.ENTITY_STOP, most: int | None = None) -> DataFrame:
+    """(a, b, reason) of all pairs of articles within the window before `at` that tell of the same
+    event. Exact, and so quadratic in an event's articles: `event_links` connects the same ones.
+
+    With `most`, only pairs are looked at that share a 4-gram or a rare name which no more than `most`
+    articles have (MAX_POSTINGS in the daily collection that this follows); others are lost.
+    """
+    scratch = Scratch(articles.sparkSession, "pairs")
+    now = _recent(articles, at, window_hours, stop, scratch)
+    members = scratch.table(now.rows.join(now.heads, "norm").select("id", "head"), "members")
+    alike = similar.similar_pairs(now.sets, C.CLUSTER_JACCARD, scratch).unionByName(now.heads.select(F.col("head").alias("a"), F.col("head").alias("b"), F.lit(1.0).alias("similarity")))
+    side = lambda c: members.select(F.col("head").alias(c), F.col("id").alias(f"__{c}"))
+    wide = alike.join(side("a"), "a").join(side("b"), "b").where("a <> b or __a < __b")
+    alike = wide.select(F.least("__a", "__b").alias("a"), F.greatest("__a", "__b").alias("b"), "similarity", F.lit(None).cast("array<string>").alias("shared"))
+    named = _by_entities(now.rare).select("a", "b", F.lit(None).cast("double").alias("similarity"), "shared")
+    found = alike.unionByName(named).groupBy("a", "b").agg(F.max("similarity").alias("similarity"), F.max("shared").alias("shared"))
+    if most is not None:
+        by_gram = now.rows.select("id", F.explode(blocking_grams(F.col("norm"), 4)).alias("key"))
+        by_name = now.rare.select("id", F.concat(F.lit("\0"), F.lower("entity")).alias("key")).distinct()
+        found = found.join(blocked_pairs(scratch.table(by_gram.unionByName(by_name), "keys"), most), ["a", "b"], "left_semi")
+    return scratch.table(found.select("a", "b", same_event(F.col("similarity"), F.col("shared")).alias("reason")), "matches")
 
 
 def event_members(articles: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, cluster_id, cluster_size, independent_sources) for the members of every event, with the
-    smallest member id as cluster_id."""
+    smallest member id as cluster_id. `pairs` are those of `event_links` or `same_event_pairs`."""
     scratch = Scratch(articles.sparkSession, "events")
     of = connected_components(pairs, "a", "b", scratch).select(F.col("node").alias("id"), F.col("component").alias("cluster_id"))
     named = scratch.table(of.join(articles.select("id", "source_id"), "id"), "members")

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidewire.storage import Scratch
 
 MAX_ROUNDS = 60
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], int(row["h"] or 0)
+def _observed(edges: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges, written, and what tells them from others: their number and a sum of hashes, which
+    are taken while they are written."""
+    seen = Observation()
+    table = scratch.table(edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), name)
+    return table, (seen.get["n"], int(seen.get["h"] or 0))
+
+
+def with_least(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """`edges` (u, v) with `m`, the least v of each u. The minima, combined before they are shuffled,
+    are written before they are joined: a join of two scans is one that Spark splits where a node has
+    very many edges, while an aggregate's own partitions could not be."""
+    low = scratch.table(edges.groupBy("u").agg(F.min("v").alias("m")), "low")
+    return edges.join(low, "u")
 
 
 def connected_components(edges: DataFrame, src: str, dst: str, scratch: Scratch) -> DataFrame:
@@ -19,29 +30,28 @@ def connected_components(edges: DataFrame, src: str, dst: str, scratch: Scratch)
     that can be reached. Null ends, loops and repeated edges are ignored; no edges give no rows.
 
     Alternates the large-star and small-star steps (Kiveris et al. 2014) until the edge set stays
-    as it is. A step is a map-side combined minimum and a join on the same key, so a node with a
-    very large neighbourhood is aggregated before the shuffle and its join can be split by AQE.
-    Every round is written to the shared folder, which cuts the lineage, and replaces the last.
+    as it is. A step is a map-side combined minimum and a join on the same key, which Spark splits
+    where a node has a very large neighbourhood. Every round is written to the shared folder, which
+    cuts the lineage, and replaces the last.
     """
     u, v = F.col(src), F.col(dst)
     e = edges.where(u.isNotNull() & v.isNotNull() & (u != v)).select(
         F.greatest(u, v).alias("u"), F.least(u, v).alias("v")
     )
-    cur = scratch.table(e.distinct(), "edges")
-    state = _state(cur)
+    cur, state = _observed(e.distinct(), scratch, "edges")
     for _ in range(MAX_ROUNDS):
         if not state[0]:
             break
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # the least of a node and its neighbours; a neighbour that is larger than the node gets it
+        large = with_least(both, scratch).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         mid = scratch.table(large, "large")
-        low = mid.groupBy("u").agg(F.min("v").alias("m"))
-        small = mid.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        new = scratch.table(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "small")
+        joined = with_least(mid, scratch)
+        small = joined.select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v"))
+        new, after = _observed(small.distinct(), scratch, "small")
         scratch.drop(mid)
         scratch.drop(cur)
-        cur, before, state = new, state, _state(new)
+        cur, before, state = new, state, after
         if state == before:
             break
     else:

@@ -89,7 +89,7 @@ def run(
     base = existing.drop(*merge.DERIVED)
     merged, targets = merge.merge(base, offered, now, days, capacity)
     kept = scratch.table(merge.sync_names(merged.drop("rows"), C.dim_source(spark)), "store")
-    members = cluster.event_members(kept, cluster.same_event_pairs(kept, now))
+    members = cluster.event_members(kept, cluster.event_links(kept, now))
     scored = scratch.table(score.evaluate(kept, cluster.cross_source(members), now), "scored")
     articles = scored.select(*intake.FIELDS, "cluster_id", "cluster_size", "independent_sources", "score", "reasons")
     outcomes = scratch.table(intake.outcomes(dim, scratch.table(profile, "profile"), batch, targets, now, days), "outcomes")

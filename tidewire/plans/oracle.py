@@ -92,22 +92,21 @@ def _entities(text: str, stop: tuple[str, ...]) -> str:
 ENTITIES = _entities("text", STOP)
 _ENTITY_ROWS = f"e AS (SELECT doc_id AS id, unnest({ENTITIES}) AS entity FROM documents), df AS (SELECT lower(entity) AS low, count(*) AS df FROM e GROUP BY 1)"
 
-GRAM_PAIRS = """keys AS (SELECT id, unnest({grams}) AS key FROM {src}), kept AS (SELECT key FROM keys GROUP BY key HAVING count(*) BETWEEN 2 AND 40),
-pair AS (SELECT DISTINCT x.id AS a, y.id AS b FROM keys x JOIN kept USING (key) JOIN keys y USING (key) WHERE x.id < y.id)"""
+#: Pairs a < b of rows of `src` (id, `list`) with the number of members that their lists share.
+SHARED = "(SELECT x.id AS a, y.id AS b, count(*) AS c FROM (SELECT id, unnest({list}) AS k FROM {src}) x JOIN (SELECT id, unnest({list}) AS k FROM {src}) y USING (k) WHERE x.id < y.id GROUP BY ALL)"
 
 
 def _events() -> str:
     """CTEs up to `edge` (a, b): events by grams or by two rare entities."""
-    grams = f"list_concat({_grams('norm', 4)}, list_transform(rare, lambda e: 'E:' || lower(e)))"
     return (
         f"{ARTICLES}, near AS MATERIALIZED (SELECT id, norm, source_id, {_entities('title', C.ENTITY_STOP)} AS found FROM art WHERE at_ >= {NOW} - INTERVAL 720 HOUR), "
         "ent AS (SELECT id, unnest(found) AS e FROM near), few AS (SELECT lower(e) AS low FROM ent GROUP BY 1 HAVING count(*) <= 3), "
         "rares AS (SELECT id, list(e) AS rare FROM ent JOIN few ON low = lower(e) GROUP BY id), "
         "recent AS MATERIALIZED (SELECT near.id, norm, source_id, coalesce(rare, []) AS rare FROM near LEFT JOIN rares USING (id)), "
-        + GRAM_PAIRS.format(grams=grams, src="recent")
-        + f", sets AS MATERIALIZED (SELECT id, rare, {_shingles('norm')} AS s FROM recent), "
-        "sized AS (SELECT a, b, len(list_intersect(x.s, y.s)) AS c, len(x.s) AS m, len(y.s) AS n, len(list_intersect(x.rare, y.rare)) AS r FROM pair JOIN sets x ON x.id = a JOIN sets y ON y.id = b), "
-        f"edge AS MATERIALIZED (SELECT a, b FROM sized WHERE m > 0 AND n > 0 AND (c::DOUBLE / (m + n - c) >= {C.CLUSTER_JACCARD} OR r >= 2))"
+        f"sets AS MATERIALIZED (SELECT id, rare, {_shingles('norm')} AS s FROM recent), "
+        f"near_pair AS (SELECT a, b FROM {SHARED.format(list='s', src='sets')} JOIN sets x ON x.id = a JOIN sets y ON y.id = b WHERE c::DOUBLE / (len(x.s) + len(y.s) - c) >= {C.CLUSTER_JACCARD}), "
+        f"named_pair AS (SELECT a, b FROM {SHARED.format(list='rare', src='sets')} JOIN sets x ON x.id = a JOIN sets y ON y.id = b WHERE c >= {C.CLUSTER_SHARED_ENTITIES} AND len(x.s) > 0 AND len(y.s) > 0), "
+        "edge AS MATERIALIZED (SELECT a, b FROM near_pair UNION SELECT a, b FROM named_pair)"
     )
 
 
@@ -190,8 +189,8 @@ SQL = {
     "gram_df": f"WITH t AS (SELECT {NORM} AS n FROM documents) SELECT gram, count(*) AS df FROM (SELECT unnest({_grams('n', 4)}) AS gram FROM t) GROUP BY gram",
     "exact_title_dups": f"SELECT min(doc_id) AS id, norm, count(*) AS copies FROM (SELECT doc_id, {NORM} AS norm FROM documents) WHERE norm <> '' GROUP BY norm HAVING count(*) > 1",
     "near_dup_pairs": f"WITH t AS MATERIALIZED (SELECT min(doc_id) AS id, norm FROM (SELECT doc_id, {NORM} AS norm FROM documents) WHERE norm <> '' GROUP BY norm), "
-    + GRAM_PAIRS.format(grams=_grams("norm", 3), src="t")
-    + f", g AS MATERIALIZED (SELECT id, norm, {_grams('norm', 3)} AS g FROM t) SELECT a, b, c AS containment FROM (SELECT a, b, len(list_intersect(x.g, y.g))::DOUBLE / least(len(x.g), len(y.g)) AS c FROM pair JOIN g x ON x.id = a JOIN g y ON y.id = b WHERE least(length(x.norm), length(y.norm)) >= {C.DUP_LENGTH_RATIO}::DOUBLE * greatest(length(x.norm), length(y.norm))) WHERE c >= {C.DUP_CONTAINMENT}::DOUBLE",
+    + f"g AS MATERIALIZED (SELECT id, norm, {_grams('norm', 3)} AS g FROM t) SELECT a, b, c::DOUBLE / least(len(x.g), len(y.g)) AS containment FROM {SHARED.format(list='g', src='g')} JOIN g x ON x.id = a JOIN g y ON y.id = b "
+    f"WHERE least(length(x.norm), length(y.norm)) >= {C.DUP_LENGTH_RATIO}::DOUBLE * greatest(length(x.norm), length(y.norm)) AND c::DOUBLE / least(len(x.g), len(y.g)) >= {C.DUP_CONTAINMENT}::DOUBLE",
     "entities": f"SELECT doc_id, array_to_string({ENTITIES}, '|') AS entities FROM documents",
     "entity_df": f"WITH {_ENTITY_ROWS} SELECT low AS entity, df FROM df",
     "rare_entities": f"WITH {_ENTITY_ROWS} SELECT id, entity, df FROM e JOIN df ON low = lower(entity) WHERE df <= {C.RARE_ENTITY_DF}",

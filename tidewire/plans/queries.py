@@ -89,27 +89,23 @@ def entities(spark, d):
 
 
 def _entity_rows(spark, d):
-    return cluster.entity_df(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("title")), STOP)
+    return cluster.found_entities(_t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("title")), STOP)
 
 
 def entity_df(spark, d):
-    return _entity_rows(spark, d).select(F.lower("entity").alias("entity"), "df").distinct()
+    return cluster.entity_counts(_entity_rows(spark, d))
 
 
 def rare_entities(spark, d):
-    return _entity_rows(spark, d).where(F.col("df") <= C.RARE_ENTITY_DF).select("id", "entity", "df")
-
-
-def _pairs(a):
-    return cluster.same_event_pairs(a, views.now(), EVENT_HOURS)
+    return cluster.rare_entities(_entity_rows(spark, d), Scratch(spark, "rare"))
 
 
 def same_event_pairs(spark, d):
-    return _pairs(views.articles(spark, d)).select("a", "b")
+    return cluster.same_event_pairs(views.articles(spark, d), views.now(), EVENT_HOURS).select("a", "b")
 
 
 def _members(a):
-    return cluster.event_members(a, _pairs(a))
+    return cluster.event_members(a, cluster.event_links(a, views.now(), EVENT_HOURS))
 
 
 def event_clusters(spark, d):
