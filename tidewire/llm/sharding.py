@@ -45,7 +45,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     16) near equal over the shards (law `bytes`), tokens (words) and rows balanced with them.
 
     Equal texts are a group and stay together; only a group that alone is more than a shard is split,
-    into pieces by a hash of the key. Groups larger than OWN_SHARE of a shard are packed one by one,
+    into pieces by a hash of the key and the row's number in the scan, so that rows that repeat are
+    split as well. Groups larger than OWN_SHARE of a shard are packed one by one,
     at most 3 * shards / OWN_SHARE of them. All smaller groups are dealt by their hash to a fixed
     number of bundles, which are packed like groups. So the driver packs a bounded number of items
     at any size, and the largest group is spread like any data.
@@ -59,6 +60,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
         docs.select(
             F.col(key).alias("key"), (F.octet_length(t) + ROW_BYTES).cast("long").alias("size"), word_count(t).alias("tokens"),
             F.crc32(t.cast("binary")).alias("text_crc32"), F.sha2(t, 256).alias("digest"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "rows",
     )
@@ -71,16 +73,16 @@ def shard(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str
     large = groups.where(share > OWN_SHARE).select("digest", F.when(share > 1, F.ceil(share / PIECE_SHARE)).otherwise(1).cast("long").alias("pieces"))
     large = scratch.table(large, "large")  # at most 3 * shards / OWN_SHARE rows
     item = F.when(F.col("pieces").isNull(), F.concat(F.lit("b"), bundle.cast("string"))).otherwise(
-        F.concat("digest", F.lit(":"), F.pmod(F.xxhash64("key", F.lit("piece")), F.coalesce("pieces", F.lit(1))).cast("string"))
+        F.concat("digest", F.lit(":"), F.pmod(F.xxhash64("key", "row", F.lit("piece")), F.coalesce("pieces", F.lit(1))).cast("string"))
     )
     items = base.join(F.broadcast(large), "digest", "left").withColumn("item", item)
     packed = items.groupBy("item").agg(*sums).orderBy("item").collect()  # bounded by the two constants
     sizes = np.array([[r["size"], r["tokens"], r["rows"]] for r in packed], dtype=np.float64).reshape(-1, 3)
     plan = spark.createDataFrame([(r["item"], int(b)) for r, b in zip(packed, place(sizes, shards))], "item string, shard int")
     cells = max(1, math.ceil(n / shards / cell_rows(n)))
-    placed = items.join(F.broadcast(plan), "item").select("key", "size", "text_crc32", "shard")
+    placed = items.join(F.broadcast(plan), "item").select("key", "row", "size", "text_crc32", "shard")
     placed = scratch.table(placed, "placed")
-    ranked = gapless_rank(placed, ["shard"], F.pmod(F.xxhash64("key"), F.lit(cells)), [F.col("key"), F.col("text_crc32")], "slot")
+    ranked = gapless_rank(placed, ["shard"], F.pmod(F.xxhash64("key", "row"), F.lit(cells)), [F.col("key"), F.col("text_crc32")], "slot")
     return ranked.select(
         F.col("key").alias(key), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import itertools
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -153,8 +154,8 @@ class Chain:
 
 def fit_chain(rows: list[np.ndarray], labels: np.ndarray, names: list[str]) -> Chain:
     """One model a category, in order. What a model learns from its predecessors are out-of-fold
-    predictions: those that models fitted without the row gave for it."""
-    fold = np.arange(len(rows)) % FOLDS
+    predictions: those that models fitted without the row, and without its copies, gave for it."""
+    fold = np.array([zlib.crc32(np.sort(r).astype("<i8").tobytes()) % FOLDS for r in rows], int)
     earlier, models = np.zeros((len(rows), 0)), []
     for j in range(labels.shape[1]):
         y = labels[:, j].astype(float)

@@ -14,8 +14,45 @@ from tidewire.storage import Scratch
 #: (verdict, rule); a rule is a host and a path that starts at its first slash.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
-CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)<meta\b(?=[^>]*http-equiv\s*=\s*[\"']?refresh\b)[^>]*\bcontent\s*=\s*[\"'][^\"'>]*?url\s*=\s*([^\"'>\s]+)"
+#: A refresh after more seconds than this is a page's own matter.
+REFRESH_SECONDS = 0
+#: What no browser reads as markup: comments and the inside of scripts and styles.
+HIDDEN = r"(?is)<!--.*?(?:-->|$)|<(script|style)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|$)"
+TAGS = r"(?is)<(?:link|meta)\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+ATTRIBUTE = r"(?s)([^\s\"'<>/=]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+#: Seconds, and a target in quotes or bare.
+CONTENT = r"(?is)^\s*(\d+)[\d.]*\s*(?:[;,]\s*|\s)(?:url\s*=\s*)?(?:\"([^\"]*)\"?|'([^']*)'?|(.*))$"
+
+
+def _tags(html: Column) -> Column:
+    """The link and meta elements of a page as maps of their attributes, names in lower case; of an
+    attribute that is repeated the first counts."""
+    found = F.regexp_extract_all(F.regexp_replace(html, HIDDEN, " "), F.lit(TAGS), F.lit(0))
+
+    def attributes(tag: Column) -> Column:
+        inside = F.regexp_replace(tag, r"^<\w+", "")
+        names = F.transform(F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
+        values = F.transform(F.regexp_extract_all(inside, F.lit(ATTRIBUTE), F.lit(2)), lambda v: F.regexp_replace(v, "^[\"']|[\"']$", ""))
+        pairs = F.arrays_zip(names.alias("n"), values.alias("v"))
+        return F.map_from_entries(F.filter(pairs, lambda p, i: F.array_position(names, p["n"]) == i + 1))
+
+    return F.transform(found, attributes)
+
+
+def links_of(html: Column) -> Column:
+    """Where a page says that it is to be found: the targets of its canonical links and immediate
+    refreshes, as they are written."""
+    space = lambda c: F.regexp_replace(c, r"^\s+|\s+$", "")
+
+    def target(tag: Column) -> Column:
+        canonical = F.array_contains(F.split(F.lower(F.coalesce(tag["rel"], F.lit(""))), r"\s+"), "canonical")
+        content = tag["content"]
+        part = lambda i: F.regexp_extract(content, CONTENT, i)
+        soon = (F.lower(space(tag["http-equiv"])) == "refresh") & (part(1).try_cast("long") <= REFRESH_SECONDS)
+        return F.nullif(space(F.when(canonical, tag["href"]).when(soon, F.concat(part(2), part(3), part(4)))), F.lit(""))
+
+    some = F.lower(html).rlike("canonical|refresh")
+    return F.when(some, F.array_compact(F.transform(_tags(F.when(some, html)), target)))
 
 
 def host_of(url: Column) -> Column:
@@ -39,18 +76,17 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RU
 
 
 def equivalences(pages: DataFrame, url: str = "url", html: str = "html", spellings: bool = False) -> DataFrame:
-    """(src, dst): a page's URL with the target of its canonical link and with that of an immediate
-    refresh. Targets are unescaped and resolved against the page's URL. A target and a crawled URL
-    that are spelt differently but have one canonical form meet in that form, a node of its own that
-    no rule fits (see `form`). Crawled URLs that no link leads to are not joined by their spelling,
-    unless `spellings` says so.
+    """(src, dst): a page's URL with the targets of all its canonical links and of immediate
+    refreshes (REFRESH_SECONDS). Attributes are read with double, single or no quotes and in any
+    order, `rel` as a list of words; comments, scripts and styles are not read. Targets are unescaped
+    and resolved against the page's URL. A target and a crawled URL that are spelt differently but
+    have one canonical form meet in that form, a node of its own that no rule fits (see `form`).
+    Crawled URLs that no link leads to are not joined by their spelling, unless `spellings` says so.
 
     Null URLs and pages without links give no edges; repeated rows repeat theirs; other columns are
     not read."""
     u = F.col(url)
-    link = lambda pattern, word: F.when(F.contains(F.lower(html), F.lit(word)), F.nullif(F.regexp_extract(html, pattern, 1), F.lit("")))
-    found = F.array_compact(F.array(link(CANONICAL, "canonical"), link(REFRESH, "refresh")))
-    e = pages.where(u.isNotNull()).select(u.alias("src"), F.explode(found).alias("dst"))
+    e = pages.where(u.isNotNull()).select(u.alias("src"), F.explode(links_of(F.col(html))).alias("dst"))
     e = e.withColumn("dst", resolve_url(unescape(F.col("dst")), F.col("src"))).where("contains(dst, '://')")
     e = Scratch(session(pages), "edges").table(e.where("dst <> src").distinct(), "links")
     targets = e.select("dst", form(F.col("dst")).alias("f"))
