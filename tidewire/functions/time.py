@@ -7,27 +7,94 @@ from pyspark.sql import Column, functions as F
 from tidewire import config as C
 from tidewire.functions.let import let
 
-#: A zone at the end; of named ones only those of UTC count, others are no more than a naive time.
-ZONE = r"\s*(Z|UTC|GMT|UT|[ECMP][SD]T|[+-]\d{2}:?\d{2}|(?<=:\d{2}\s?)[+-]\d{2})$"
-KNOWN = r"^(Z|UTC|GMT|[+-])"
-CLOCKS = (
-    "d MMM yyyy[ HH:mm[:ss]]", "d MMMM yyyy[ HH:mm[:ss]]", "MMM d, yyyy[ HH:mm[:ss]]", "MMMM d, yyyy[ HH:mm[:ss]]",
-    "yyyy/MM/dd[ HH:mm[:ss]]", "yyyyMMdd'T'HHmmss", "yyyyMMdd",
+MONTHS = ("jan(?:uary)?", "feb(?:ruary)?", "mar(?:ch)?", "apr(?:il)?", "may", "june?", "july?", "aug(?:ust)?", "sept?(?:ember)?", "oct(?:ober)?", "nov(?:ember)?", "dec(?:ember)?")
+MONTH = rf"(?:{'|'.join(MONTHS)})"
+WEEKDAY = "(?:mon(?:day)?|tue(?:s(?:day)?)?|wed(?:nesday)?|thu(?:r(?:s(?:day)?)?)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?)"
+#: Words that say nothing of a date.
+FILLER = "(?:t|at|on|of|and|ad|st|nd|rd|th)"
+#: Hour, minute, second, its parts, the half of the day, and a zone: of named ones only those of UTC
+#: count, others are no more than a naive time.
+CLOCK = (
+    r"(?<![\d:.])(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,6})\d*)?)?(?![\d:])\s*(?:([ap])\.?m\.?(?![a-z]))?"
+    rf"\s*((?:z|utc|gmt)(?![a-z])(?:\s*[+-]\d{{1,2}}(?::?\d{{2}})?(?!\d))?|[+-]\d{{2}}(?::?\d{{2}})?(?!\d)|(?!{MONTH}\b|{WEEKDAY}\b)[a-z]{{2,5}}(?![a-z]))?"
 )
+KNOWN = r"^(z|utc|gmt|[+-])"
+#: Digits that run together, and what they say: a date with a time, or alone.
+RUN_TOGETHER = (
+    (r"^(\d{4})(\d{2})(\d{2})[t ]?(\d{2})(\d{2})(\d{2})(?!\d)", "$1-$2-$3 $4:$5:$6"), (r"^(\d{4})(\d{2})(\d{2})[t ](\d{2})(\d{2})(?!\d)", "$1-$2-$3 $4:$5"), (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
+)
+#: Years of two digits from this on are of the last century.
+PIVOT = 70
+_CUT = "\x01"
+
+
+def _tokens(t: Column) -> Column:
+    """(clock, words, numbers, plain) of a text: the groups of CLOCK, null without one, what else is
+    there, and whether that is nothing but words, numbers and what stands between them."""
+    u = F.regexp_replace(F.lower(t), r"\s*\([^()]*\)$", "")
+    u = F.translate(u, "年月日", "-- ")
+    for run, said in RUN_TOGETHER:
+        u = F.regexp_replace(u, run, said)
+    # a date alone may have a zone as well, which then is that of its midnight
+    u = F.regexp_replace(u, r"^([^:]*\d)\s*(z|utc|gmt|[+-]\d{2}:\d{2})$", "$1 0:00 $2")
+
+    def parts(cut: Column) -> Column:
+        has = F.size(cut) > 1
+        rest = F.when(has, F.concat_ws(" ", cut[0], cut[7])).otherwise(cut[0])
+        # what stands before a clock may end in the T of ISO 8601
+        spaced = F.regexp_replace(rest, r"(?<=\d)t(?=\s|$)", " ")
+        return F.struct(
+            F.when(has, F.slice(cut, 2, 6)).alias("clock"), F.regexp_extract_all(spaced, F.lit("[a-z]+"), F.lit(0)).alias("words"),
+            F.regexp_extract_all(spaced, F.lit(r"\d+"), F.lit(0)).alias("numbers"), spaced.rlike(r"^[a-z0-9\s,./;'\-]*$").alias("plain"),
+        )
 
-
-def _wall(t: Column) -> Column:
-    """The clock time as if it were UTC, for a text without a zone."""
-    rfc = [F.try_to_timestamp(t, F.lit(f)) for f in CLOCKS]
-    iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"), t.try_cast("timestamp"))
-    return F.coalesce(iso, *rfc)
+    return let(F.split(F.regexp_replace(u, rf"(?s)^(.*?){CLOCK}(.*)$", _CUT.join(f"${i}" for i in range(1, 9))), _CUT, -1), parts)
+
+
+def _date(p: Column) -> Column:
+    """(y, m, d) as texts of the words and numbers of a date: with a month's name two numbers, without
+    one three; null if any is missing or something else is there. A number is the year if it is
+    too long or too large for a day; the month comes before the day where both orders would do."""
+    named = F.filter(p["words"], lambda w: w.rlike(f"^{MONTH}$"))
+    known = F.forall(p["words"], lambda w: w.rlike(f"^(?:{MONTH}|{WEEKDAY}|{FILLER})$"))
+    month = F.floor((F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.substring(named[0], 1, 3)) + 2) / 3).cast("string")
+    n = p["numbers"]
+    at = lambda i: F.get(n, F.lit(i))
+    yearly = lambda x: (F.length(x) > 2) | (x.try_cast("int") > 31)
+    above = lambda x: x.try_cast("int") > 12
+    ymd = lambda y, m, d: F.struct(y.alias("y"), m.alias("m"), d.alias("d"))
+    worded = F.when(yearly(at(0)), ymd(at(0), month, at(1))).otherwise(ymd(at(1), month, at(0)))
+    first = F.when(above(at(1)), ymd(at(0), at(2), at(1))).otherwise(ymd(at(0), at(1), at(2)))
+    last = F.when(above(at(0)), ymd(at(2), at(1), at(0))).otherwise(ymd(at(2), at(0), at(1)))
+    numeric = F.when(yearly(at(0)), first).otherwise(last)
+    found = F.when((F.size(named) == 1) & (F.size(n) == 2), worded).when((F.size(named) == 0) & (F.size(n) == 3), numeric)
+    return F.when(p["plain"] & known, found)
+
+
+def _wall(p: Column) -> Column:
+    """The clock time as if it were UTC; midnight without a clock, null without a whole date."""
+    clock = p["clock"]
+    hour, half = clock[0].try_cast("int"), clock[4]
+    hour = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
+    second = F.concat(F.when(clock[2] == "", "0").otherwise(clock[2]), F.lit("."), F.rpad(clock[3], 6, "0")).try_cast("decimal(8,6)")
+
+    def made(d: Column) -> Column:
+        year = d["y"].try_cast("int")
+        year = F.when(F.length(d["y"]) > 2, year).when(year < PIVOT, year + 2000).otherwise(year + 1900)
+        whole = F.when(clock.isNull(), F.lit(0)).otherwise(hour)
+        minute = F.when(clock.isNull(), F.lit(0)).otherwise(clock[1].try_cast("int"))
+        return F.try_make_timestamp(year, d["m"].try_cast("int"), d["d"].try_cast("int"), whole, minute, F.when(clock.isNull(), F.lit(0).cast("decimal(8,6)")).otherwise(second), F.lit("UTC"))
+
+    return let(_date(p), made)
 
 
 def _zone_seconds(z: Column) -> Column:
-    digits = F.regexp_replace(z, ":", "")
-    sign = F.when(F.startswith(z, F.lit("-")), -1).otherwise(1)
-    offset = sign * (F.substring(digits, 2, 2).try_cast("int") * 3600 + F.coalesce(F.substring(digits, 4, 2).try_cast("int"), F.lit(0)) * 60)
-    return F.when(z.rlike(r"^[+-]"), offset).otherwise(0)
+    offset = F.regexp_extract(z, r"([+-].*)$", 1)
+    digits = F.regexp_replace(offset, r"[+\-:]", "")
+    digits = F.when(F.length(digits) < 3, F.concat(digits, F.lit("00"))).otherwise(digits)
+    hours = F.floor(digits.try_cast("int") / 100)
+    seconds = (hours * 3600 + digits.try_cast("int") % 100 * 60) * F.when(F.startswith(offset, F.lit("-")), -1).otherwise(1)
+    return F.when(offset == "", 0).otherwise(seconds)
 
 
 def _shift(ts: Column, seconds: Column) -> Column:
@@ -35,23 +102,25 @@ def _shift(ts: Column, seconds: Column) -> Column:
 
 
 def parse_published(raw: Column, now: Column, override_minutes: Column | None = None) -> Column:
-    """(ts, note). Digits are an epoch in seconds, or in milliseconds if there are 13. An override
-    keeps the clock time and replaces the zone, before the check for the future. A date alone is
-    its midnight; other partial dates, such as a time of day alone, are unparseable."""
+    """(ts, note). Digits are an epoch in seconds, or in milliseconds if there are 13. Other texts are
+    cut into a clock, words and numbers, of which weekdays and fillers say nothing; month names, the
+    size of the numbers and their place tell year, month and day. An override keeps the clock time
+    and replaces the zone, before the check for the future. A date alone is its midnight; other
+    partial dates, such as a time of day or a month alone, and texts with any other word are
+    unparseable."""
     override = F.lit(None).cast("int") if override_minutes is None else override_minutes.cast("int")
     late = F.unix_micros(now) + C.FUTURE_TOLERANCE_HOURS * 3_600_000_000
 
     def split(t: Column) -> Column:
-        body = F.regexp_replace(t, r"^[A-Za-z]{3,9},\s*", "")
         epoch = t.rlike(r"^\d{10,13}$")
         number = F.when(epoch, t.try_cast("long"))
         from_epoch = F.timestamp_micros(F.when(F.length(t) == 13, number * 1000).otherwise(number * 1_000_000))
-        return F.struct(
-            t.alias("t"), epoch.alias("epoch"), from_epoch.alias("from_epoch"), F.regexp_extract(body, ZONE, 1).alias("zone"), F.regexp_replace(body, ZONE, "").alias("clock")
-        )
+        return F.struct(t.alias("t"), epoch.alias("epoch"), from_epoch.alias("from_epoch"), _tokens(F.when(~epoch, t)).alias("p"))
 
-    def read(p: Column) -> Column:
-        return F.struct(p["t"].alias("t"), (~p["epoch"] & ~p["zone"].rlike(KNOWN)).alias("naive"), p["epoch"].alias("epoch"), p["zone"].alias("zone"), F.coalesce(p["from_epoch"], _wall(p["clock"])).alias("wall"))
+    def read(s: Column) -> Column:
+        p = s["p"]
+        zone = F.coalesce(p["clock"][5], F.lit(""))
+        return F.struct(s["t"].alias("t"), (~s["epoch"] & ~zone.rlike(KNOWN)).alias("naive"), s["epoch"].alias("epoch"), zone.alias("zone"), F.coalesce(s["from_epoch"], _wall(p)).alias("wall"))
 
     def place(p: Column) -> Column:
         ts = F.when(override.isNotNull(), _shift(p["wall"], override * 60)).when(p["epoch"] | p["naive"], p["wall"]).otherwise(_shift(p["wall"], _zone_seconds(p["zone"])))

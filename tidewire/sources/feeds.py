@@ -2,82 +2,48 @@
 
 from __future__ import annotations
 
-import re
-from xml.parsers import expat
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
-from pyspark.sql.types import StringType
 
 from tidewire import config as C
-from tidewire.functions.text import first_image, media_image, squeeze, unescape
+from tidewire.functions.text import first_image, media_image, squeeze
 from tidewire.functions.time import parse_published
+from tidewire.sources.markup import read_items
 
-PROLOG = r"^\s*<\?xml[^>]*?\bencoding\s*=\s*[\"']([A-Za-z0-9._-]+)"
-#: Names of encodings that are often given for a larger one.
-LARGER = {"gb2312": "gb18030", "gbk": "gb18030"}
 #: Fields of an item with its time, the first one that is there counts.
-DATES = ("pubDate", "published", "dcterms:issued", "issued", "updated", "dcterms:modified", "modified", "dc:date", "date", "dcterms:created", "created")
-ITEM = r"(?is)<(item|entry)\b.*?</\1\s*>"
-
-
-def _raw(item: Column, tag: str) -> Column:
-    return F.regexp_extract(item, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
-
-
-def _field(item: Column, tag: str) -> Column:
-    """A field's text: the inside of CDATA as it is, entities resolved otherwise; null if empty."""
-    raw = F.trim(_raw(item, tag))
-    inside = F.regexp_extract(raw, r"(?s)^<!\[CDATA\[(.*?)\]\]>$", 1)
-    return F.nullif(F.when(F.startswith(raw, F.lit("<![CDATA[")), inside).otherwise(unescape(raw)), F.lit(""))
+DATES = ("pubdate", "published", "dcterms:issued", "issued", "updated", "dcterms:modified", "modified", "dc:date", "date", "dcterms:created", "created")
+SUMMARIES = ("summary", "description", "content:encoded", "content")
+#: What a link may lead to that is a page.
+PAGES = ("", "text/html", "application/xhtml+xml")
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    return F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*[\"']([^\"']*)[\"']", 1)
+def _named(*names: str) -> Column:
+    return F.filter("item", lambda e: e["name"].isin(*names))
 
 
-def _media(item: Column, tag: str) -> Column:
-    tags = F.regexp_extract_all(item, F.lit(rf"(?is)<{tag}\b[^>]*>"), F.lit(0))
-    return media_image(F.transform(tags, lambda t: _address(t, "url", "href")))
+def _first(texts: Column) -> Column:
+    return F.try_element_at(F.filter(F.transform(texts, lambda t: F.trim(t)), lambda t: t != ""), F.lit(1))
 
 
-def _address(tag: Column, *names: str) -> Column:
-    url = F.coalesce(*[F.nullif(_attribute(tag, n), F.lit("")) for n in names], F.lit(""))
-    return F.struct(url.alias("url"), _attribute(tag, "type").alias("type"))
+def _field(name: str) -> Column:
+    """The text of an item's first element of that name that has any; null if there is none."""
+    return _first(F.transform(_named(name), lambda e: e["text"]))
 
 
-def _as_text(b: bytes) -> str:
-    """Content in the encoding that its byte order mark or its prolog names, else in UTF-8."""
-    named = re.match(PROLOG, b[:200].decode("latin-1"))
-    kind = "utf-16" if b[:2] in (b"\xff\xfe", b"\xfe\xff") else named[1].lower() if named else "utf-8"
-    try:
-        return b.decode(LARGER.get(kind, kind), "replace")
-    except LookupError:  # no encoding of that name
-        return b.decode("utf-8", "replace")
+def _attribute(e: Column, name: str) -> Column:
+    return F.coalesce(e["attrs"][name], F.lit(""))
 
 
-@F.pandas_udf(StringType())
-def _decoded(content: pd.Series) -> pd.Series:
-    return content.map(_as_text, na_action="ignore").astype(object)
+def _media(elements: Column) -> Column:
+    address = lambda e: F.coalesce(F.nullif(_attribute(e, "url"), F.lit("")), _attribute(e, "href"))
+    return media_image(F.transform(elements, lambda e: F.struct(address(e).alias("url"), _attribute(e, "type").alias("type"))))
 
 
-def decode(content: Column) -> Column:
-    """Content as text; only what is not UTF-8 leaves the JVM."""
-    named = F.lower(F.regexp_extract(F.decode(F.substring(content, 1, 200), "ISO-8859-1"), PROLOG, 1))
-    other = ~named.isin("", "utf-8", "utf8", "us-ascii") | F.hex(F.substring(content, 1, 2)).isin("FFFE", "FEFF")
-    return F.coalesce(_decoded(F.when(other, content)), F.decode(content, "UTF-8"))
-
-
-@F.pandas_udf(StringType())
-def _fault(content: pd.Series) -> pd.Series:
-    def check(b: bytes) -> str | None:
-        try:
-            expat.ParserCreate().Parse(_as_text(b), True)
-        except expat.ExpatError as e:
-            return str(e)[:200]
-        return None
-
-    return content.map(check, na_action="ignore").astype(object)
+def _link() -> Column:
+    """Where an item leads: the text of its link, else the address of one that is an alternate and a
+    page, else its number, unless that is said to be no address."""
+    alternate = F.filter(_named("link"), lambda e: _attribute(e, "rel").isin("", "alternate") & F.lower(_attribute(e, "type")).isin(*PAGES))
+    number = F.filter(_named("guid"), lambda e: (F.lower(_attribute(e, "ispermalink")) != "false") & F.contains(e["text"], F.lit("://")))
+    return F.coalesce(_field("link"), _first(F.transform(alternate, lambda e: _attribute(e, "href"))), _first(F.transform(number, lambda e: e["text"])))
 
 
 def landed(files: DataFrame) -> DataFrame:
@@ -88,37 +54,26 @@ def landed(files: DataFrame) -> DataFrame:
     return named.select("source_id", (F.row_number().over(w.orderBy("path")) - 1).alias("variant"), F.count("*").over(w).alias("n_variants"), "content")
 
 
-def _items(feeds: DataFrame) -> DataFrame:
-    text = feeds.select("source_id", decode(F.col("content")).alias("x"))
-    return text.select("source_id", F.posexplode(F.regexp_extract_all("x", F.lit(ITEM), F.lit(0))).alias("place", "item"))
-
-
 def feed_profile(feeds: DataFrame) -> DataFrame:
     """(source_id, items_seen, fault) of (source_id, content): items before any is dropped, and why
     the file is not well-formed, null if it is. Content that is null or empty has no items."""
-    return feeds.select("source_id", F.size(F.regexp_extract_all(F.coalesce(decode(F.col("content")), F.lit("")), F.lit(ITEM), F.lit(0))).alias("items_seen"), _fault("content").alias("fault"))
+    return read_items(feeds).select("source_id", F.size("items").alias("items_seen"), "fault")
 
 
 def feed_items(feeds: DataFrame) -> DataFrame:
     """One row for each item of (source_id, content), in feed order: source_id, place, title, url,
-    published_raw, summary_raw, image_url, tags, announce. Each item is cut out and read by itself,
-    so a malformed one costs no other; items without title or link are dropped."""
-    items = _items(feeds)
-    i = F.col("item")
-    links = F.regexp_extract_all(i, F.lit(r"(?is)<link\b[^>]*\bhref[^>]*>"), F.lit(0))
-    link = F.coalesce(_field(i, "link"), unescape(_attribute(F.coalesce(F.try_element_at(F.filter(links, lambda t: ~F.contains(t, F.lit("enclosure"))), F.lit(1)), F.lit("")), "href")))
-    summary = F.coalesce(*[_field(i, t) for t in ("summary", "description", "content:encoded", "content")])
-    body = F.concat_ws("\n", _field(i, "summary"), _field(i, "description"), _field(i, "content:encoded"), _field(i, "content"))
-    attached = F.filter(links, lambda t: _attribute(t, "rel") == "enclosure")
-    enclosed = media_image(F.transform(attached, lambda t: _address(t, "href")))
-    image = F.coalesce(_media(i, "media:content"), _media(i, "media:thumbnail"), _media(i, "enclosure"), enclosed, first_image(body))
-    named = F.regexp_extract_all(i, F.lit(r"(?is)<category\b[^>]*>(?:<!\[CDATA\[.*?\]\]>|[^<]*)"), F.lit(0))
-    inside = lambda t: F.trim(F.regexp_replace(F.regexp_replace(t, r"(?s)^<[^>]*>", ""), r"<!\[CDATA\[|\]\]>", ""))
-    tags = F.filter(F.transform(named, lambda t: F.coalesce(F.nullif(F.trim(_attribute(t, "term")), F.lit("")), inside(t))), lambda t: t != "")
+    published_raw, summary_raw, image_url, tags, announce. Only what stands directly in an item
+    counts, or in a group of media. Items without title or link are dropped."""
+    items = read_items(feeds).select("source_id", F.posexplode("items").alias("place", "item"))
+    body = F.array_join(F.flatten(F.array(*[F.transform(_named(n), lambda e: e["text"]) for n in SUMMARIES])), "\n")
+    attached = F.filter(_named("link"), lambda e: _attribute(e, "rel") == "enclosure")
+    image = F.coalesce(*[_media(e) for e in (_named("media:content"), _named("media:thumbnail"), _named("enclosure"), attached)], first_image(body))
+    term = lambda e: F.trim(F.coalesce(F.nullif(_attribute(e, "term"), F.lit("")), e["text"]))
+    tags = F.filter(F.transform(_named("category"), term), lambda t: t != "")
     out = items.select(
-        "source_id", "place", squeeze(_field(i, "title")).alias("title"), F.trim(link).alias("url"),
-        F.coalesce(*[_field(i, t) for t in DATES]).alias("published_raw"), F.coalesce(summary, F.lit("")).alias("summary_raw"),
-        image.alias("image_url"), tags.alias("tags"), F.lower(_field(i, "arxiv:announce_type")).alias("announce"),
+        "source_id", "place", squeeze(_field("title")).alias("title"), F.trim(_link()).alias("url"),
+        F.coalesce(*[_field(n) for n in DATES]).alias("published_raw"), F.coalesce(*[_field(n) for n in SUMMARIES], F.lit("")).alias("summary_raw"),
+        image.alias("image_url"), tags.alias("tags"), F.lower(_field("arxiv:announce_type")).alias("announce"),
     )
     return out.where("title <> '' and url <> ''")
 
