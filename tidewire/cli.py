@@ -17,6 +17,7 @@ from tidewire.sources import store
 
 #: Exit codes: a run with at least one source, one in which all failed, one that was interrupted.
 DONE, ALL_FAILED, INTERRUPTED = 0, 1, 130
+LAST_YEAR = 2100
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -31,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--max-items", type=int, default=C.MAX_STORE_ITEMS)
     c.add_argument("--data-dir", default="data", metavar="DIR")
     c.add_argument("--trigger", choices=tuple(console.TRIGGER), default="fixture")
+    c.add_argument("--manifest", metavar="FILE", help="refuse landed files that differ from this capture")
     c.add_argument("--dry-run", action="store_true", help="write nothing")
     c.add_argument("--rebuild", action="store_true", help="start from an empty store")
     c.add_argument("--quiet", action="store_true")
@@ -43,20 +45,25 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--input", required=True, metavar="DIR")
     a.add_argument("--now", metavar="ISO8601")
     a.add_argument("--only", type=ids, metavar="IDS")
+    a.add_argument("--json", metavar="FILE", help="write the rows into a file as well")
     return p
 
 
 def moment(text: str | None) -> dt.datetime:
-    """A time in UTC, to the second; without a zone it is UTC."""
+    """A time in UTC, to the second; without a zone it is UTC. Times after the year 2100 are slips."""
     if text is None:
         return dt.datetime.now(dt.timezone.utc).replace(microsecond=0)
     at = dt.datetime.fromisoformat(text)
+    if at.year > LAST_YEAR:
+        raise ValueError(f"{text} is after the year {LAST_YEAR}")
     return (at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)).astimezone(dt.timezone.utc)
 
 
 def collect(spark: SparkSession, a: argparse.Namespace) -> int:
     """The store is kept as Parquet beside the documents: it is the next run's input."""
     at, path, notes = moment(a.now), os.path.join(os.path.abspath(a.data_dir), daily.STORE), ()
+    if a.manifest and (apart := daily.changed_files(spark, a.input, a.manifest)):
+        raise ValueError("；".join(apart))
     existing = store.load(spark, path, intake.ARTICLE)
     if a.rebuild:
         notes = ("--rebuild：已丢弃现有存储重建",) if not existing.isEmpty() else ()
@@ -72,8 +79,12 @@ def collect(spark: SparkSession, a: argparse.Namespace) -> int:
 def audit(spark: SparkSession, a: argparse.Namespace) -> int:
     now = daily.instant(moment(a.now))
     items, _ = daily.read_landed(spark, a.input, C.select_sources(a.only), now)
-    for row in intake.audit(items, now).withColumn("newest_published", F.col("newest_published").cast("string")).orderBy("source_id").collect():  # a row for each registered source
-        print(json.dumps(row.asDict(), ensure_ascii=False))
+    found = intake.audit(items, now).withColumn("newest_published", F.col("newest_published").cast("string")).orderBy("source_id")
+    rows = [r.asDict() for r in found.collect()]  # one for each registered source
+    for row in rows:
+        print(json.dumps(row, ensure_ascii=False))
+    if a.json:
+        store.write_json_atomic(a.json, rows)
     return DONE
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewire import config as C
 from tidewire.operators import cluster, intake, merge, report, score
-from tidewire.sources import feeds, store
+from tidewire.sources import answers, feeds, manifest, store
 from tidewire.sources.files import Files
 from tidewire.storage import Scratch
 
@@ -60,21 +60,34 @@ def read_landed(spark: SparkSession, path: str, sources: list[tuple], at: Column
     dim = spark.createDataFrame(sources, C.SOURCE_SCHEMA)
     d = F.broadcast(dim.select(F.col("id").alias("source_id"), "kind", "max_items"))
     files = feeds.landed(spark.read.format("binaryFile").load(path)).join(d, "source_id")
-    xml, answers = files.where("kind <> 'hn' and variant = 0"), files.where("kind = 'hn'")
+    xml = files.where("kind <> 'hn' and variant = 0")
+    told = Scratch(spark, "answers").table(answers.answers(spark, path, [s[0] for s in sources if s[4] == "hn"]))  # a few hits
     items = feeds.feed_items(xml).join(d, "source_id")
-    told = items.where("kind <> 'arxiv'").unionByName(feeds.announced(items.where("kind = 'arxiv'")))
-    capped = feeds.cap_by_date(told, F.col("max_items"), at).drop("kind", "max_items", "announce", "tags")
+    fresh = items.where("kind <> 'arxiv'").unionByName(feeds.announced(items.where("kind = 'arxiv'")))
+    capped = feeds.cap_by_date(fresh, F.col("max_items"), at).drop("kind", "max_items", "announce", "tags")
     capped = capped.withColumn("heat", F.lit(None).cast("int")).withColumn("comments", F.lit(None).cast("int"))
-    hits = feeds.hit_items(answers)
+    hits = feeds.hit_items(told)
     for name, kind in HIT_COLUMNS.items():
         hits = hits.withColumn(name, F.lit(None).cast(kind))
     large = F.when(F.col("content").isNull(), "too_large：响应超过大小上限")
     seen = feeds.feed_profile(xml).join(xml.select("source_id", large.alias("error")), "source_id")
-    totals = answers.groupBy("source_id").agg(F.max(large).alias("error")).join(feeds.hit_rows(answers).groupBy("source_id").agg(F.count("*").cast("int").alias("items_seen")), "source_id", "left")
-    seen = seen.unionByName(totals.select("source_id", F.coalesce("items_seen", F.lit(0)).alias("items_seen"), F.lit(None).cast("string").alias("fault"), "error"))
+    totals = feeds.hit_rows(told).groupBy("source_id").agg(F.count("*").cast("int").alias("items_seen")).join(answers.faults(told), "source_id", "full")
+    answered = files.where("kind = 'hn'").select("source_id").distinct().join(totals, "source_id", "left")
+    seen = seen.unionByName(answered.select("source_id", F.coalesce("items_seen", F.lit(0)).alias("items_seen"), F.lit(None).cast("string").alias("fault"), "error"))
     return capped.unionByName(hits), seen.withColumn("answered", F.lit(True))
 
 
+def changed_files(spark: SparkSession, path: str, captured: str) -> list[str]:
+    """Names and states of landed files that differ from a captured manifest, a JSON file whose
+    `sources` each have a file and its sha256. A manifest is a few dozen rows."""
+    with open(captured, encoding="utf-8") as f:
+        told = [(s["file"], s.get("sha256")) for s in json.load(f)["sources"] if s.get("file")]
+    then = spark.createDataFrame(told, "name string, sha256 string").dropDuplicates(["name"])
+    now = manifest.manifest(spark.read.format("binaryFile").load(path))
+    apart = manifest.compare(then, now).where(F.col("status").isin("changed", "missing") & (F.col("name") != os.path.basename(captured)))
+    return [f"{r['name']}: {r['status']}" for r in apart.orderBy("name").collect()]
+
+
 def run(
     spark: SparkSession, landed: str, existing: DataFrame, at: dt.datetime, *, only: list[str] | None = None, days: int = C.WINDOW_DAYS,
     capacity: int = C.MAX_STORE_ITEMS, trigger: str = "fixture", notes: tuple[str, ...] = (),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewire import config as C
-from tidewire.plans.queries import CJK, LATIN, SIGNALS, STOP
+from tidewire.plans.queries import CJK, FORMS, LATIN, SIGNALS, STOP
 from tidewire.plans.sqltext import canonical_url_sql
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -220,5 +220,14 @@ SELECT id, title, published_at, summary, heat, rows FROM m WHERE coalesce(publis
     "run_success_rate": f"WITH r AS (SELECT date_trunc('hour', ts) AS started_at, count(*) AS n FROM events GROUP BY 1), o AS (SELECT started_at, CASE WHEN n % 7 = 0 THEN 'failed' WHEN n % 5 = 0 THEN 'partial' WHEN n % 3 = 0 THEN 'no_new' ELSE 'success' END IN ('success', 'no_new') AS good FROM r) SELECT round(avg(good::INT) FILTER (started_at >= {NOW} - INTERVAL 7 DAY), 4) AS success_rate_7d, max(started_at) FILTER (good)::TIMESTAMP AS last_success_at FROM o",
     "ui_filter": f"WITH {ARTICLES} SELECT id, source_id FROM art WHERE at_ >= {NOW} - INTERVAL 29 DAY AND lang = 'en' AND contains(lower(title), 'th')",
     "unread_antijoin": f"WITH {ARTICLES} SELECT id, source_id FROM art WHERE NOT source_official",
+    "article_list": f"{_scored()}, {_PICK}, clicked AS (SELECT substr(sha1(event_id::VARCHAR), 1, 16) AS id FROM events WHERE event_type = 'click') SELECT id, source_id FROM sc WHERE lang = 'en' AND at_ >= {NOW} - INTERVAL 29 DAY AND contains(lower(title || chr(10) || coalesce(summary, '')), 'the') AND id NOT IN (SELECT id FROM top) AND id NOT IN (SELECT id FROM clicked)",
+    "event_list": f"{_scored()} SELECT id, cluster_id, n AS independent_sources FROM sc WHERE n >= 2 AND list_contains(reasons, '官方一手来源')",
+    "facet_counts": f"{_scored()}, one AS (SELECT source_id, lang, cluster_id, CASE WHEN n >= 2 THEN 'true' ELSE 'false' END AS multi FROM sc) "
+    "SELECT 'source' AS facet, source_id AS value, count(*) AS n FROM one WHERE source_id IS NOT NULL GROUP BY ALL UNION ALL SELECT 'lang', lang, count(*) FROM one GROUP BY ALL UNION ALL SELECT 'cluster', cluster_id, count(*) FROM one WHERE cluster_id IS NOT NULL GROUP BY ALL "
+    "UNION ALL SELECT 'multi_source', multi, count(*) FROM one GROUP BY ALL UNION ALL SELECT 'all', '', count(*) FROM one UNION ALL SELECT 'reason', r, count(*) FROM (SELECT unnest(list_distinct(reasons)) AS r FROM sc) GROUP BY ALL",
+    "lead_story": f"{_scored()}, {_PICK} SELECT id, score, CASE WHEN heat % 3 = 0 THEN 'https://cdn.example.com/x.jpg' END AS image_url FROM top ORDER BY coalesce(heat % 3 = 0, false) DESC, score DESC, id LIMIT 1",
+    "manifest_diff": "WITH x AS (SELECT doc_id::VARCHAR AS name, doc_id AS n, coalesce(text, '') AS text FROM documents), a AS (SELECT name, sha256(CASE WHEN n % 5 = 0 THEN text || '!' ELSE text END) AS s FROM x WHERE n % 7 <> 0), b AS (SELECT name, sha256(text) AS s FROM x WHERE n % 11 <> 0) "
+    "SELECT name, CASE WHEN a.s IS NULL THEN 'added' WHEN b.s IS NULL THEN 'missing' WHEN a.s = b.s THEN 'same' ELSE 'changed' END AS status, a.s AS captured_sha256, b.s AS landed_sha256 FROM a FULL JOIN b USING (name)",
+    "parse_dates": f"SELECT event_id, CASE WHEN k = 11 THEN t - INTERVAL 2 HOUR ELSE t END AS published_at, CASE WHEN k NOT IN ({', '.join(str(i) for i, (_, zoned) in enumerate(FORMS) if zoned)}) THEN 'tz_assumed' END AS note FROM (SELECT event_id, event_id % {len(FORMS)} AS k, date_trunc('second', ts) AS t FROM events)",
     "image_pick": "SELECT page_id, 'https://cdn.example.com/' || page_id || '.jpg' AS image_url FROM pages",
 }

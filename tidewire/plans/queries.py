@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from tidewire import config as C
 from tidewire.functions import grams, terms, text, time as T, url
-from tidewire.operators import cluster, merge, report, score, views
+from tidewire.operators import cluster, merge, report, score, view, views
+from tidewire.sources import manifest
 from tidewire.storage import Scratch
 
 #: Parameters that suit the invented prose of the test tables.
@@ -189,7 +190,7 @@ def _written(spark, d, *columns):
 
 #: What matching, scores and counts read of an article.
 MATCHED = ("id", "doc_id", "norm", "at", "first_seen_at", "source_weight")
-SCORED = ("id", "title", "norm", "summary", "source_id", "source_weight", "source_official", "at", "heat")
+SCORED = ("id", "title", "norm", "summary", "source_id", "source_weight", "source_official", "at", "lang", "heat")
 COUNTED = ("id", "title", "norm", "source_id", "source_official", "published_at", "at", "lang", "heat")
 
 
@@ -272,6 +273,64 @@ def unread_antijoin(spark, d):
     return a.join(read, "id", "left_anti").select("id", "source_id")
 
 
+def _with_highlights(spark, d):
+    """Scored articles, written, and the highlights among them."""
+    scored = Scratch(spark, "scored").table(_scored(spark, d), "scored")
+    return scored, score.highlights(scored)
+
+
+def article_list(spark, d):
+    """What a reader of English sees who searches, hides what is read (clicked on, here) and looks at
+    the last days."""
+    scored, top = _with_highlights(spark, d)
+    clicked = _t(spark, d, "events").where("event_type = 'click'").select(F.substring(F.sha1(F.col("event_id").cast("string").cast("binary")), 1, 16).alias("id"))
+    shown = view.View(lang="en", keyword=" The ", days=29, unread=True)
+    return view.listed(scored, shown, views.now(), top, clicked).select("id", "source_id")
+
+
+def event_list(spark, d):
+    """All languages, one reason, events of several sources, with the highlights."""
+    scored, top = _with_highlights(spark, d)
+    shown = view.View(lang=None, reason="官方一手来源", multi_source=True, with_highlights=True)
+    return view.listed(scored, shown, views.now(), top).select("id", "cluster_id", "independent_sources")
+
+
+def facet_counts(spark, d):
+    return view.facets(_with_highlights(spark, d)[0])
+
+
+def lead_story(spark, d):
+    """The highlight that leads; which ones have a picture is told by their events' number, as in
+    `store_counts`."""
+    scored, top = _with_highlights(spark, d)
+    pictured = F.when(F.col("heat") % 3 == 0, F.lit("https://cdn.example.com/x.jpg")).alias("image_url")
+    return view.lead(top.join(scored.select("id", pictured), "id")).select("id", "score", "image_url")
+
+
+def manifest_diff(spark, d):
+    """The documents as files against a capture of them, in which some are missing, added or differ."""
+    landed = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("name"), F.col("doc_id").alias("n"), "text")
+    digest = lambda t: F.sha2(F.coalesce(t, F.lit("")), 256).alias("sha256")
+    now = landed.where("n % 11 <> 0").select("name", digest(F.col("text")))
+    then = landed.where("n % 7 <> 0").select("name", digest(F.when(F.col("n") % 5 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))))
+    return manifest.compare(then, now)
+
+
+#: Ways to write a time, of which each event has one, and the zone that the text tells.
+FORMS = (
+    ("EEEE, dd-MMM-yy HH:mm:ss 'GMT'", True), ("EEE MMM d HH:mm:ss yyyy", False), ("d MMM yyyy hh:mm:ss a", False), ("MMM d yyyy HH:mm:ss", False), ("MM/dd/yyyy HH:mm:ss", False), ("dd-MMM-yyyy HH:mm:ss", False),
+    ("yyyy.MM.dd HH:mm:ss", False), ("yyyy年M月d日 HH:mm:ss", False), ("MMMM d, yyyy 'at' h:mm:ss a 'UTC'", True), ("yyyyMMdd'T'HHmmss'Z'", True), ("EEE MMM dd HH:mm:ss 'UTC' yyyy", True), ("yyyy-MM-dd'T'HH:mm:ss.SSS+02:00", True),
+)
+
+
+def parse_dates(spark, d):
+    """events.ts in the forms of FORMS, read again."""
+    k, ts = F.col("event_id") % len(FORMS), F.date_trunc("second", "ts")
+    raw = F.coalesce(*[F.when(k == i, F.date_format(ts, form)) for i, (form, _) in enumerate(FORMS)])
+    p = T.parse_published(F.col("raw"), views.now() + F.expr("interval 10 days"))
+    return _t(spark, d, "events").select("event_id", raw.alias("raw")).select("event_id", p.alias("p")).select("event_id", F.col("p.ts").alias("published_at"), F.col("p.note").alias("note"))
+
+
 def image_pick(spark, d):
     """Pages hold no pictures, so each is given a tag of every kind around its own address."""
     tag = F.concat(F.lit('<img src="/logo.png"><img class=x data-src="//cdn.example.com/'), F.col("page_id").cast("string"), F.lit('.jpg" src="https://e.com/pixel.gif">'))
@@ -282,6 +341,7 @@ NAMES = (
     url_canonical, url_dedupe, html_text, clean_summary, truncate, detect_lang, squeeze, normalize_title, title_grams, gram_df, exact_title_dups, near_dup_pairs,
     entities, entity_df, rare_entities, same_event_pairs, event_clusters, cross_source_clusters, cluster_members, relevance_filter, signal_counts, parse_published,
     tz_audit, relative_time, cap_per_source, dual_track, window_split, retention_topn, merge_upsert, merge_stats, merge_fuzzy, score_articles, article_reasons,
-    highlights, source_outcomes, store_counts, health, run_success_rate, ui_filter, unread_antijoin, image_pick,
+    highlights, source_outcomes, store_counts, health, run_success_rate, ui_filter, unread_antijoin, image_pick, article_list, event_list, facet_counts, lead_story,
+    manifest_diff, parse_dates,
 )
 QUERIES = {f.__name__: f for f in NAMES}

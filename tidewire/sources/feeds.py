@@ -114,13 +114,11 @@ def read_hits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def hit_rows(answers: DataFrame) -> DataFrame:
-    """The hits of both tracks of (source_id, variant, n_variants, content), as a bag: the first
-    answer serves the first track, the second one, or else the first again, the other. An answer
-    that is no JSON has none."""
-    doc = F.from_json(F.decode("content", "UTF-8"), HITS)
+    """The hits of both tracks of landed answers (see `answers`), as a bag: the first answer serves
+    the first track, the second one, or else the first again, the other. Broken answers have none."""
     twice = F.when(F.col("n_variants") == 1, 2).otherwise(1)
-    one = answers.where("variant < 2").select("source_id", F.explode(F.array_repeat(doc["hits"], twice)).alias("hs"))
-    return one.select("source_id", F.explode("hs").alias("h")).select("source_id", "h.*")
+    hits = answers.where("fault is null and variant < 2").withColumn("__again", F.explode(F.array_repeat(F.lit(0), twice))).drop("__again")
+    return hits.withColumnRenamed("object_id", "objectID")
 
 
 def hit_items(answers: DataFrame) -> DataFrame:
