@@ -58,3 +58,30 @@ def connected_components(edges: DataFrame, src: str, dst: str, scratch: Scratch)
         raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")
     roots = cur.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def update_components(labels: DataFrame, before: DataFrame, now: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, component) for the edges `now` (u, v), given `labels` (node, component) of the edges
+    `before`: what `connected_components` gives for all of them, at the cost of what has changed.
+
+    Components that have lost an edge, or a node with its edges, are built again from the edges that
+    they have kept. All others stand. Added edges are contracted to the labels of their ends, so only
+    one node for each component takes part in joining them, and a component's smallest node is the
+    smallest of the labels that meet. Null ends, loops and repeated edges are ignored, and an edge is
+    the same whichever end comes first.
+    """
+    u, v = F.col("u"), F.col("v")
+    tidy = lambda e: e.where(u.isNotNull() & v.isNotNull() & (u != v)).select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
+    before, now = scratch.table(tidy(before), "before"), scratch.table(tidy(now), "now")
+    removed, added = before.join(now, ["u", "v"], "left_anti"), scratch.table(now.join(before, ["u", "v"], "left_anti"), "added")
+    touched = scratch.table(removed.join(labels, removed["u"] == labels["node"]).select("component").distinct(), "touched")
+    again = labels.join(touched, "component", "left_semi").select(F.col("node").alias("u"))
+    kept = now.join(added, ["u", "v"], "left_anti").join(again, "u", "left_semi")
+    stands = labels.join(touched, "component", "left_anti").select("node", "component")
+    base = scratch.table(stands.unionByName(connected_components(kept, "u", "v", scratch)), "base")
+    of = lambda side: base.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
+    met = added.join(of("u"), "u", "left").join(of("v"), "v", "left").select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v"))
+    joined = connected_components(met, "u", "v", scratch).select(F.col("node").alias("component"), F.col("component").alias("__to"))
+    ends = added.select(F.col("u").alias("node")).unionByName(added.select(F.col("v").alias("node"))).distinct().join(base, "node", "left_anti")
+    told = base.unionByName(ends.withColumn("component", F.col("node")))
+    return scratch.table(told.join(joined, "component", "left").select("node", F.coalesce("__to", "component").alias("component")), "components")
