@@ -24,7 +24,7 @@ def landed_items(spark: SparkSession, path: str, files_a_trigger: int = 64) -> D
     how many a trigger takes is bounded, as each is held in memory while it is split. Files of more
     than MAX_BYTES have no items here, `oversized` names them."""
     fit = _landed(spark, path, files_a_trigger).where(F.col("length") <= C.MAX_BYTES)
-    return feeds.feed_items(fit.select("source_id", "content")).withColumn("landed_at", F.current_timestamp())
+    return feeds.feed_items(fit.select("source_id", "content"))
 
 
 def oversized(spark: SparkSession, path: str, files_a_trigger: int = 64, most: int = C.MAX_BYTES) -> DataFrame:
