@@ -7,15 +7,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewire import config as C
 
 
-def store_counts(articles: DataFrame, at: Column) -> DataFrame:
-    """One row of counts. last_24h and last_7d look at the publish time alone."""
+def count_columns(at: Column) -> list[Column]:
+    """The counts of a store, for `agg` or for an observation of its write. last_24h and last_7d look
+    at the publish time alone."""
     age = F.unix_micros(at) - F.unix_micros("published_at")
     n = lambda c: F.count(F.when(c, 1))
-    return articles.agg(
+    return [
         F.count("*").alias("total"), n(F.col("lang") == "zh").alias("zh"), n(F.col("lang") == "en").alias("en"), n(F.col("source_official")).alias("official"),
         n(F.col("published_at").isNotNull()).alias("with_published_at"), n(F.col("published_at").isNull()).alias("without_published_at"), n(F.col("cluster_id").isNotNull()).alias("clustered"),
         n(F.col("image_url").isNotNull()).alias("with_image"), n(age <= 86_400_000_000).alias("last_24h"), n(age <= 7 * 86_400_000_000).alias("last_7d"),
-    )
+    ]
+
+
+def store_counts(articles: DataFrame, at: Column) -> DataFrame:
+    """One row of counts."""
+    return articles.agg(*count_columns(at))
 
 
 def source_outcomes(articles: DataFrame, at: Column, keep: Column, days: int = C.WINDOW_DAYS) -> DataFrame:

@@ -9,7 +9,7 @@ import json
 import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidewire import config as C
 from tidewire.operators import cluster, intake, merge, report, score
@@ -97,20 +97,21 @@ def run(
     scratch, now, sources = Scratch(spark, "daily"), instant(at), C.select_sources(only)
     dim = spark.createDataFrame(sources, C.SOURCE_SCHEMA)
     items, profile = read_landed(spark, landed, sources, now)
-    batch = scratch.table(intake.normalise(items, dim, now), "batch")
-    offered = merge.split_by_window(batch.where("kept"), now, days).where("inside").select(*intake.FIELDS)
+    offers, counted = Observation("offers"), Observation("counts")  # counts that are taken while tables are written
+    inside = merge.split_by_window(intake.normalise(items, dim, now), now, days)
+    batch = scratch.table(inside.observe(offers, F.count(F.when(F.col("kept") & F.col("inside"), 1)).alias("rows")), "batch")
+    offered = batch.where("kept and inside").select(*intake.FIELDS)
     base = existing.drop(*merge.DERIVED)
     merged, targets = merge.merge(base, offered, now, days, capacity)
     kept = scratch.table(merge.sync_names(merged.drop("rows"), C.dim_source(spark)), "store")
     members = cluster.event_members(kept, cluster.event_links(kept, now))
-    scored = scratch.table(score.evaluate(kept, cluster.cross_source(members), now), "scored")
+    scored = scratch.table(score.evaluate(kept, cluster.cross_source(members), now).observe(counted, *report.count_columns(now)), "scored")
     articles = scored.select(*intake.FIELDS, "cluster_id", "cluster_size", "independent_sources", "score", "reasons")
     outcomes = scratch.table(intake.outcomes(dim, scratch.table(profile, "profile"), batch, targets, now, days), "outcomes")
     top = score.highlights(scored).join(scored.select("id", "source_name", "source_name_en", "url", "image_url"), "id").orderBy(F.col("score").desc(), "id")
     high = [r.asDict() for r in top.select(F.col("id").alias("article_id"), *HIGHLIGHT).collect()]  # five rows
     sums = targets.agg(F.count(F.when(F.col("priority") == 0, 1)).alias("new")).first()
-    rows, added = offered.count(), sums["new"]
-    counts = report.store_counts(articles, now).first().asDict()
+    rows, added, counts = offers.get["rows"], sums["new"], dict(counted.get)
     order = {s[0]: i for i, s in enumerate(sources)}
     per = sorted((r.asDict() for r in _epochs(outcomes, "latest_published_at").collect()), key=lambda r: order[r["id"]])  # a row for each registered source
     for r in per:
