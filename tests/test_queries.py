@@ -10,7 +10,7 @@ from tidewire.plans.oracle import SQL
 from tidewire.plans.queries import QUERIES
 
 DIR = "/root/testdata/sf0.001"
-FAST = [q for q in QUERIES if q in SQL and q not in ("event_clusters", "cross_source_clusters", "cluster_members", "score_articles", "article_reasons")]
+FAST = [q for q in QUERIES if q in SQL]
 
 
 @pytest.fixture(scope="module")

@@ -29,9 +29,11 @@ SOURCES = (
     ("arxiv", "arXiv cs.AI", "arXiv cs.AI", "en", "arxiv", "https://rss.arxiv.org/rss/cs.AI", 0.95, False, False, 20, None, True, False),
     ("venturebeat-ai", "VentureBeat AI", "VentureBeat AI", "en", "rss", "https://venturebeat.com/category/ai/feed/", 0.95, False, False, None, None, False, False),
 )
+# Kinds of announcements that are kept, and the tracks of the search.
 ANNOUNCE_TYPES = ("new", "replace")
 HN_TRACKS = {"query": "AI", "min_points_high": 80, "fresh_hours": 6, "min_points_fresh": 20, "page_size": 20}
 
+# Limits, thresholds and weights that decide the same results.
 WINDOW_DAYS, MAX_STORE_ITEMS, RETAIN_RUNS = 30, 4000, 60
 MAX_SUMMARY_CHARS, SUMMARY_MIN_CHARS = 240, 20
 STALE_SOURCE_DAYS, FUTURE_TOLERANCE_HOURS, MIN_PUBLISH_YEAR = 14, 2, 2000
@@ -54,6 +56,7 @@ BOILERPLATE = (
     "点击查看原文", "点击阅读原文", "阅读全文", "查看全文", "阅读原文", "点击阅读", "详情请见", "关注我们", "扫码关注", "分享到",
     "read more", "continue reading", "learn more", "view original", "the post ", "appeared first on", "originally published", "submitted by",
 )
+# Whole lines that only navigate.
 BOILERPLATE_PATTERNS = (
     r"^the post .{0,140}appeared first on .{1,60}$",
     r"^appeared first on .{1,60}$",

@@ -34,6 +34,7 @@ def table(rows: list[tuple[str, ...]]) -> list[str]:
 
 def render(report: dict, highlights: list[dict]) -> str:
     """Head, a row for each source, totals, sources in need of attention, repairs, highlights."""
+    # The sentences of the report, below.
     per = report["sources"]
     total = {k: sum(o[k] for o in per) for k in ("items_seen", "items_kept", "items_out_of_window", "items_with_image")}
     start = report["started_at"]

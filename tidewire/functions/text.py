@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType
 from tidewire import config as C
 from tidewire.functions.let import let
 
+# White space that is squeezed, ranges of Chinese characters, and what may end a phrase.
 SPACE = r"[ \t\r\n\x0B\f\u00a0\u3000]+"
 CJK = r"\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
 TRAILING = r"[\s>»＞|·・—\-–:：,，.。!！?？、]+$"

@@ -67,6 +67,7 @@ def outcomes(dim: DataFrame, profile: DataFrame, articles: DataFrame, targets: D
     stale = F.unix_micros("latest_published_at") < F.unix_micros(at) - C.STALE_SOURCE_DAYS * 86_400_000_000
     failed, warned = F.col("error").isNotNull() | F.col("answered").isNull(), F.col("fault").isNotNull() | (F.col("usable") == 0)
     status = F.when(failed, "failed").when(warned, "parse_warning").when(stale, "stale").when(F.col("new") == 0, "no_new").otherwise("ok")
+    # What the report says of a source.
     note = (
         F.when(F.col("status") == "failed", F.coalesce("error", F.lit("missing_fixture：没有该源的响应文件")))
         .when(F.col("fault").isNotNull(), F.concat(F.lit("XML 非法但已容错解析："), "fault"))

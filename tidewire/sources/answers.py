@@ -145,8 +145,8 @@ class Track:
         return f"{base}?{urlencode({'query': query, 'tags': 'story', 'numericFilters': numbers, 'hitsPerPage': str(page)})}"
 
 
-#: What has proved itself in the window, and what is on the rise.
-TRACKS = (Track("high", 80, 24 * C.WINDOW_DAYS), Track("fresh", 20, 6))
+#: What has proved itself in the window, and what is on the rise.
+TRACKS = (Track("high", C.HN_TRACKS["min_points_high"], 24 * C.WINDOW_DAYS), Track("fresh", C.HN_TRACKS["min_points_fresh"], C.HN_TRACKS["fresh_hours"]))
 
 
 def on_tracks(spark: SparkSession, path: str, source: str, at_seconds: int, tracks: tuple[Track, ...] = TRACKS) -> DataFrame:
