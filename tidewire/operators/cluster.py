@@ -148,7 +148,8 @@ def near_duplicate_titles(titles: DataFrame) -> DataFrame:
     words = [F.bit_or(F.when(F.pmod(bit, F.lit(WORDS)) == k, flag).otherwise(F.lit(0).cast("long"))).over(w).alias(f"w{k}") for k in range(WORDS)]
     # one more than the ratio allows, so that rounding cannot part neighbours
     band = F.floor(F.log(F.col("l").cast("double")) / -math.log(0.999 * C.DUP_LENGTH_RATIO))
-    counts = rows.groupBy("g").agg(F.count("*").alias("df"))
+    # written before it is joined, so that the join of a gram that most titles have can be split
+    counts = scratch.table(rows.groupBy("g").agg(F.count("*").alias("df")), "frequencies")
     placed = rows.join(counts, "g").select("id", "l", "n", "g", band.alias("band"), F.row_number().over(w.orderBy("df", "g")).alias("place"), *words)
     placed = scratch.table(placed, "placed")
     x = placed.where(F.col("place") <= F.col("n") - least(F.col("n")) + 1).drop("place")

@@ -37,7 +37,8 @@ def _near_edges(heads: DataFrame) -> DataFrame:
     than b. A set that shares nine tenths of its grams has one of its rarest tenth in common with
     the other, so only those are looked up."""
     grams = heads.select("key", "norm", F.explode(blocking_grams(F.col("norm"), 3)).alias("g"))
-    df = grams.groupBy("g").agg(F.count("*").alias("df"))
+    # written before it is joined, so that the join of a gram that most titles have can be split
+    df = Scratch(heads.sparkSession, "grams").table(grams.groupBy("g").agg(F.count("*").alias("df")), "frequencies")
     w = W.partitionBy("norm")
     placed = grams.join(df, "g").withColumn("place", F.row_number().over(w.orderBy("df", "g"))).withColumn("n", F.count("*").over(w))
     most = F.col("n") - F.ceil(F.col("n") * C.DUP_CONTAINMENT - 1e-9) + 1
