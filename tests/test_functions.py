@@ -69,3 +69,25 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in got.collect()}
     assert got == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8} | {k: 100 for k in range(100, 160)}
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b", Scratch(spark, "t")).count() == 0
+
+
+@pytest.mark.parametrize("raw, text_, old", [
+    ("<p>a&amp;&amp</p><b>c</b>", "a&&amp c", "a&& c"), ("&lt;b&gt;x &copy;&#39;&#x41;&nbsp;&quo", "x ©'A &quo", "x ©'A &quo"), ("a &ampx; &amp;amp b", "a &ampx; &amp b", "a &x; & b"),
+])
+def test_references_without_a_semicolon(spark, raw, text_, old):
+    assert one(spark, text.html_to_text(F.col("t"), whole=True), t=raw) == text_
+    assert one(spark, text.html_to_text(F.col("t")), t=raw) == old
+
+
+def test_queries_on_pages_with_cut_references_equal_their_sql(spark, tmp_path):
+    import duckdb
+
+    from tidewire.plans.oracle import SQL
+    from tidewire.plans.queries import QUERIES
+
+    page = "<html><title>Words &amp;&amp</title><h1>Some words that go on for long enough &amp</h1><p>and on &amp;amp</p></html>"
+    spark.createDataFrame([(1, page), (2, None), (3, "&am <b>x</b> &quot;&copy")], "page_id long, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("html_text",):
+        assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect())) == sorted(duck.sql(SQL[name]).fetchall())
