@@ -72,3 +72,15 @@ def test_near_duplicates_share_frequent_grams(spark):
     want = {(rows[a], rows[b]): len(g[a] & g[b]) / min(len(g[a]), len(g[b])) for a in rows for b in rows if rows[a] < rows[b] and near(a, b)}
     got = cluster.near_duplicate_titles(spark.createDataFrame([(i, t) for t, i in rows.items()], "id long, norm string")).collect()
     assert {(r["a"], r["b"]): r["containment"] for r in got} == want and len(got) == len(want)
+
+
+def test_near_edges_do_not_shuffle_titles(spark):
+    """Titles that share all their grams: no title goes along with its grams."""
+    rng = random.Random(8)
+    grams = ["the", "tion", "and", "ing", "ent", "her", "for", "tha", "nth", "int"]
+    titles = ["".join(rng.choice(grams) for _ in range(90)) for _ in range(60)]
+    titles += [t + "x" for t in titles[:20]]
+    heads = spark.createDataFrame([((-i,), t) for i, t in enumerate(titles)], "key struct<o: long>, norm string")
+    edges = merge._near_edges(heads)
+    assert {(-60 - i, -i) for i in range(20)} <= {(r["a"]["o"], r["b"]["o"]) for r in edges.collect()}
+    assert "norm" not in edges._jdf.queryExecution().executedPlan().toString()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewire import config as C
-from tidewire.functions.grams import blocking_grams, containment, length_ratio_ok
+from tidewire.operators.cluster import near_duplicate_titles
 from tidewire.storage import Scratch
 
 MAX_ROUNDS = 100
@@ -34,19 +34,13 @@ def _key(stored: bool) -> Column:
 
 def _near_edges(heads: DataFrame) -> DataFrame:
     """(a, b) of rows (key, norm), one for each title, whose titles are near duplicates, a earlier
-    than b. A set that shares nine tenths of its grams has one of its rarest tenth in common with
-    the other, so only those are looked up."""
-    grams = heads.select("key", "norm", F.explode(blocking_grams(F.col("norm"), 3)).alias("g"))
-    # written before it is joined, so that the join of a gram that most titles have can be split
-    df = Scratch(heads.sparkSession, "grams").table(grams.groupBy("g").agg(F.count("*").alias("df")), "frequencies")
-    w = W.partitionBy("norm")
-    placed = grams.join(df, "g").withColumn("place", F.row_number().over(w.orderBy("df", "g"))).withColumn("n", F.count("*").over(w))
-    most = F.col("n") - F.ceil(F.col("n") * C.DUP_CONTAINMENT - 1e-9) + 1
-    x = placed.where(F.col("place") <= most).select("g", F.col("key").alias("kx"), F.col("norm").alias("na"), F.col("n").alias("nx"))
-    y = placed.select("g", F.col("key").alias("ky"), F.col("norm").alias("nb"), F.col("n").alias("ny"))
-    fit = (F.col("nx") <= F.col("ny")) & (F.col("kx") != F.col("ky")) & length_ratio_ok(F.col("na"), F.col("nb"))
-    pairs = x.join(y, "g").where(fit).select(F.least("kx", "ky").alias("a"), F.greatest("kx", "ky").alias("b"), "na", "nb").dropDuplicates(["a", "b"])
-    return pairs.where(containment(blocking_grams(F.col("na"), 3), blocking_grams(F.col("nb"), 3)) >= C.DUP_CONTAINMENT).select("a", "b")
+    than b. The titles are numbered, so that only numbers and bitmaps are shuffled by gram."""
+    scratch = Scratch(heads.sparkSession, "near")
+    rows = scratch.table(heads.withColumn("id", F.monotonically_increasing_id()), "numbered")
+    pairs = scratch.table(near_duplicate_titles(rows.select("id", "norm")).select("a", "b"), "pairs")
+    side = lambda c: rows.select(F.col("id").alias(c), F.col("key").alias(f"k{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
 
 
 def match(existing: DataFrame, incoming: DataFrame, fuzzy: bool = True) -> DataFrame:
