@@ -148,6 +148,30 @@ def test_embeddings(spark):
     assert all(got[k] == (0, k, True) for k in (300, 301, 302, 303, 304)) and got[None][0] == 0
 
 
+def test_embedding_leaves_are_shuffled_by_group(spark, monkeypatch):
+    """Forty leaves, of which each pair is compared: a leaf is shuffled about once for each group that
+    it meets, not once for a pair, and the links are those of brute force."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(320, 12)).astype(np.float32)
+    v[1::2] = v[::2] + 0.2 * rng.normal(size=(160, 12)).astype(np.float32)
+    sent = []
+    dealt = embedding_dedup._dealt
+
+    def counted(pairs, leaves, held, scratch):
+        out = dealt(pairs, leaves, held, scratch)
+        sent.append((pairs.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(embedding_dedup, "_dealt", counted)
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(rows, leaf=8).collect()}
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    assert got == dict(enumerate(((u @ u.T >= 0.95).sum(axis=1) - 1).tolist())) and sum(got.values()) > 50
+    assert len(sent) == 1 and sent[0][1] < sent[0][0] / 2
+
+
 def test_embeddings_that_repeat_a_key(spark):
     rows = [(3, [1.0, 0.0]), (3, [0.0, 1.0]), (5, [1.0, 0.01]), (4, [1.0, 0.02]), (7, [-1.0, 0.0]), (7, [-1.0, 0.0])]
     want = [(3, 0, 3, True), (3, 2, 3, True), (4, 2, 3, False), (5, 2, 3, False), (7, 1, 7, True), (7, 1, 7, True)]

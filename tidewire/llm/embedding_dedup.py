@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from tidewire.llm.common import read, session
 from tidewire.operators.graph import connected_components
@@ -22,6 +23,8 @@ BOX = 8
 LEAF = 2048
 FAN = 16
 BLOCK = 256
+#: Leaves that a task holds while others pass by, and bytes that they may take.
+HELD, HELD_BYTES = 16, 1 << 26
 #: Vectors that the principal dimensions are fitted on, at most. They order and prune; which
 #: vectors link does not depend on them.
 FIT = 8192
@@ -102,6 +105,26 @@ def join_leaves(a: dict, b: dict, same: bool, basis: np.ndarray, threshold: floa
     return na, nb, edges
 
 
+def _dealt(pairs: DataFrame, leaves: DataFrame, held: int, scratch: Scratch) -> DataFrame:
+    """The leaves of the pairs (a, b), once for each cell (group, part) that they take part in, in order.
+
+    A group of `held` leaves is held (`probing` 0) by the tasks of its parts, and each leaf that is
+    paired with some of them (`with`) passes by once, in one part. So a leaf is shuffled once for a
+    group, not once for a pair.
+    """
+    wanted = pairs.groupBy(F.floor(F.col("a") / held).alias("group"), F.col("b").alias("leaf")).agg(F.collect_set("a").alias("with"))
+    wanted = scratch.table(wanted, "wanted")
+    groups = scratch.table(wanted.groupBy("group").agg(F.ceil(F.count("*") / (2 * held)).cast("int").alias("parts")), "cells")
+    body = leaves.select("leaf", "id", "m", "v")
+    own = body.withColumn("group", F.floor(F.col("leaf") / held)).join(groups, "group").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    own = own.withColumn("probing", F.lit(0)).withColumn("with", F.lit(None).cast("array<long>"))
+    other = body.join(wanted, "leaf").join(groups, "group").withColumn("part", F.pmod(F.xxhash64("leaf"), "parts").cast("int")).withColumn("probing", F.lit(1))
+    columns = ["group", "part", "probing", "leaf", "with", "id", "m", "v"]
+    cells = groups.agg(F.sum("parts")).first()[0] or 1
+    both = own.select(*columns).unionByName(other.select(*columns))
+    return both.repartition(int(cells), "group", "part").sortWithinPartitions("group", "part", "probing")
+
+
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, leaf: int = LEAF) -> DataFrame:
     """key, n_links, component_id, kept for each row of `vectors`.
 
@@ -122,6 +145,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     """
     spark, scratch = session(vectors), Scratch(session(vectors), "ego")
     importable(spark)
+    raw = np.float32 if vectors.schema[vector].dataType == ArrayType(FloatType()) else np.float64  # as they are shuffled
     v = F.col(vector).cast("array<double>")
     rows = scratch.table(vectors.select(F.col(key).cast("long").alias("id"), F.when(usable(v), v).alias("v")), "rows")
     good = rows.where("v is not null and id is not null")
@@ -162,10 +186,12 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
 
     def build(t: pa.Table) -> pa.Table:
         t = t.sort_by("node")
-        x = unit(t["v"].to_pylist(), dim)
-        p = x @ basis[:, :box]
+        values = np.zeros((t.num_rows, dim), raw)
+        for i, one in enumerate(t["v"].to_pylist()):
+            values[i, : len(one)] = one
+        p = unit(values, dim) @ basis[:, :box]
         cols = {"leaf": t["leaf"][:1], "id": pa.array([t["node"].to_pylist()], pa.list_(pa.int64())), "m": pa.array([t["m"].to_pylist()], pa.list_(pa.int64()))}
-        cols["v"] = pa.array([x.tobytes()])
+        cols["v"] = pa.array([values.tobytes()])
         cols |= {f"lo{k}": pa.array([p[:, k].min()]) for k in range(box)} | {f"hi{k}": pa.array([p[:, k].max()]) for k in range(box)}
         return pa.table(cols)
 
@@ -192,25 +218,28 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
         pairs = scratch.table(down.select(F.col("x.i").alias("a"), F.col("y.i").alias("b")), "pairs")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
         for b in batches:
             for r in range(b.num_rows):
                 get = lambda c: b.column(b.schema.get_field_index(c))[r].as_py()  # noqa: B023, E731
-                same = get("a") == get("b")
-                side = lambda s: {"id": np.array(get(f"id{s}")), "m": np.array(get(f"m{s}")), "v": np.frombuffer(get(f"v{s}")).reshape(-1, dim)}  # noqa: B023, E731
-                x = side("")
-                y = x if same else side("2")
-                na, nb, edges = join_leaves(x, y, same, basis, threshold)
-                out = [(int(i), None, int(c)) for i, c in zip(x["id"], na) if c] + [(int(i), None, int(c)) for i, c in zip(y["id"], nb) if c]
-                out += [(u, w, 0) for u, w in edges]
-                cols = list(zip(*out)) if out else [()] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["u", "w", "n"])
-
-    body = leaves.select("leaf", "id", "m", "v")
-    other = body.select(F.col("leaf").alias("leaf2"), F.col("id").alias("id2"), F.col("m").alias("m2"), F.col("v").alias("v2"))
-    tasks = max(1, min(4 * n // leaf, 2000))
-    work = pairs.repartition(tasks, "a", "b").join(body.hint("shuffle_hash"), F.col("a") == F.col("leaf")).join(other, F.col("b") == F.col("leaf2"))
-    work = work.select("a", "b", "id", "m", "v", *[F.when(F.col("a") != F.col("b"), F.col(c)).alias(c) for c in ("id2", "m2", "v2")])
-    found = scratch.table(work.mapInArrow(compare, "u long, w long, n long"), "links")
+                side = lambda: {"id": np.array(get("id")), "m": np.array(get("m")), "v": unit(np.frombuffer(get("v"), raw).reshape(-1, dim), dim)}  # noqa: B023, E731
+                if key != (get("group"), get("part")):
+                    key, held = (get("group"), get("part")), {}
+                if not get("probing"):
+                    held[get("leaf")] = side()
+                    continue
+                own = None
+                for a in get("with"):
+                    same = a == get("leaf")
+                    own = own if same or own else side()
+                    x, y = held[a], held[a] if same else own
+                    na, nb, edges = join_leaves(x, y, same, basis, threshold)
+                    out = [(int(i), None, int(c)) for i, c in zip(x["id"], na) if c] + [(int(i), None, int(c)) for i, c in zip(y["id"], nb) if c]
+                    out += [(u, w, 0) for u, w in edges]
+                    cols = list(zip(*out)) if out else [()] * 3
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["u", "w", "n"])
+
+    found = scratch.table(_dealt(pairs, leaves, max(1, min(HELD, -(-n // (8 * leaf)), HELD_BYTES // (8 * leaf * dim))), scratch).mapInArrow(compare, "u long, w long, n long"), "links")
     counts = found.where("n > 0").groupBy("u").agg(F.sum("n").alias("links"))
     component = connected_components(found.where("w is not null"), "u", "w", scratch)
     known = numbered.select("v", "id", "m", "node").join(counts.withColumnRenamed("u", "node"), "node", "left").join(component, "node", "left")
