@@ -136,3 +136,12 @@ def test_components_of_a_star_are_split(spark):
     finally:
         for k in small:
             spark.conf.unset(f"spark.sql.{k}")
+
+
+def test_long_sets_over_few_members_are_dealt_few_times(spark, monkeypatch):
+    """A set goes to each strip that it fits, however many members it has and others share."""
+    monkeypatch.setattr(similar, "LIST", 50)
+    rng = random.Random(2)
+    rows = [(f"{i:03d}", rng.sample(range(600), rng.randrange(150, 400))) for i in range(400)]
+    made = similar.rare_first(spark.createDataFrame(rows, "id string, s array<long>"), Scratch(spark, "test"))
+    assert similar._dealt(made, 0.45).count() <= 400 * (8 + 4)
