@@ -145,3 +145,36 @@ def test_long_sets_over_few_members_are_dealt_few_times(spark, monkeypatch):
     rows = [(f"{i:03d}", rng.sample(range(600), rng.randrange(150, 400))) for i in range(400)]
     made = similar.rare_first(spark.createDataFrame(rows, "id string, s array<long>"), Scratch(spark, "test"))
     assert similar._dealt(made, 0.45).count() <= 400 * (8 + 4)
+
+
+def test_a_set_is_written_once(spark, monkeypatch):
+    """Blocks hold each set once, however many they are, and meet without a shuffle."""
+    monkeypatch.setattr(similar, "LIST", 50)
+    rng = random.Random(2)
+    rows = [(f"{i:03d}", rng.sample(range(600), rng.randrange(150, 400))) for i in range(400)]
+    scratch = Scratch(spark, "test")
+    made = similar.rare_first(spark.createDataFrame(rows, "id string, s array<long>"), scratch)
+    blocks = scratch.table(similar._dealt(made, 0.45), "blocks")
+    inside = [i for r in blocks.collect() for i in similar._read(bytes(r["rows"]))["id"].to_pylist()]
+    assert sorted(inside) == [i for i, _ in rows] and blocks.count() == 8
+    cells = similar._cells(blocks, 0.45)
+    assert "Exchange" not in cells._jdf.queryExecution().executedPlan().toString()
+    pairs = [tuple(sorted((r["block"], r["y_block"]))) for r in cells.collect()]
+    assert len(pairs) == len({*pairs}) and {(k, k) for k in range(8)} <= {*pairs}
+
+
+def test_families_that_hubs_connect(spark, monkeypatch):
+    """Sets of a family are compared with those of others only; what is connected stays the same."""
+    monkeypatch.setattr(similar, "LIST", 40)
+    monkeypatch.setattr(similar, "FEW", 20)
+    monkeypatch.setattr(similar, "HUBS", 12)
+    rng = random.Random(4)
+    sets = random_sets(rng, 150) | {f"{900 + i}": sorted({*range(500, 560), 600 + i, 700 + i // 2}) for i in range(90)}
+    near = lambda a, b: len({*a} & {*b}) / len({*a} | {*b})
+    want = {(a, b) for a in sets for b in sets if a < b and near(sets[a], sets[b]) >= 0.45}
+    scratch = Scratch(spark, "test")
+    made = similar.rare_first(spark.createDataFrame(list(sets.items()), "id string, s array<long>"), scratch)
+    labelled, links = similar._by_hubs(made, 0.45, scratch)
+    assert labelled.where("family >= 0").count() >= 90 and labelled.count() == len(sets)
+    links = {(r["a"], r["b"]) for r in similar.spanning_links(made, 0.45, scratch).collect()}
+    assert links <= want and classes(links) == classes(want)
