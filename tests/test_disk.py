@@ -1,10 +1,12 @@
 """What is shuffled and written on the way, as disk is what large tables run out of."""
 import re
+import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from tidewire.operators import cluster, views
-from tidewire.storage import Scratch
+from tidewire.storage import CLEANUP, Scratch
 
 DIR = "/root/testdata/sf0.001"
 
@@ -47,3 +49,16 @@ def test_titles_are_written_once(spark, monkeypatch):
     assert {(r["a"], r["b"]) for r in links.collect()} == {("a", "b")}
     assert sum("norm" in columns for _, columns in seen) == 1
     assert not any("title" in columns for _, columns in seen)
+
+
+def test_shuffles_of_a_written_table_go(spark):
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {f for d in folders for f in Path(d).rglob("shuffle_*.data")}
+    before = files()
+    counts = spark.range(100_000).groupBy((F.col("id") % 5000).alias("k")).count()
+    table = Scratch(spark, "t").table(counts, "counts")
+    assert table.count() == 5000 and spark.conf.get(CLEANUP) == "false"
+    until = time.time() + 10
+    while left := [f for f in files() - before if f.stat().st_size > 10_000]:
+        assert time.time() < until, left
+        time.sleep(0.1)
