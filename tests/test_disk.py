@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from tidewire.operators import cluster, views
+from tidewire.operators import cluster, score, views
 from tidewire.storage import CLEANUP, Scratch
 
 DIR = "/root/testdata/sf0.001"
@@ -62,3 +62,46 @@ def test_shuffles_of_a_written_table_go(spark):
     while left := [f for f in files() - before if f.stat().st_size > 10_000]:
         assert time.time() < until, left
         time.sleep(0.1)
+
+
+def test_events_of_no_document_are_not_shuffled(spark, tmp_path):
+    """Ten times the events that there are documents: those beyond the documents' numbers stay out."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    most = docs.agg(F.max("doc_id")).first()[0]
+    events = spark.range(-5, 10 * most).select(F.col("id").alias("event_id"), F.lit("2024-01-02 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit(7.0).alias("value"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = views.articles(spark, str(tmp_path)).select("id", "heat", "at")
+        assert found.where("heat = 7").count() == docs.count()
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan()
+        text = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+        assert plan.toString().count("event_id") and re.search(r"event_id#\d+L? >= Subquery", text) and re.search(r"event_id#\d+L? <= Subquery", text)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_scores_do_not_shuffle_texts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        at = F.lit("2024-01-31 00:00:00").cast("timestamp")
+        rows = [("a", "Title", "Text", "s", 1.0, False, 3)]
+        articles = spark.createDataFrame(rows, "id string, title string, summary string, source_id string, source_weight double, source_official boolean, heat int").withColumn("at", at)
+        members = spark.createDataFrame([("a", "a", 2, 2)], "id string, cluster_id string, cluster_size long, independent_sources long")
+        scored = score.evaluate(articles, members, at)
+        assert not {"title", "summary"} & exchanged(scored.select("id", "score", "reasons"))
+        assert {"title", "summary"} <= exchanged(scored.select("id", "title", "summary"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_only_the_last_table_stays(spark):
+    scratch = Scratch(spark, "t")
+    a = scratch.table(spark.range(10), "a")
+    b = scratch.table(a.where("id > 3"), "b")
+    last = scratch.last(a.join(b, "id"), "last")
+    assert last.count() == 6 and [p.name for p in Path(scratch.path.removeprefix("file:")).iterdir()] == ["003-last"]
