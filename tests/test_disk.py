@@ -6,6 +6,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tidewire.operators import cluster, score, views
+from tidewire.plans import queries
 from tidewire.storage import CLEANUP, Scratch
 
 DIR = "/root/testdata/sf0.001"
@@ -99,6 +100,14 @@ def test_scores_do_not_shuffle_texts(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+def test_scored_articles_are_written_as_far_as_they_are_read(spark, monkeypatch):
+    seen = written(monkeypatch)
+    queries.facet_counts(spark, DIR)
+    queries.lead_story(spark, DIR)
+    kept = [set(columns) for name, columns in seen if name == "scored"]
+    assert len(kept) == 2 and not kept[0] & {"id", "title", "summary"} and "summary" not in kept[1]
+
+
 def test_only_the_last_table_stays(spark):
     scratch = Scratch(spark, "t")
     a = scratch.table(spark.range(10), "a")
