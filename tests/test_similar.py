@@ -178,3 +178,20 @@ def test_families_that_hubs_connect(spark, monkeypatch):
     assert labelled.where("family >= 0").count() >= 90 and labelled.count() == len(sets)
     links = {(r["a"], r["b"]) for r in similar.spanning_links(made, 0.45, scratch).collect()}
     assert links <= want and classes(links) == classes(want)
+
+
+def test_pairs_are_not_shuffled(spark, monkeypatch):
+    """Titles that many articles share, in rows of several articles, near copies of them, pairs by
+    names, and an id that two titles have."""
+    monkeypatch.setattr(cluster, "COPIES", 4)
+    monkeypatch.setattr(similar, "SENT", 50)
+    titles = ["Acme launches an engine for the world"] * 23 + [f"Acme launches an engine for the world {k}" for k in range(9) for _ in range(k)]
+    titles += ["Quark Leptonix x", "zzzz Leptonix wwwwwwwwww vvvvvvvvvv Quark yyyyyyyyy", "Other words", "Other words"]
+    a, want = articles(spark, titles), brute(titles)
+    pairs = cluster.same_event_pairs(a, now())
+    assert "Exchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+    got = [(r["a"], r["b"]) for r in pairs.collect()]
+    assert set(got) == want and len(got) == len(want)
+    twice = a.unionByName(a.where("id = '000000'").withColumn("title", F.lit(titles[40])).withColumn("norm", F.lit("acmelaunchesanenginefortheworld7")))
+    got = [(r["a"], r["b"]) for r in cluster.same_event_pairs(twice, now()).collect()]
+    assert set(got) == want and len(got) == len(want)
