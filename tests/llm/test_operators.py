@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidewire.llm import embedding_dedup, exact_dedup, license_scan, mixing, ngram_join, packing, sharding, toxicity, url_filter, warc_revisits
+from tidewire.storage import Scratch
 
 LONG = "word number one two three four five six seven " * 4000
 ROWS = [
@@ -392,6 +393,19 @@ def test_ngrams_in_pieces(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(df).collect()} == label
 
 
+def test_ngrams_with_a_frequent_line(spark, monkeypatch):
+    """A line that all documents have makes no group of all of them, and near copies are still met."""
+    rng, line = np.random.default_rng(11), " ".join(f"w{k}" for k in range(20))
+    texts = [" ".join(f"{i}x{k}" for k in rng.permutation(40)) for i in range(120)]
+    texts += [" ".join([*t.split()[:-1], "other"]) for t in texts[:5]]
+    groups, table = [], Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda self, df, name="t": [out := table(self, df, name), groups.append(out.groupBy("hub").count().agg(F.max("count")).first()[0]) if name == "groups" else 0][0])
+    df = spark.createDataFrame([(i, f"{line}\n{t}") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(df).collect()}
+    assert got == {i: i if i < 120 else i - 120 for i in range(125)}
+    assert len(groups) == 1 and groups[0] <= 4
+
+
 @pytest.mark.parametrize("short, room", [(0, 4), (1000, 1), (0, 1)])
 @pytest.mark.parametrize("percent", [10, 40, 60, 100])
 def test_candidates_of_all_lengths(monkeypatch, short, room, percent):

@@ -19,9 +19,14 @@ FAN = 8
 #: Rows of one hub that are compared in one task; a larger group is cut into pieces whose pairs are
 #: compared apart.
 PIECE = 8192
-#: Share of its first tokens that a row has in common with a hub, at least, to be compared with it
-#: before all others. Hubs only decide what is compared first, not whether.
-FAMILY = 0.5
+#: Smallest tokens of a row by which it finds hubs, and the share of them that it has in common with
+#: a hub, at least, to be compared with it before all others. Hubs only decide what is compared
+#: first, not whether.
+SKETCH, FAMILY = 16, 0.5
+#: Documents, about, in which tokens are counted to tell the frequent ones, how many of them have a
+#: frequent token at least, and how many tokens are told. This settles the order of tokens, by which
+#: all tokens of all documents are met, and no result.
+COUNTED, FREQUENT, TOLD = 1 << 14, 3, 1 << 17
 #: Groups up to this length need no tree.
 SHORT = 24
 #: Groups above this length are searched twice.
@@ -71,6 +76,15 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def rare_first(h: np.ndarray, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The places of a sorted set's tokens in a common order: those that are not in the sorted array
+    `frequent` first, then by their ranks there; ties stay in the order of the tokens."""
+    if not len(frequent):
+        return np.arange(len(h))
+    at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+    return np.argsort(np.where(frequent[at] == h, ranks[at], 0), kind="stable")
+
+
 def bitmap(h: np.ndarray, room: int) -> bytes:
     """A bit for each token, in `room` to 2 * room bits a token and 64 at least."""
     bits = 64
@@ -262,18 +276,39 @@ def _table(batches: Iterator[pa.RecordBatch], most: int, run: list[str]) -> Iter
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _sets(k: int, percent: int):
+def _tokens(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts in (t for b in batches for t in by_bytes(b.column(0), SLICE)):
+            found = np.concatenate([np.empty(0, np.uint64), *sets_of(texts, k)])
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["token"])
+        trim()
+
+    return run
+
+
+def _frequent(texts: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted tokens, their ranks from 1 by the logarithm of their frequency): those that many of
+    about COUNTED documents have, TOLD at most."""
+    some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, texts.count() // COUNTED))) == 0)
+    counts = some.select("text").mapInArrow(_tokens(k), "token long").groupBy("token").agg(F.count("*").alias("df"))
+    found = counts.where(F.col("df") >= FREQUENT).orderBy(F.col("df").desc(), "token").limit(TOLD).toArrow()
+    tokens = found["token"].to_numpy().view(np.uint64)
+    order = np.argsort(tokens)
+    return tokens[order], np.log2(found["df"].to_numpy()).astype(np.int8)[order]
+
+
+def _sets(k: int, percent: int, frequent: np.ndarray, ranks: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in batches:
             out: list[tuple] = []
             for key, h in zip(b.column(0).to_pylist(), sets_of(b.column(1), k)):
-                p = prefix_length(len(h), percent)
-                out.append((key, len(h), xxhash.xxh3_128_digest(h.tobytes()), h[:p].copy().view(np.int64), bitmap(h, NARROW), bitmap(h, WIDE)))
-            cols = list(zip(*out)) if out else [()] * 6
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "n", "set", "prefix", "narrow", "wide"])
+                first = h[rare_first(h, frequent, ranks)[: prefix_length(len(h), percent)]].view(np.int64)
+                out.append((key, len(h), xxhash.xxh3_128_digest(h.tobytes()), first, h[:SKETCH].copy().view(np.int64), bitmap(h, NARROW), bitmap(h, WIDE)))
+            cols = list(zip(*out)) if out else [()] * 7
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "n", "set", "prefix", "sketch", "narrow", "wide"])
         trim()
 
     return run
@@ -442,11 +477,14 @@ def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent:
     smallest key that links reach. The result is exact.
 
     1. A text becomes the set of its shingles' hashes. Equal sets are one from here on.
-    2. Similar sets share one of their smallest hashes (prefix filter), so posting lists over these
-       hold every link. Lists are counted with a map-side combine, and those of one row are dropped.
-    3. A list's first and last rows are hubs. A row is compared by its whole set with the two hubs
-       that it shares most lists with, so a family of N near copies is joined in about 2 N
-       comparisons, whatever its size.
+    2. Similar sets share one of their first hashes in any common order (prefix filter), so posting
+       lists over these hold every link. Hashes that many of a sample of documents have come last in
+       that order, so a line that very many documents have makes no list of all of them; where the
+       sample tells nothing, the order is that of the hashes. Lists are counted with a map-side
+       combine, and those of one row are dropped.
+    3. The first and last rows that have one of a row's smallest hashes are hubs. A row is compared
+       by its whole set with the two hubs that it shares most of these with, so a family of N near
+       copies is joined in about 2 N comparisons, whatever its size.
     4. All lists with one first row are a group, in which each row is once. Groups that still hold
        several components are searched by signature trees, whose nodes hold OR-combined bitmaps of
        the tokens and ranges of sizes; a dual traversal drops node pairs by the largest overlap that
@@ -468,26 +506,32 @@ def row_components(docs: DataFrame, key: str, text: str, shingle: int, percent:
     spark, scratch = session(docs), Scratch(session(docs), "ngram")
     importable(spark)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).cast("binary").alias("text"))
-    sets = scratch.table(texts.mapInArrow(_sets(shingle, percent), "doc_id long, n long, set binary, prefix array<long>, narrow binary, wide binary"), "sets")
+    sets = scratch.table(texts.mapInArrow(_sets(shingle, percent, *_frequent(texts, shingle)), "doc_id long, n long, set binary, prefix array<long>, sketch array<long>, narrow binary, wide binary"), "sets")
     rows = scratch.table(sets.select("doc_id", "n", "set"), "rows")
     real = rows.where("n > 0 and doc_id is not null")
     classes = scratch.table(real.groupBy("set").agg(F.min("doc_id").alias("rep")), "classes")
     reps = sets.where("n > 0 and doc_id is not null").join(classes.select(F.col("rep").alias("doc_id"), "set").hint("merge"), ["doc_id", "set"], "left_semi")
     reps = scratch.table(reps.drop("set"), "representatives")
     scratch.drop(sets)
-    tokens = reps.select("doc_id", "n", F.size("prefix").alias("p"), F.explode("prefix").alias("token"))
-    lists = tokens.groupBy("token").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("rows > 1")
-    lists = scratch.table(lists.select("token", "first", "last"), "lists")
-    posting = scratch.table(tokens.join(lists.hint("merge"), "token").select("doc_id", "n", "first", "last", "p"), "postings")
-    scratch.drop(lists)
 
-    hubs = posting.select("doc_id", "p", F.posexplode(F.array("first", "last")).alias("kind", "hub")).where("hub <> doc_id")
+    def listed(column: str) -> tuple[DataFrame, DataFrame]:
+        """The tokens of a column, and the lists of several rows that they make."""
+        tokens = reps.select("doc_id", "n", F.size(column).alias("p"), F.explode(column).alias("token"))
+        lists = tokens.groupBy("token").agg(F.count("*").alias("rows"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("rows > 1")
+        return tokens, scratch.table(lists.select("token", "first", "last"), "lists")
+
+    tokens, lists = listed("sketch")
+    met = tokens.join(lists.hint("merge"), "token").select("doc_id", "p", "first", "last")
+    hubs = met.select("doc_id", "p", F.posexplode(F.array("first", "last")).alias("kind", "hub")).where("hub <> doc_id")
     shared = hubs.groupBy("doc_id", "hub", "kind", "p").agg(F.count("*").alias("shared")).where(F.col("shared") >= FAMILY * F.col("p"))
     best = shared.groupBy("doc_id", "kind").agg(F.max_by("hub", F.struct("shared", F.negative("hub"))).alias("a"))
     near = scratch.table(best.select("a", F.col("doc_id").alias("b")).distinct(), "near-hubs")
+    scratch.drop(lists)
     links = scratch.table(_verified(near, texts, shingle, percent), "links")
-    group = scratch.table(posting.select(F.col("first").alias("hub"), "doc_id", "n").distinct(), "groups")
-    scratch.drop(posting)
+    tokens, lists = listed("prefix")
+    group = tokens.join(lists.hint("merge"), "token").select(F.col("first").alias("hub"), "doc_id", "n").distinct()
+    group = scratch.table(group, "groups")
+    scratch.drop(lists)
     bits = reps.select("doc_id", "narrow", "wide")
 
     def judged(links: DataFrame) -> tuple[DataFrame, DataFrame]:
