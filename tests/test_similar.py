@@ -2,6 +2,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +197,26 @@ def test_pairs_are_not_shuffled(spark, monkeypatch):
     twice = a.unionByName(a.where("id = '000000'").withColumn("title", F.lit(titles[40])).withColumn("norm", F.lit("acmelaunchesanenginefortheworld7")))
     got = [(r["a"], r["b"]) for r in cluster.same_event_pairs(twice, now()).collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_pairs_alone_need_no_counts(spark, monkeypatch):
+    """Where the bits tell that sets are similar, their other members are read only for how similar."""
+    sets = random_sets(random.Random(5), 80)
+    rows = [(i, [m * 0x9E3779B97F4A7C15 % (1 << 64) - (1 << 63) for m in s]) for i, s in sets.items()]
+    scratch = Scratch(spark, "test")
+    made = similar.rare_first(spark.createDataFrame(rows, "id string, s array<long>"), scratch)
+    want = {(r["a"], r["b"]) for r in similar.similar_pairs(made, 0.45, scratch).collect()}
+    alone = similar.similar_pairs(made, 0.45, scratch, exact=False)
+    assert alone.columns == ["a", "b"] and {tuple(r) for r in alone.collect()} == want
+    x = similar._Rows(similar._read(similar._written(pa.table({"num": [0, 1], "id": ["a", "b"], "n": [50, 50], "spare": [1, 1], "words": [b"\xff" * 6 + b"\0" * 154] * 2, "tail": [[1, 2], [1, 3]]}))), 0.45)
+    monkeypatch.setattr(similar._Rows, "rest", lambda self, i: pytest.fail("a set is read"))
+    assert [len(p) for p, _, _ in similar._links(x, x, 0.45, None, 0, np.less)] == [1]
+
+
+def test_pairs_without_reasons_are_the_same(spark):
+    rng = random.Random(8)
+    titles = [f"{' '.join(rng.choices(['alpha', 'beta', 'gamma', 'delta', 'omega'], k=6))} {i % 7}" for i in range(40)] + ["Zorblax meets Quimby", "Here comes Quimby with old friend Zorblax"]
+    a = articles(spark, titles)
+    want = {(r["a"], r["b"]) for r in cluster.same_event_pairs(a, now()).collect()}
+    got = [tuple(r) for r in cluster.same_event_pairs(a, now(), reasons=False).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and ("000040", "000041") in want
